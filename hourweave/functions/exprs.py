@@ -120,10 +120,19 @@ def range_labels(y: str | Column, disjoint: bool = False) -> Column:
 
 # ---------------------------------------------------------------- output shaping
 
+# Offset of the rounding threshold used by ``rounded`` (and by the oracle SQL).
+TIE_SHIFT = 0.1371
+
 
 def rounded(df: DataFrame, digits: int = 6, overrides: dict[str, int] | None = None) -> DataFrame:
     """Round floating columns (``+ 0.0`` removes negative zero), widen integers to bigint.
 
+    Rounding is ``round(x * 10^d + TIE_SHIFT) / 10^d`` on both sides.  Inputs with few
+    decimals often give results that sit exactly on a decimal tie (38.6213125), and two
+    engines summing in different orders land 1 ulp either side of it.  Shifting the
+    rounding threshold off the tie point (to a fraction no short decimal produces) makes
+    the rounded value insensitive to that noise.  Values move by less than 10^-d.
+
     Used at the output boundary of registered queries so results compare equal to
     the DuckDB oracles, which apply the same rounding.
     """
@@ -132,7 +141,8 @@ def rounded(df: DataFrame, digits: int = 6, overrides: dict[str, int] | None = N
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = (F.round(c.cast("double"), overrides.get(f.name, digits)) + F.lit(0.0))
+            scale = F.lit(float(10 ** overrides.get(f.name, digits)))
+            c = F.round(c.cast("double") * scale + F.lit(TIE_SHIFT)) / scale + F.lit(0.0)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("long")
         elif isinstance(f.dataType, T.BooleanType):

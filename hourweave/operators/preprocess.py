@@ -146,19 +146,36 @@ class FittedParams:
             return cls(**json.load(fh))
 
 
-def fit_medians(train: DataFrame, spec: PanelSpec, approx: bool = False) -> dict[str, float]:
-    """Median of observed (unfilled) train values per numeric column.
+def median_table(train: DataFrame, spec: PanelSpec, approx: bool = False) -> DataFrame:
+    """P6 as a table ``(column, median)``: median of observed (unfilled) train values.
 
     Exact by default (``median``); ``approx`` uses ``percentile_approx`` whose buffer is
     bounded independently of the row count.
     """
     agg = (lambda c: F.percentile_approx(c, 0.5, 10000)) if approx else F.median
-    row = train.agg(*[agg(F.col(c)).alias(c) for c in spec.numeric]).first()
-    med = {c: row[c] for c in spec.numeric}
-    bad = [c for c, v in med.items() if v is None]
+    one = train.agg(*[agg(F.col(c)).cast("double").alias(c) for c in spec.numeric])
+    return one.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("median")) for c in spec.numeric])))
+
+
+def scaler_table(imputed_train: DataFrame, spec: PanelSpec) -> DataFrame:
+    """P11 as a table ``(column, mean, std)``: population std of imputed train values, 0 -> 1."""
+    aggs = []
+    for c in spec.numeric:
+        aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}")]
+    one = imputed_train.agg(*aggs)
+    return one.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"m_{c}").alias("mean"),
+                 F.coalesce(F.when(F.col(f"s_{c}") != 0, F.col(f"s_{c}")), F.lit(1.0)).alias("std"))
+        for c in spec.numeric])))
+
+
+def fit_medians(train: DataFrame, spec: PanelSpec, approx: bool = False) -> dict[str, float]:
+    med = {r["column"]: r["median"] for r in median_table(train, spec, approx).collect()}
+    bad = [c for c in spec.numeric if med.get(c) is None]
     if bad:
         raise ValueError(f"no observed training values for: {bad}")
-    return {c: float(v) for c, v in med.items()}
+    return {c: float(med[c]) for c in spec.numeric}
 
 
 def impute(df: DataFrame, spec: PanelSpec, medians: dict[str, float]) -> DataFrame:
@@ -170,14 +187,10 @@ def impute(df: DataFrame, spec: PanelSpec, medians: dict[str, float]) -> DataFra
 
 
 def fit_scaler(imputed_train: DataFrame, spec: PanelSpec) -> tuple[dict[str, float], dict[str, float]]:
-    """Mean and population std of imputed train values; std 0 -> 1."""
-    aggs = []
-    for c in spec.numeric:
-        aggs += [F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}")]
-    row = imputed_train.agg(*aggs).first()
-    means = {c: float(row[f"m_{c}"]) for c in spec.numeric}
-    stds = {c: (float(row[f"s_{c}"]) if row[f"s_{c}"] else 1.0) for c in spec.numeric}
-    return means, stds
+    rows = {r["column"]: r for r in scaler_table(imputed_train, spec).collect()}
+    if any(rows[c]["mean"] is None for c in spec.numeric):
+        raise ValueError("cannot fit the scaler on an empty training set")
+    return ({c: float(rows[c]["mean"]) for c in spec.numeric}, {c: float(rows[c]["std"]) for c in spec.numeric})
 
 
 def fit_params(df: DataFrame, spec: PanelSpec, approx_median: bool = False, onehot: bool | None = None) -> FittedParams:

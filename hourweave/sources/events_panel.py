@@ -96,7 +96,8 @@ def events_panel(spark: SparkSession, sf_dir: str, panel: str = "A", spec: Panel
         F.when(F.col("_n") > 0, F.col("_n").cast("double")).alias("n"),
         F.when(F.col("_u") > 0, F.col("_u").cast("double")).alias("users"),
         "k",
-        F.element_at(codes, (F.pmod(F.col("_ksum"), F.lit(len(EVENT_WIND_CODES))) + 1).cast("int")).alias("wd"),
+        F.when(F.col("_ksum").isNotNull(), F.element_at(
+            codes, (F.pmod(F.col("_ksum"), F.lit(len(EVENT_WIND_CODES))) + 1).cast("int"))).alias("wd"),
         *([t] if with_datetime else []),
     )
     return out
