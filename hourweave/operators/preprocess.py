@@ -81,7 +81,8 @@ def missing_flag_columns(spec: PanelSpec) -> list[Column]:
     return [F.col(c).isNull().cast("double").alias(f"{c}_missing") for c in spec.numeric]
 
 
-def forward_fill(df: DataFrame, spec: PanelSpec, cols: list[str] | tuple[str, ...] | None = None) -> DataFrame:
+def forward_fill(df: DataFrame, spec: PanelSpec, cols: list[str] | tuple[str, ...] | None = None,
+                 exclude_current: bool = False, suffix: str = "") -> DataFrame:
     """Causal forward fill per series: the last earlier non-NULL value, never backwards.
 
     Chunked form (``spec.chunk_hours``): (1) last observed value per (series, chunk),
@@ -90,27 +91,32 @@ def forward_fill(df: DataFrame, spec: PanelSpec, cols: list[str] | tuple[str, ..
     running ``last(ignorenulls)``, falling back to the carry.  The join with the carry
     and the running window share one exchange on (series, chunk), so no task ever
     holds a whole series.
+
+    ``exclude_current`` gives the last non-NULL value strictly *before* each row (the
+    previous observation); ``suffix`` keeps the input columns and adds the results
+    as ``<col><suffix>``.
     """
     cols = list(cols if cols is not None else spec.numeric)
     st, t = spec.station, spec.time
+    end = -1 if exclude_current else 0
+
+    def emit(results: dict[str, Column], source: DataFrame) -> DataFrame:
+        if suffix:
+            return source.select(*[F.col(c) for c in df.columns], *[results[c].alias(f"{c}{suffix}") for c in cols])
+        return source.select(*[results[c].alias(c) if c in cols else F.col(c) for c in df.columns])
+
     if spec.chunk_hours is None:
-        w = Window.partitionBy(st).orderBy(t).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select(*[F.last(c, True).over(w).alias(c) if c in cols else F.col(c) for c in df.columns])
+        w = Window.partitionBy(st).orderBy(t).rowsBetween(Window.unboundedPreceding, end)
+        return emit({c: F.last(c, True).over(w) for c in cols}, df)
     x = with_chunk(df, spec)
     last_obs = x.groupBy(st, CHUNK).agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(t))).alias(c) for c in cols]
     )
     cw = Window.partitionBy(st).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = last_obs.select(st, CHUNK, *[F.last(c, True).over(cw).alias(f"_carry_{i}") for i, c in enumerate(cols)])
-    w = series_window(spec).rowsBetween(Window.unboundedPreceding, 0)
+    w = series_window(spec).rowsBetween(Window.unboundedPreceding, end)
     y = x.join(carry, [st, CHUNK], "left")
-    out = []
-    for c in df.columns:
-        if c in cols:
-            out.append(F.coalesce(F.last(c, True).over(w), F.col(f"_carry_{cols.index(c)}")).alias(c))
-        else:
-            out.append(F.col(c))
-    return y.select(*out)
+    return emit({c: F.coalesce(F.last(c, True).over(w), F.col(f"_carry_{i}")) for i, c in enumerate(cols)}, y)
 
 
 # ---------------------------------------------------------------- P6, P11, P15 (fit)

@@ -91,7 +91,7 @@ ev AS (
 bounds AS (SELECT min(datetime) AS lo, max(datetime) AS hi FROM ev),
 cal AS (SELECT s.station, unnest(generate_series(b.lo, b.hi, INTERVAL 1 HOUR)) AS datetime
         FROM (SELECT DISTINCT station FROM ev) s, bounds b),
-agg AS (SELECT station, datetime, avg(value) AS y, max(value) AS vmax, min(value) AS vmin, sum(value) AS vsum,
+agg AS (SELECT station, datetime, avg(value) AS y, max(value) AS vmax, min(value) AS vmin, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS vsum,
                count(value) AS n, count(DISTINCT other) AS users, avg(CAST(kk AS DOUBLE)) AS k, sum(kk) AS ksum
         FROM ev GROUP BY station, datetime),
 raw AS (

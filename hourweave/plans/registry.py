@@ -466,3 +466,7 @@ def q_ensemble_metrics(spark, sf):
     pair = _pair(spark, sf)
     w = EN.chosen_weight(pair, 0.01)
     return rounded(EN.ensemble_metrics(pair, w))
+
+
+# topic modules register into QUERIES / ORACLES on import
+from . import q_audit  # noqa: E402,F401

@@ -63,25 +63,28 @@ def dense_calendar(series: DataFrame, lo: _dt.datetime, hi: _dt.datetime, chunk_
 
 
 def events_panel(spark: SparkSession, sf_dir: str, panel: str = "A", spec: PanelSpec = EVENTS_SPEC,
-                 with_datetime: bool = False) -> DataFrame:
+                 with_datetime: bool = False, densify: bool = True) -> DataFrame:
     """Raw hourly panel (CSV-like layout: year, month, day, hour, station, numerics, wd).
 
     One shuffle: the event rows and the calendar rows are unioned and grouped by
     (series, hour), so densifying needs no join.  The hour range is two scalars
-    collected once.
+    collected once.  ``densify=False`` keeps only hours with events (gaps stay gaps).
     """
     ev = hourly_events(spark, sf_dir, panel)
-    lo, hi = ev.agg(F.min("datetime"), F.max("datetime")).first()
-    calendar = dense_calendar(ev.select("station").distinct(), lo, hi, spec.chunk_hours or 24 * 28)
-    null_d, null_s, null_l = (F.lit(None).cast(t) for t in ("double", "string", "long"))
-    rows = ev.unionByName(
-        calendar.select("station", "datetime", null_d.alias("value"), null_s.alias("_other"), null_l.alias("_k"))
-    )
+    rows = ev
+    if densify:
+        lo, hi = ev.agg(F.min("datetime"), F.max("datetime")).first()
+        calendar = dense_calendar(ev.select("station").distinct(), lo, hi, spec.chunk_hours or 24 * 28)
+        null_d, null_s, null_l = (F.lit(None).cast(t) for t in ("double", "string", "long"))
+        rows = ev.unionByName(
+            calendar.select("station", "datetime", null_d.alias("value"), null_s.alias("_other"), null_l.alias("_k"))
+        )
     agg = rows.groupBy("station", "datetime").agg(
         F.avg("value").alias("y"),
         F.max("value").alias("vmax"),
         F.min("value").alias("vmin"),
-        F.sum("value").alias("vsum"),
+        # exact decimal sum: the result does not depend on the summation order
+        F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("vsum"),
         F.count("value").alias("_n"),
         F.count_distinct("_other").alias("_u"),
         F.avg(F.col("_k").cast("double")).alias("k"),
