@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import PanelSpec
-from ..functions.exprs import hours, is_finite
+from ..functions.exprs import TIE_SHIFT, hours, is_finite
 
 
 def rule_table(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -227,13 +227,14 @@ def submission_summary(submission: DataFrame, value: str = "prediction", populat
 def table_fingerprint(df: DataFrame, cols: list[str], scale: int = 6) -> DataFrame:
     """Order-insensitive checksum: row count and XOR of a 60-bit md5 prefix per row.
 
-    Doubles enter as integers of ``round(x * 10^scale)`` so the text is engine-neutral.
+    Doubles enter as integers of ``round(x * 10^scale)`` (threshold shifted off decimal
+    ties, see ``rounded``) so the text is engine-neutral.
     """
     parts = []
     for c in cols:
         dt = dict(df.dtypes)[c]
         if dt in ("double", "float"):
-            parts.append(F.round(F.col(c) * F.lit(float(10 ** scale))).cast("long").cast("string"))
+            parts.append(F.round(F.col(c) * F.lit(float(10 ** scale)) + F.lit(TIE_SHIFT)).cast("long").cast("string"))
         else:
             parts.append(F.col(c).cast("string"))
     h = F.conv(F.substring(F.md5(F.concat_ws("|", *[F.coalesce(p, F.lit("NULL")) for p in parts])), 1, 15), 16, 10)

@@ -181,3 +181,59 @@ SELECT station, split, target_datetime, target, {_list(names)} FROM (
   FROM proc) t
 WHERE st IS NOT NULL AND st = target_datetime - INTERVAL {w} HOUR AND target IS NOT NULL {where_extra}"""
     return sel, names
+
+
+# ---------------------------------------------------------------- wide windows
+
+
+def wide_ctes() -> str:
+    """Wide windows of every local-test hour (lags via window functions), their long form
+    by a range self-join on the panel, in-window fill, features and baselines."""
+    w = W
+    lags = _list(f"lag({c}, {k}) OVER w AS {c}_lag_{k}" for k in range(w, 0, -1) for c in WIDE_COLS)
+    lag_names = _list(f"{c}_lag_{k}" for k in range(w, 0, -1) for c in WIDE_COLS)
+    fills = _list(f"coalesce(last_value(l.{c} IGNORE NULLS) OVER wf, med.{c}) AS {c}" for c in NUM)
+    flags = _list(f"CAST(l.{c} IS NULL AS DOUBLE) AS {c}_missing" for c in NUM)
+    scaled = _list(f"(f.{c} - sc.{c}_m) / sc.{c}_s AS {c}" for c in NUM)
+    onehot = _list(f"CAST(f.station = '{s}' AS DOUBLE) AS station_{s}" for s in STATIONS_A)
+    return f"""
+wlag AS (SELECT station, datetime, lag(datetime, {w}) OVER w AS st, {lags} FROM raw
+         WINDOW w AS (PARTITION BY station ORDER BY datetime)),
+anchors AS (SELECT 'w_' || station || '_' || strftime(datetime, '%Y%m%d%H') AS id, station, datetime AS t FROM wlag
+            WHERE st IS NOT NULL AND st = datetime - INTERVAL {w} HOUR AND datetime >= {ts(S.test_start)}),
+wide AS (SELECT a.id, a.station, {lag_names} FROM anchors a JOIN wlag l ON l.station = a.station AND l.datetime = a.t),
+wlong AS (SELECT a.id, a.station, CAST(date_diff('hour', a.t - INTERVAL {w} HOUR, r.datetime) AS BIGINT) AS time_step,
+                 r.datetime, {_list('r.' + c for c in WIDE_COLS)}
+          FROM anchors a JOIN raw r ON r.station = a.station AND r.datetime >= a.t - INTERVAL {w} HOUR AND r.datetime < a.t),
+wfill AS (SELECT l.id, l.station, l.time_step, l.datetime, l.wd, {fills}, {flags} FROM wlong l, med
+          WINDOW wf AS (PARTITION BY l.id ORDER BY l.time_step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+wfeat AS (SELECT f.id, f.station, f.time_step, {scaled}, {_list(_time_feats('f.datetime'))}, {_list(_wind_feats('f.wd'))},
+                 {_list(f'f.{c}_missing' for c in NUM)}, {onehot} FROM wfill f, sc),
+wbase AS (SELECT id, station, max(CASE WHEN time_step = {w - 1} THEN y END) AS persistence, avg(y) AS window_mean
+          FROM wfill GROUP BY id, station)"""
+
+
+def wide_tabular_select() -> tuple[str, list[str]]:
+    """Tabular features of the wide windows by grouping their long feature rows."""
+    w = W
+    cols, names = [], []
+    for c in FEATURES:
+        cols.append(f"max(CASE WHEN time_step = {w - 1} THEN {c} END) AS latest_{c}")
+        names.append(f"latest_{c}")
+    for k in range(w, 0, -1):
+        cols.append(f"max(CASE WHEN time_step = {w - k} THEN y END) AS y_lag_{k}")
+        names.append(f"y_lag_{k}")
+    for stat, fn in (("mean", "avg"), ("std", "stddev_pop"), ("min", "min"), ("max", "max")):
+        for c in NUM:
+            cols.append(f"{fn}({c}) AS {c}_{stat}_{w}")
+            names.append(f"{c}_{stat}_{w}")
+    for h in DELTA_HOURS:
+        if h < w:
+            cols.append(f"max(CASE WHEN time_step = {w - 1} THEN y END) - max(CASE WHEN time_step = {w - 1 - h} "
+                        f"THEN y END) AS y_change_{h}h")
+            names.append(f"y_change_{h}h")
+    return f"SELECT id, station, {_list(cols)} FROM wfeat GROUP BY id, station", names
+
+
+def all_ctes() -> str:
+    return panel_ctes() + "," + wide_ctes()
