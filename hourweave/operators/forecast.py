@@ -128,20 +128,35 @@ def tabular_feature_subset(names: list[str], spec: PanelSpec, feature_cols_all:
     return out
 
 
+def gbt_history(model: PipelineModel, valid: DataFrame, label: str = "target") -> list[float]:
+    """Validation RMSE after each boosting iteration (the trainer's 'epochs')."""
+    assembled = model.stages[0].transform(valid)
+    losses = model.stages[-1].evaluateEachIteration(assembled.withColumnRenamed(label, label), "squared")
+    return [float(x) ** 0.5 for x in losses]
+
+
+RESULT_SCHEMA = ("run_id string, model string, window_size long, feature_set string, feature_count long, seed long, "
+                 "best_epoch long, training_seconds double, validation_rmse double, validation_mae double, "
+                 "validation_r2 double, local_test_rmse double, local_test_mae double, local_test_r2 double")
+HISTORY_SCHEMA = "run_id string, epoch long, val_rmse double"
+
+
 def ablation_grid(processed: DataFrame, spec: PanelSpec, feature_cols: list[str], windows=(6, 12, 24),
                   feature_sets=FEATURE_SETS, seeds=(42,), model: str = "ridge", existing: DataFrame | None = None,
-                  gbt_iter: int = 20) -> DataFrame:
+                  gbt_iter: int = 20, gbt_subsample: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """one fit per (window, feature set, seed); finished run ids are skipped.
 
-    All window sizes come from one windowed pass (the largest window); every run is
-    evaluated on the same targets.  The result table has one row per run.
+    All window sizes come from one windowed pass (the largest window), so every run
+    is evaluated on the same targets.  Returns (results, history): one row per run,
+    and for boosted runs the validation RMSE of every iteration.  Fits are
+    distributed Spark ML jobs; only metrics (a few numbers per run) reach the driver.
     """
     spark = processed.sparkSession
     done = set()
     if existing is not None:
         done = {r[0] for r in existing.select("run_id").distinct().collect()}
     tables = tabular_features_multi(processed, spec, feature_cols, list(windows))
-    rows = []
+    rows, hist = [], []
     for w in windows:
         tab = tables[w]
         names = [c for c in tab.columns if c not in ("station", "split", "target_datetime", "target")]
@@ -153,24 +168,33 @@ def ablation_grid(processed: DataFrame, spec: PanelSpec, feature_cols: list[str]
                     continue
                 train = tab.filter(F.col("split") == "train")
                 t0 = time.time()
-                fitted = (fit_ridge(train, cols) if model == "ridge" else fit_gbt(train, cols, max_iter=gbt_iter, seed=seed))
+                if model == "ridge":
+                    fitted = fit_ridge(train, cols)
+                else:
+                    gbt = GBTRegressor(featuresCol="_features", labelCol="target", predictionCol="y_pred",
+                                       maxIter=gbt_iter, stepSize=0.05, maxDepth=5, minInstancesPerNode=30, maxBins=64,
+                                       subsamplingRate=gbt_subsample, seed=seed)
+                    fitted = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="_features"), gbt]).fit(train)
                 secs = time.time() - t0
+                best = None
+                if model != "ridge":
+                    curve = gbt_history(fitted, tab.filter(F.col("split") == "validation"))
+                    hist += [(run_id, i + 1, v) for i, v in enumerate(curve)]
+                    best = 1 + min(range(len(curve)), key=lambda i: (curve[i], i))
                 pred = score(fitted, tab.filter(F.col("split") != "train"), model)
                 m = {r["split"]: r for r in pred.groupBy("split").agg(*regression_metric_columns("y_true", "y_pred")).collect()}
-                rec = (run_id, model, w, fs, len(cols), seed, float(secs))
+                rec = (run_id, model, w, fs, len(cols), seed, best, float(secs))
                 for s in ("validation", "local_test"):
                     r = m.get(s)
                     rec += ((r["rmse"], r["mae"], r["r2"]) if r else (None, None, None))
                 rows.append(rec)
-    schema = ("run_id string, model string, window_size long, feature_set string, feature_count long, seed long, "
-              "training_seconds double, validation_rmse double, validation_mae double, validation_r2 double, "
-              "local_test_rmse double, local_test_mae double, local_test_r2 double")
-    new = spark.createDataFrame(rows, schema)
+    new = spark.createDataFrame(rows, RESULT_SCHEMA)
+    history = spark.createDataFrame(hist, HISTORY_SCHEMA)
     if existing is None:
-        return new
+        return new, history
     from ..sources.files import upsert
 
-    return upsert(existing, new, ["run_id"])
+    return upsert(existing, new, ["run_id"]), history
 
 
 def split_labels() -> tuple[str, ...]:

@@ -471,3 +471,4 @@ def q_ensemble_metrics(spark, sf):
 # topic modules register into QUERIES / ORACLES on import
 from . import q_audit  # noqa: E402,F401
 from . import q_wide  # noqa: E402,F401
+from . import q_ablation  # noqa: E402,F401
