@@ -155,7 +155,11 @@ def ablation_grid(processed: DataFrame, spec: PanelSpec, feature_cols: list[str]
     done = set()
     if existing is not None:
         done = {r[0] for r in existing.select("run_id").distinct().collect()}
-    tables = tabular_features_multi(processed, spec, feature_cols, list(windows))
+    from ..session import materialize
+
+    # every fit makes several passes over its table: write each table once
+    tables = {w: materialize(t, f"tabular_w{w}")
+              for w, t in tabular_features_multi(processed, spec, feature_cols, list(windows)).items()}
     rows, hist = [], []
     for w in windows:
         tab = tables[w]

@@ -16,7 +16,7 @@ from ..config import PanelSpec
 from ..functions.exprs import hours, time_feature_columns, wind_feature_columns
 from .lookback import HALO, lookback_window, with_lookback_parts
 from .preprocess import FittedParams, inverse_scale
-from .windows import _history_features
+from .windows import history_features
 
 TIME_PARTS = ("year", "month", "day", "hour")
 
@@ -114,7 +114,7 @@ def wide_tabular(wide: DataFrame, spec: PanelSpec, params: FittedParams, window:
 
     w = window or spec.window
     h = wide_history(wide, spec, params, w)
-    return h.select("id", "station", *_history_features(F.col("_hist"), spec, feature_names(spec, params), w))
+    return history_features(h, ["id", "station"], spec, feature_names(spec, params), w, latest=None)
 
 
 def wide_baselines(wide: DataFrame, spec: PanelSpec, params: FittedParams, window: int | None = None) -> DataFrame:

@@ -30,29 +30,33 @@ def _valid_target(spec: PanelSpec, w: int) -> Column:
     )
 
 
-def dense_sequence_id(df: DataFrame, spec: PanelSpec, order_col: str, name: str = "sequence_id") -> DataFrame:
+def dense_sequence_id(df: DataFrame, spec: PanelSpec, order_col: str, name: str = "sequence_id",
+                      chunk_col: str | None = None) -> DataFrame:
     """0-based id in (series, time) order without a single-partition window over rows.
 
     Counts per (series, chunk) -> per-series totals; the running offset over series
     is computed on the series table (one row per series), the offset of each chunk
     within its series on the (series, chunk) table partitioned by series.  Rows then
-    only need a ``row_number`` inside their (series, chunk).
+    only need a ``row_number`` inside their (series, chunk).  Passing the ``_part``
+    column of a look-back window as ``chunk_col`` reuses that window's partitioning,
+    so the rows are not shuffled again.
     """
     st = spec.station
-    x = df.withColumn(CHUNK, chunk_of(spec.with_(time=order_col)))
-    counts = x.groupBy(st, CHUNK).agg(F.count(F.lit(1)).alias("_cnt"))
+    ck = chunk_col or CHUNK
+    x = df if chunk_col else df.withColumn(CHUNK, chunk_of(spec.with_(time=order_col)))
+    counts = x.groupBy(st, ck).agg(F.count(F.lit(1)).alias("_cnt"))
     totals = counts.groupBy(st).agg(F.sum("_cnt").alias("_tot"))
     series_off = totals.select(
         st, F.coalesce(F.sum("_tot").over(Window.orderBy(st).rowsBetween(Window.unboundedPreceding, -1)),
                        F.lit(0)).alias("_soff"))
     chunk_off = counts.select(
-        st, CHUNK,
-        F.coalesce(F.sum("_cnt").over(Window.partitionBy(st).orderBy(CHUNK)
+        st, ck,
+        F.coalesce(F.sum("_cnt").over(Window.partitionBy(st).orderBy(ck)
                                       .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_coff"))
     offsets = chunk_off.join(series_off, st)
-    rn = F.row_number().over(Window.partitionBy(st, CHUNK).orderBy(order_col))
-    y = x.join(offsets, [st, CHUNK])
-    return y.withColumn(name, (F.col("_soff") + F.col("_coff") + rn - 1).cast("long")).drop(CHUNK, "_soff", "_coff")
+    rn = F.row_number().over(Window.partitionBy(st, ck).orderBy(order_col))
+    y = x.join(offsets, [st, ck])
+    return y.withColumn(name, (F.col("_soff") + F.col("_coff") + rn - 1).cast("long")).drop(ck, "_soff", "_coff")
 
 
 # ---------------------------------------------------------------- W1, W2, W3, W6
@@ -66,6 +70,7 @@ def sequence_index(processed: DataFrame, spec: PanelSpec, window: int | None = N
     x = x.withColumn("_ok", _valid_target(spec, w)).filter("_ok")
     t = F.col(spec.time)
     idx = x.select(
+        PART,
         F.col(spec.station).alias("station"),
         "split",
         (t - hours(w)).alias("window_start_datetime"),
@@ -74,8 +79,10 @@ def sequence_index(processed: DataFrame, spec: PanelSpec, window: int | None = N
         F.col(spec.observed_target).cast("double").alias("target"),
     )
     if not with_id:
-        return idx
-    idx = dense_sequence_id(idx, spec.with_(station="station", time="target_datetime"), "target_datetime")
+        return idx.drop(PART)
+    # non-halo rows sit in their own chunk, so _part is the chunk of the target
+    idx = dense_sequence_id(idx, spec.with_(station="station", time="target_datetime"), "target_datetime",
+                            chunk_col=PART)
     return idx.select(*SEQUENCE_COLUMNS)
 
 
@@ -115,53 +122,66 @@ def _sq_dev(mean: Column):
     return lambda a, v: a + (v - mean) * (v - mean)
 
 
-def _history_features(hist: Column, spec: PanelSpec, feature_cols: list[str], w: int,
-                      full: int | None = None) -> list[Column]:
-    """W8-W11 from an array of the ``full`` (>= w) preceding rows, oldest first.
+def history_features(h: DataFrame, keys: list, spec: PanelSpec, feature_cols: list[str], w: int,
+                     full: int | None = None, latest: str | None = "_latest", hist: str = "_hist") -> DataFrame:
+    """W8-W11 from an array column ``hist`` of the ``full`` (>= w) preceding rows, oldest first.
 
-    Only the last ``w`` elements are used, so one array of the largest window
-    serves every smaller window size.
+    ``hist`` needs the numeric columns only; ``latest`` names the struct of all model
+    features at *t-1* (None: the newest element of ``hist``).  Only the last ``w``
+    elements are used, so one array of the largest window serves every smaller size.
+
+    Three projections: (1) one value array per numeric column, (2) its mean,
+    (3) the two-pass population variance.  Each intermediate is referenced twice, so
+    the optimiser keeps it as a column instead of re-evaluating it inside the
+    variance lambda for every element.
     """
     full = full or w
     off = full - w  # elements to skip at the front
+    arr = F.col(hist)
 
     def at(i: int) -> Column:  # i = 0 .. w-1 within the last-w window (0 = oldest)
-        return F.element_at(hist, off + i + 1)
-
-    out = [at(w - 1)[c].alias(f"latest_{c}") for c in feature_cols]
-    out += [at(w - k)[spec.target].alias(f"{spec.target}_lag_{k}") for k in range(w, 0, -1)]
-    window_vals = F.slice(hist, off + 1, w) if off else hist
-    stats: dict[str, list[Column]] = {s: [] for s in ROLLING_STATS}
-    for c in spec.numeric:
-        vals = F.transform(window_vals, _field(c))
-        mean = F.aggregate(vals, F.lit(0.0), lambda a, v: a + v) / F.lit(float(w))
-        # two-pass population variance (no E[x^2] - m^2 cancellation)
-        var = F.aggregate(vals, F.lit(0.0), _sq_dev(mean)) / F.lit(float(w))
-        stats["mean"].append(mean.alias(f"{c}_mean_{w}"))
-        stats["std"].append(F.sqrt(var).alias(f"{c}_std_{w}"))
-        stats["min"].append(F.array_min(vals).alias(f"{c}_min_{w}"))
-        stats["max"].append(F.array_max(vals).alias(f"{c}_max_{w}"))
-    for s in ROLLING_STATS:
-        out += stats[s]
-    latest = at(w - 1)[spec.target]
-    out += [(latest - at(w - 1 - h)[spec.target]).alias(f"{spec.target}_change_{h}h") for h in DELTA_HOURS if h < w]
-    return out
-
-
-def window_history(processed: DataFrame, spec: PanelSpec, feature_cols: list[str], window: int) -> DataFrame:
-    """Valid targets with their ``window`` preceding feature rows as one array.
-
-    One sliding ``collect_list(struct)`` per row; the (non-pushable) filter to valid
-    targets follows the window, and all statistics are array functions evaluated on
-    target rows only.
+        return F.element_at(arr, off + i + 1)
+
+    newest = F.col(latest) if latest else at(w - 1)
+    window_vals = F.slice(arr, off + 1, w) if off else arr
+    base = [newest[c].alias(f"latest_{c}") for c in feature_cols]
+    base += [at(w - k)[spec.target].alias(f"{spec.target}_lag_{k}") for k in range(w, 0, -1)]
+    base += [F.transform(window_vals, _field(c)).alias(f"_v_{c}") for c in spec.numeric]
+    x = h.select(*keys, *base)
+    x = x.select("*", *[(F.aggregate(F.col(f"_v_{c}"), F.lit(0.0), lambda a, v: a + v) / F.lit(float(w)))
+                        .alias(f"_m_{c}") for c in spec.numeric])
+    var = {c: F.aggregate(F.col(f"_v_{c}"), F.lit(0.0), _sq_dev(F.col(f"_m_{c}"))) / F.lit(float(w)) for c in spec.numeric}
+    out = [F.col(k) for k in x.columns[:len(keys)]]
+    out += [F.col(f"latest_{c}") for c in feature_cols]
+    out += [F.col(f"{spec.target}_lag_{k}") for k in range(w, 0, -1)]
+    out += [F.col(f"_m_{c}").alias(f"{c}_mean_{w}") for c in spec.numeric]
+    out += [F.sqrt(var[c]).alias(f"{c}_std_{w}") for c in spec.numeric]
+    out += [F.array_min(f"_v_{c}").alias(f"{c}_min_{w}") for c in spec.numeric]
+    out += [F.array_max(f"_v_{c}").alias(f"{c}_max_{w}") for c in spec.numeric]
+    t = spec.target
+    out += [(F.col(f"{t}_lag_1") - F.col(f"{t}_lag_{h + 1}")).alias(f"{t}_change_{h}h") for h in DELTA_HOURS if h < w]
+    return x.select(*out)
+
+
+def window_history(processed: DataFrame, spec: PanelSpec, feature_cols: list[str], window: int,
+                   hist_cols: list[str] | None = None) -> DataFrame:
+    """Valid targets with ``_hist`` (the ``window`` preceding rows of ``hist_cols``,
+    oldest first) and ``_latest`` (all features at *t-1*).
+
+    The sliding ``collect_list`` carries only the columns that need the whole window
+    (the numeric inputs by default); the other features are needed at *t-1* only and
+    come from one ``lag``.  The (non-pushable) filter to valid targets follows the
+    window, and all statistics are array functions evaluated on target rows only.
     """
     w = window
-    cols = list(dict.fromkeys([*feature_cols, *spec.numeric]))
+    hcols = list(hist_cols or spec.numeric)
+    cols = list(dict.fromkeys([*feature_cols, *hcols]))
     x = with_lookback_parts(processed.select(spec.station, spec.time, spec.observed_target, "split", *cols), spec, w)
     win = lookback_window(spec)
-    hist = F.collect_list(F.struct(*[F.col(c) for c in cols])).over(win.rowsBetween(-w, -1))
+    hist = F.collect_list(F.struct(*[F.col(c) for c in hcols])).over(win.rowsBetween(-w, -1))
+    latest = F.lag(F.struct(*[F.col(c) for c in feature_cols]), 1).over(win)
     x = x.select(spec.station, spec.time, spec.observed_target, "split", HALO,
-                 hist.alias("_hist"), _valid_target(spec, w).alias("_ok"))
+                 hist.alias("_hist"), latest.alias("_latest"), _valid_target(spec, w).alias("_ok"))
     return x.filter("_ok").drop("_ok", HALO)
 
 
@@ -170,11 +190,9 @@ def tabular_features(processed: DataFrame, spec: PanelSpec, feature_cols: list[s
     """Latest features, target lags, rolling mean/std/min/max, target changes."""
     w = window or spec.window
     h = window_history(processed, spec, feature_cols, w)
-    return h.select(
-        F.col(spec.station).alias("station"), "split", F.col(spec.time).alias("target_datetime"),
-        F.col(spec.observed_target).cast("double").alias("target"),
-        *_history_features(F.col("_hist"), spec, feature_cols, w),
-    )
+    keys = [F.col(spec.station).alias("station"), "split", F.col(spec.time).alias("target_datetime"),
+            F.col(spec.observed_target).cast("double").alias("target")]
+    return history_features(h, keys, spec, feature_cols, w)
 
 
 def tabular_features_multi(processed: DataFrame, spec: PanelSpec, feature_cols: list[str],
@@ -187,7 +205,7 @@ def tabular_features_multi(processed: DataFrame, spec: PanelSpec, feature_cols:
     h = window_history(processed, spec, feature_cols, full)
     keys = [F.col(spec.station).alias("station"), "split", F.col(spec.time).alias("target_datetime"),
             F.col(spec.observed_target).cast("double").alias("target")]
-    return {w: h.select(*keys, *_history_features(F.col("_hist"), spec, feature_cols, w, full)) for w in windows}
+    return {w: history_features(h, keys, spec, feature_cols, w, full) for w in windows}
 
 
 def lag_features(processed: DataFrame, spec: PanelSpec, window: int | None = None) -> DataFrame:
@@ -222,7 +240,7 @@ def rolling_stats_plain(processed: DataFrame, spec: PanelSpec, window: int | Non
 def window_tensor(processed: DataFrame, spec: PanelSpec, feature_cols: list[str], window: int | None = None) -> DataFrame:
     """The ``w x F`` window of every target as ``array<array<double>>`` (time-major)."""
     w = window or spec.window
-    h = window_history(processed, spec, feature_cols, w)
+    h = window_history(processed, spec, feature_cols, w, hist_cols=feature_cols)
     rows = F.transform(F.col("_hist"), lambda r: F.array(*[r[c].cast("double") for c in feature_cols]))
     return h.select(F.col(spec.station).alias("station"), "split", F.col(spec.time).alias("target_datetime"),
                     F.col(spec.observed_target).cast("double").alias("target"), rows.alias("window"))
@@ -233,7 +251,7 @@ def target_history(processed: DataFrame, spec: PanelSpec, params, window: int |
     from .preprocess import inverse_scale
 
     w = window or spec.window
-    h = window_history(processed, spec, [spec.target], w)
+    h = window_history(processed, spec, [spec.target], w, hist_cols=[spec.target])
     vals = F.transform(F.col("_hist"), lambda r: inverse_scale(r[spec.target], params, spec.target))
     return h.select(F.col(spec.station).alias("station"), "split", F.col(spec.time).alias("target_datetime"),
                     F.col(spec.observed_target).cast("double").alias("target"), vals.alias("history"))

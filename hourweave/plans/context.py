@@ -2,7 +2,7 @@
 
 Each stage is built once per (session, data folder, panel) and, where later
 stages read it many times, written to the checkpoint folder (``materialize``):
-raw panel -> fitted parameters -> processed model frame.  Lineage is cut at each
+raw panel -> fitted parameters -> imputed frame (the model frame is a projection of it).  Lineage is cut at each
 written stage, so a lost executor recomputes from parquet, not from ``events``.
 """
 
@@ -46,8 +46,8 @@ class PanelContext:
                                                          f"imputed_{self.panel}"))
 
     def processed(self) -> DataFrame:
-        return self._memo("processed", lambda: materialize(P.engineer(self.imputed(), self.spec, self.params()),
-                                                           f"processed_{self.panel}"))
+        """Model frame: a map-only projection of the written imputed frame (not written again)."""
+        return self._memo("processed", lambda: P.engineer(self.imputed(), self.spec, self.params()))
 
     def feature_names(self) -> list[str]:
         return P.feature_names(self.spec, self.params())

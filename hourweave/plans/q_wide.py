@@ -212,8 +212,10 @@ def q_table_fingerprint(spark, sf):
 @register("score_windows")
 def q_score_windows(spark, sf):
     """ridge fitted on the panel's train targets scores the independent windows."""
+    from .registry import _tab_written
+
     c = context(spark, sf)
-    tab = W.tabular_features(c.processed(), S, c.feature_names())
+    tab = _tab_written(spark, sf)
     names = [n for n in tab.columns if n not in ("station", "split", "target_datetime", "target")]
     model = FC.fit_ridge(tab.filter(F.col("split") == "train"), names)
     return FC.score(model, WD.wide_tabular(wide(spark, sf), S, c.params()), "ridge", keys=["id", "station"])

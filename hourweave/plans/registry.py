@@ -307,10 +307,17 @@ def q_prediction_residuals(spark, sf):
     return rounded(p.withColumn("residual", F.col("y_true") - F.col("y_pred")))
 
 
+def _tab_written(spark, sf):
+    """Tabular features written once per session (model fits make several passes)."""
+    from ..session import materialize
+
+    c = ctx(spark, sf)
+    return c._memo("tabular", lambda: materialize(W.tabular_features(c.processed(), S, c.feature_names()), "tabular"))
+
+
 @register("forecast_ridge")
 def q_forecast_ridge(spark, sf):
-    c = ctx(spark, sf)
-    tab = W.tabular_features(c.processed(), S, c.feature_names())
+    tab = _tab_written(spark, sf)
     names = [n for n in tab.columns if n not in ("station", "split", "target_datetime", "target")]
     model = FC.fit_ridge(tab.filter(F.col("split") == "train"), names)
     return FC.score(model, tab.filter(F.col("split") != "train"), "ridge")
@@ -318,8 +325,7 @@ def q_forecast_ridge(spark, sf):
 
 @register("forecast_gbt")
 def q_forecast_gbt(spark, sf):
-    c = ctx(spark, sf)
-    tab = W.tabular_features(c.processed(), S, c.feature_names())
+    tab = _tab_written(spark, sf)
     names = [n for n in tab.columns if n not in ("station", "split", "target_datetime", "target")]
     model = FC.fit_gbt(tab.filter(F.col("split") == "train"), names, max_iter=20)
     return FC.score(model, tab.filter(F.col("split") != "train"), "gbt")

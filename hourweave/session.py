@@ -14,6 +14,7 @@ def build_session(master: str | None = None, partitions: int = 8, app: str = "ho
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -32,17 +33,22 @@ def build_session(master: str | None = None, partitions: int = 8, app: str = "ho
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is always honoured.  Only
-    when it is unset (local tests) a fresh scratch folder is created and set.
+    On a cluster this setting names shared storage and is always honoured (read from
+    the session, then from the SparkContext).  Only when it is unset (local tests) a
+    scratch folder is created and registered with ``setCheckpointDir``; the conf
+    itself is not modified, as a running session may reject that.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="hourweave-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(root)
-    return root
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if root:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(root)
+        return root
+    existing = sc.getCheckpointDir()
+    if existing:
+        return existing
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="hourweave-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
