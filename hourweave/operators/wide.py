@@ -68,27 +68,55 @@ def wide_to_long(wide: DataFrame, spec: PanelSpec, window: int | None = None) ->
     return wide.select("id", "station", F.inline(F.array(*steps)))
 
 
-def _lag_features(spec: PanelSpec, params: FittedParams, k: int, w: int) -> list[Column]:
-    """Model features of lag ``k`` (same names/order as the panel model frame)."""
-    out = []
-    for c in spec.numeric:
-        # forward fill inside the window: the newest non-NULL value at lag >= k
-        filled = F.coalesce(*[F.col(lag_name(c, j)) for j in range(k, w + 1)], F.lit(params.medians[c]))
-        out.append(((filled - F.lit(params.means[c])) / F.lit(params.stds[c])).alias(c))
-    out += time_feature_columns(lag_datetime(k))
-    if spec.wind:
-        out += wind_feature_columns(F.col(lag_name(spec.wind, k)))
-    out += [F.col(lag_name(c, k)).isNull().cast("double").alias(f"{c}_missing") for c in spec.numeric]
-    if params.onehot:
-        out += [(F.col("station") == F.lit(s)).cast("double").alias(f"{spec.station}_{s}") for s in params.stations]
-    return out
+def _ffill_array(raw: Column) -> Column:
+    """Forward fill inside one array (oldest first): a single left fold."""
+    init = F.struct(F.array().cast("array<double>").alias("o"), F.lit(None).cast("double").alias("l"))
+
+    def step(acc, x):
+        v = F.coalesce(x, acc["l"])
+        return F.struct(F.array_append(acc["o"], v).alias("o"), v.alias("l"))
+
+    return F.aggregate(raw, init, step, lambda acc: acc["o"])
+
+
+def _scaler(med: Column, mean: Column, std: Column):
+    return lambda v: (F.coalesce(v, med) - mean) / std
 
 
 def wide_history(wide: DataFrame, spec: PanelSpec, params: FittedParams, window: int | None = None) -> DataFrame:
-    """Per window: ``_hist`` = array of w feature structs, oldest first (map-only)."""
+    """Per window: ``_hist`` = array of w feature structs, oldest first (map-only).
+
+    Each column's lags become one array; the fill inside the window is one fold over
+    it, medians and scaling are a ``transform``, and the per-hour feature struct is
+    built by one lambda over the zipped arrays.  Compared with per-lag column
+    expressions this keeps the plan small: planning time does not grow with w x F.
+    """
     w = window or spec.window
-    hist = F.array(*[F.struct(*_lag_features(spec, params, k, w)) for k in range(w, 0, -1)])
-    return wide.select("id", "station", hist.alias("_hist"))
+    lags = range(w, 0, -1)  # oldest first
+    arrays = [F.array(*[F.col(lag_name(c, k)).cast("double") for k in lags]).alias(f"r_{c}") for c in spec.numeric]
+    arrays.append(F.array(*[lag_datetime(k) for k in lags]).alias("t_"))
+    if spec.wind:
+        arrays.append(F.array(*[F.col(lag_name(spec.wind, k)) for k in lags]).alias("w_"))
+    x = wide.select("id", "station", *arrays)
+    scaled = [F.transform(_ffill_array(F.col(f"r_{c}")),
+                          _scaler(F.lit(params.medians[c]), F.lit(params.means[c]), F.lit(params.stds[c]))).alias(f"s_{c}")
+              for c in spec.numeric]
+    x = x.select("*", *scaled)
+    zipped = F.arrays_zip(*[F.col(f"s_{c}") for c in spec.numeric], *[F.col(f"r_{c}") for c in spec.numeric],
+                          F.col("t_"), *([F.col("w_")] if spec.wind else []))
+    station = F.col("station")
+
+    def features(r):
+        out = [r[f"s_{c}"].alias(c) for c in spec.numeric]
+        out += time_feature_columns(r["t_"])
+        if spec.wind:
+            out += wind_feature_columns(r["w_"])
+        out += [r[f"r_{c}"].isNull().cast("double").alias(f"{c}_missing") for c in spec.numeric]
+        if params.onehot:
+            out += [(station == F.lit(s)).cast("double").alias(f"{spec.station}_{s}") for s in params.stations]
+        return F.struct(*out)
+
+    return x.select("id", "station", F.transform(zipped, features).alias("_hist"))
 
 
 def wide_features(wide: DataFrame, spec: PanelSpec, params: FittedParams, window: int | None = None) -> DataFrame:
