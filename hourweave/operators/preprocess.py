@@ -199,12 +199,15 @@ def fit_scaler(imputed_train: DataFrame, spec: PanelSpec) -> tuple[dict[str, flo
     return ({c: float(rows[c]["mean"]) for c in spec.numeric}, {c: float(rows[c]["std"]) for c in spec.numeric})
 
 
-def fit_params(df: DataFrame, spec: PanelSpec, approx_median: bool = False, onehot: bool | None = None) -> FittedParams:
+def fit_params(df: DataFrame, spec: PanelSpec, approx_median: bool = False, onehot: bool | None = None,
+               imputed: DataFrame | None = None, medians: dict[str, float] | None = None) -> FittedParams:
     """Fit on the train split only.  Because train is the earliest part of every
-    series, filling the train rows alone equals filling the panel and filtering."""
+    series, filling the train rows alone equals filling the panel and filtering --
+    so an already imputed panel (``imputed``, built with ``medians``) can be reused."""
     train = prepare(df, spec).filter(F.col("split") == "train")
-    medians = fit_medians(train, spec, approx=approx_median)
-    imputed = impute(train, spec, medians)
+    if medians is None:
+        medians = fit_medians(train, spec, approx=approx_median)
+    imputed = impute(train, spec, medians) if imputed is None else imputed.filter(F.col("split") == "train")
     means, stds = fit_scaler(imputed, spec)
     # Station categories name the one-hot columns, so they are collected -- but only
     # up to ONEHOT_LIMIT + 1 of them unless the caller forces one-hot: a panel with
@@ -260,10 +263,14 @@ def engineer(filled: DataFrame, spec: PanelSpec, params: FittedParams) -> DataFr
     return filled.select(*cols)
 
 
-def impute_with_flags(df: DataFrame, spec: PanelSpec, params: FittedParams) -> DataFrame:
+def impute_with_flags(df: DataFrame, spec: PanelSpec, params: "FittedParams | dict[str, float]") -> DataFrame:
+    """Prepared panel + observed target + missing flags, forward filled and median filled.
+
+    Depends on the medians only, so the scaler can be fitted on its train rows."""
+    medians = params.medians if isinstance(params, FittedParams) else params
     x = prepare(df, spec)
     x = x.select("*", F.col(spec.target).alias(spec.observed_target), *missing_flag_columns(spec))
-    return impute(x, spec, params.medians)
+    return impute(x, spec, medians)
 
 
 def transform(df: DataFrame, spec: PanelSpec, params: FittedParams) -> DataFrame:

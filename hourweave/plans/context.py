@@ -37,14 +37,20 @@ class PanelContext:
         """Raw CSV-like panel (year, month, day, hour, station, numerics, wd), written once."""
         return self._memo("raw", lambda: materialize(events_panel(self.spark, self.sf_dir, self.panel, self.spec), f"raw_{self.panel}"))
 
-    def params(self) -> P.FittedParams:
-        return self._memo("params", lambda: P.fit_params(self.raw(), self.spec))
+    def medians(self) -> dict[str, float]:
+        train = P.prepare(self.raw(), self.spec).filter("split = 'train'")
+        return self._memo("medians", lambda: P.fit_medians(train, self.spec))
 
     def imputed(self) -> DataFrame:
-        """Imputed frame with flags and observed target (unscaled), written once."""
-        return self._memo("imputed", lambda: materialize(P.impute_with_flags(self.raw(), self.spec, self.params()),
+        """Imputed frame with flags and observed target (unscaled), written once.
+        It needs the train medians only; the scaler is then fitted on its train rows."""
+        return self._memo("imputed", lambda: materialize(P.impute_with_flags(self.raw(), self.spec, self.medians()),
                                                          f"imputed_{self.panel}"))
 
+    def params(self) -> P.FittedParams:
+        return self._memo("params", lambda: P.fit_params(self.raw(), self.spec, imputed=self.imputed(),
+                                                         medians=self.medians()))
+
     def processed(self) -> DataFrame:
         """Model frame: a map-only projection of the written imputed frame (not written again)."""
         return self._memo("processed", lambda: P.engineer(self.imputed(), self.spec, self.params()))

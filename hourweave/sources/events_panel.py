@@ -66,20 +66,14 @@ def events_panel(spark: SparkSession, sf_dir: str, panel: str = "A", spec: Panel
                  with_datetime: bool = False, densify: bool = True) -> DataFrame:
     """Raw hourly panel (CSV-like layout: year, month, day, hour, station, numerics, wd).
 
-    One shuffle: the event rows and the calendar rows are unioned and grouped by
-    (series, hour), so densifying needs no join.  The hour range is two scalars
-    collected once.  ``densify=False`` keeps only hours with events (gaps stay gaps).
+    The events are aggregated per (series, hour) first -- map-side partials, and the
+    distinct count's expand touches event rows only -- and the sparse result is then
+    densified: calendar rows are unioned in and one cheap ``max`` per column keeps the
+    single non-NULL value of each (series, hour).  The hour range is two scalars
+    collected once.  ``densify=False`` keeps only hours with events.
     """
     ev = hourly_events(spark, sf_dir, panel)
-    rows = ev
-    if densify:
-        lo, hi = ev.agg(F.min("datetime"), F.max("datetime")).first()
-        calendar = dense_calendar(ev.select("station").distinct(), lo, hi, spec.chunk_hours or 24 * 28)
-        null_d, null_s, null_l = (F.lit(None).cast(t) for t in ("double", "string", "long"))
-        rows = ev.unionByName(
-            calendar.select("station", "datetime", null_d.alias("value"), null_s.alias("_other"), null_l.alias("_k"))
-        )
-    agg = rows.groupBy("station", "datetime").agg(
+    agg = ev.groupBy("station", "datetime").agg(
         F.avg("value").alias("y"),
         F.max("value").alias("vmax"),
         F.min("value").alias("vmin"),
@@ -90,6 +84,14 @@ def events_panel(spark: SparkSession, sf_dir: str, panel: str = "A", spec: Panel
         F.avg(F.col("_k").cast("double")).alias("k"),
         F.sum("_k").alias("_ksum"),
     )
+    value_cols = ["y", "vmax", "vmin", "vsum", "_n", "_u", "k", "_ksum"]
+    if densify:
+        lo, hi = ev.agg(F.min("datetime"), F.max("datetime")).first()
+        calendar = dense_calendar(ev.select("station").distinct(), lo, hi, spec.chunk_hours or 24 * 28)
+        types = dict(agg.dtypes)
+        filler = calendar.select("station", "datetime",
+                                 *[F.lit(None).cast(types[c]).alias(c) for c in value_cols])
+        agg = agg.unionByName(filler).groupBy("station", "datetime").agg(*[F.max(c).alias(c) for c in value_cols])
     codes = F.array(*[F.lit(c) for c in EVENT_WIND_CODES])
     t = F.col("datetime")
     out = agg.select(
