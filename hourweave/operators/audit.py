@@ -13,8 +13,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import SPLITS, PanelSpec
+from ..functions.quantiles import exact_quantiles, quantile_columns
 from .preprocess import split_order
 
+# "sort": exact, distributed (functions.quantiles); "aggregate": Spark's percentile /
+# median aggregates (exact, but one group's distinct values meet in one task).
+QUANTILE_METHOD = "sort"
+
+
+def _attach(agg_df: DataFrame, src: DataFrame, value, probs, groups: list, names: list[str],
+            method: str | None = None) -> DataFrame:
+    """``agg_df`` (one row per group) plus exact quantile columns of ``value``."""
+    if (method or QUANTILE_METHOD) == "aggregate":
+        raise ValueError("aggregate method is handled inline")
+    q = exact_quantiles(src, value, probs, groups)
+    q = q.select(*groups, *[F.col(f"q_{i}").alias(n) for i, n in enumerate(names)])
+    if groups:
+        return agg_df.join(q, groups, "left")
+    # no groups: both sides are one row; the quantiles come back as literals
+    row = q.first()
+    return agg_df.select("*", *[F.lit(row[n] if row else None).cast("double").alias(n) for n in names])
+
 TARGET_PERCENTILES = (0.01, 0.05, 0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99)
 NUMERIC_PERCENTILES = (0.01, 0.05, 0.25, 0.50, 0.75, 0.95, 0.99)
 
@@ -77,11 +96,17 @@ def rows_any_missing(df: DataFrame, spec: PanelSpec) -> DataFrame:
 def target_describe(df: DataFrame, spec: PanelSpec, approx: bool = False) -> DataFrame:
     """Count, mean, sample std, min, percentiles, max of the observed target."""
     y = F.col(spec.target)
-    one = df.filter(y.isNotNull()).agg(
-        F.count(y).alias("count"), F.avg(y).alias("mean"), F.stddev_samp(y).alias("std"), F.min(y).alias("min"),
-        _percentiles(y, TARGET_PERCENTILES, approx).alias("_p"), F.max(y).alias("max"))
-    return one.select("count", "mean", "std", "min",
-                      *[F.col("_p")[i].alias(pct_name(p)) for i, p in enumerate(TARGET_PERCENTILES)], "max")
+    names = [pct_name(p) for p in TARGET_PERCENTILES]
+    src = df.filter(y.isNotNull())
+    if approx or QUANTILE_METHOD == "aggregate":
+        one = src.agg(
+            F.count(y).alias("count"), F.avg(y).alias("mean"), F.stddev_samp(y).alias("std"), F.min(y).alias("min"),
+            _percentiles(y, TARGET_PERCENTILES, approx).alias("_p"), F.max(y).alias("max"))
+        return one.select("count", "mean", "std", "min", *[F.col("_p")[i].alias(n) for i, n in enumerate(names)], "max")
+    one = src.agg(F.count(y).alias("count"), F.avg(y).alias("mean"), F.stddev_samp(y).alias("std"),
+                  F.min(y).alias("min"), F.max(y).alias("max"))
+    return _attach(one, src, spec.target, TARGET_PERCENTILES, [], names).select(
+        "count", "mean", "std", "min", *names, "max")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 100, upper_quantile: float | None = None) -> DataFrame:
@@ -93,7 +118,8 @@ def histogram(df: DataFrame, col: str, bins: int = 100, upper_quantile: float |
     """
     x = df.select(F.col(col).alias("v")).filter(F.col("v").isNotNull())
     if upper_quantile is not None:
-        q = x.agg(F.percentile("v", F.lit(upper_quantile))).first()[0]
+        row = exact_quantiles(x, "v", [upper_quantile]).first()
+        q = row[0] if row else None
         x = x.filter(F.col("v") <= F.lit(q))
     lo, hi = x.agg(F.min("v"), F.max("v")).first()
     width = (hi - lo) if hi is not None and hi > lo else 1.0
@@ -106,14 +132,22 @@ def histogram(df: DataFrame, col: str, bins: int = 100, upper_quantile: float |
 def target_by_station(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """A9."""
     y = F.col(spec.target)
-    return df.groupBy(spec.station).agg(
-        F.count(y).alias("count"), F.avg(y).alias("mean"), F.median(y).alias("median"),
-        F.stddev_samp(y).alias("std"), F.min(y).alias("min"), F.max(y).alias("max"))
+    if QUANTILE_METHOD == "aggregate":
+        return df.groupBy(spec.station).agg(
+            F.count(y).alias("count"), F.avg(y).alias("mean"), F.median(y).alias("median"),
+            F.stddev_samp(y).alias("std"), F.min(y).alias("min"), F.max(y).alias("max"))
+    g = df.groupBy(spec.station).agg(F.count(y).alias("count"), F.avg(y).alias("mean"),
+                                     F.stddev_samp(y).alias("std"), F.min(y).alias("min"), F.max(y).alias("max"))
+    return _attach(g, df, spec.target, [0.5], [spec.station], ["median"]).select(
+        spec.station, "count", "mean", "median", "std", "min", "max")
 
 
 def profile(df: DataFrame, spec: PanelSpec, key: Column, name: str) -> DataFrame:
     y = F.col(spec.target)
-    return df.groupBy(key.alias(name)).agg(F.avg(y).alias("mean"), F.median(y).alias("median"))
+    if QUANTILE_METHOD == "aggregate":
+        return df.groupBy(key.alias(name)).agg(F.avg(y).alias("mean"), F.median(y).alias("median"))
+    x = df.select(key.alias(name), y.alias("_y"))
+    return _attach(x.groupBy(name).agg(F.avg("_y").alias("mean")), x, "_y", [0.5], [name], ["median"])
 
 
 def profile_hour(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -143,11 +177,17 @@ def numeric_describe(df: DataFrame, spec: PanelSpec, approx: bool = False) -> Da
     long = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in spec.numeric])))
     v = F.col("v")
-    g = long.groupBy("column").agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"),
-        _percentiles(v, NUMERIC_PERCENTILES, approx).alias("_p"), F.max(v).alias("max"))
-    return g.select("column", "count", "mean", "std", "min",
-                    *[F.col("_p")[i].alias(pct_name(p)) for i, p in enumerate(NUMERIC_PERCENTILES)], "max")
+    names = [pct_name(p) for p in NUMERIC_PERCENTILES]
+    if approx or QUANTILE_METHOD == "aggregate":
+        g = long.groupBy("column").agg(
+            F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"),
+            _percentiles(v, NUMERIC_PERCENTILES, approx).alias("_p"), F.max(v).alias("max"))
+        return g.select("column", "count", "mean", "std", "min",
+                        *[F.col("_p")[i].alias(n) for i, n in enumerate(names)], "max")
+    g = long.groupBy("column").agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+                                   F.min(v).alias("min"), F.max(v).alias("max"))
+    return _attach(g, long, "v", NUMERIC_PERCENTILES, ["column"], names).select(
+        "column", "count", "mean", "std", "min", *names, "max")
 
 
 def correlation(df: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -196,11 +236,13 @@ def daily_mean(df: DataFrame, spec: PanelSpec) -> DataFrame:
 def sequence_summary(index: DataFrame) -> DataFrame:
     """Per split sequences, series, first/last target time, target mean/median/sample std."""
     t = F.col("target")
-    return index.groupBy("split").agg(
+    g = index.groupBy("split").agg(
         F.count(F.lit(1)).alias("sequences"), F.count_distinct("station").alias("stations"),
         F.min("target_datetime").alias("first_target"), F.max("target_datetime").alias("last_target"),
-        F.avg(t).alias("target_mean"), F.median(t).alias("target_median"), F.stddev_samp(t).alias("target_std"),
-    ).withColumn("split_order", split_order("split"))
+        F.avg(t).alias("target_mean"), F.stddev_samp(t).alias("target_std"))
+    g = _attach(g, index, "target", [0.5], ["split"], ["target_median"])
+    return g.select("split", "sequences", "stations", "first_target", "last_target", "target_mean", "target_median",
+                    "target_std").withColumn("split_order", split_order("split"))
 
 
 def sequence_station_summary(index: DataFrame) -> DataFrame:
@@ -223,8 +265,10 @@ def audit_metadata(df: DataFrame, spec: PanelSpec, dataset: str) -> DataFrame:
         F.count(F.lit(1)).alias("rows"), F.count_distinct(spec.station).alias("stations"),
         F.min(spec.time).alias("start_datetime"), F.max(spec.time).alias("end_datetime"),
         F.count(y).alias("valid_values"), (F.count(F.lit(1)) - F.count(y)).alias("missing_values"),
-        F.avg(y).alias("target_mean"), F.median(y).alias("target_median"),
+        F.avg(y).alias("target_mean"),
         F.min(y).alias("target_min"), F.max(y).alias("target_max")).first().asDict()
+    med = exact_quantiles(df, spec.target, [0.5]).first()
+    base["target_median"] = med[0] if med else None
     per = df.groupBy(spec.station).agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct(spec.time).alias("d"),
         ((F.unix_micros(F.max(spec.time).cast("timestamp")) - F.unix_micros(F.min(spec.time).cast("timestamp")))

@@ -155,13 +155,17 @@ class FittedParams:
 def median_table(train: DataFrame, spec: PanelSpec, approx: bool = False) -> DataFrame:
     """P6 as a table ``(column, median)``: median of observed (unfilled) train values.
 
-    Exact by default (``median``); ``approx`` uses ``percentile_approx`` whose buffer is
-    bounded independently of the row count.
+    Exact by default, by one distributed sort of all numeric columns
+    (``functions.quantiles``: no task holds a whole column); ``approx`` uses
+    ``percentile_approx`` (one bounded sketch per column, one pass).
     """
-    agg = (lambda c: F.percentile_approx(c, 0.5, 10000)) if approx else F.median
-    one = train.agg(*[agg(F.col(c)).cast("double").alias(c) for c in spec.numeric])
-    return one.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("median")) for c in spec.numeric])))
+    if approx:
+        one = train.agg(*[F.percentile_approx(F.col(c), 0.5, 10000).cast("double").alias(c) for c in spec.numeric])
+        return one.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(c).alias("median")) for c in spec.numeric])))
+    from ..functions.quantiles import quantile_columns
+
+    return quantile_columns(train, list(spec.numeric), [0.5], ["median"])
 
 
 def scaler_table(imputed_train: DataFrame, spec: PanelSpec) -> DataFrame:
