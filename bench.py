@@ -28,7 +28,7 @@ def main() -> None:
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.session.timeZone", "UTC")
-             .config("spark.sql.shuffle.partitions", str(max(8, 2 * int(cpus))))
+             .config("spark.sql.shuffle.partitions", os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(4 * int(cpus))))
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
              .config("spark.checkpoint.dir", os.environ.get("BENCH_CHECKPOINT_DIR")

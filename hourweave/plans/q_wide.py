@@ -258,3 +258,31 @@ def q_stream_score_windows(spark, sf):
     w = EN.chosen_weight(_pair(spark, sf), 0.01)
     score_window_files(spark, src, windows.schema, S, c.params(), w, sink, ckpt)
     return rounded(spark.read.parquet(sink))
+
+
+@register("read_wide_csv", AW("SELECT * FROM wide", floats=WIDE_F, ints=WIDE_I))
+def q_read_wide_csv(spark, sf):
+    """S2 round trip: wide windows written as CSV, read back with the generated lag x column schema."""
+    path = os.path.join(checkpoint_root(spark), f"wide-csv-{uuid.uuid4().hex}")
+    wide(spark, sf).write.option("header", True).option("nullValue", "NA").csv(path)
+    return rounded(IO.read_wide_csv(spark, path, S))
+
+
+@register("read_template_csv", AW("SELECT id, row_number() OVER (ORDER BY id) - 1 AS position FROM wide",
+                                  ints=["position"]))
+def q_read_template_csv(spark, sf):
+    """S3 round trip: an answer template written in id order; positions come from file order."""
+    path = os.path.join(checkpoint_root(spark), f"template-csv-{uuid.uuid4().hex}")
+    wide(spark, sf).select("id", F.lit(0.0).alias("y")).orderBy("id").coalesce(1) \
+        .write.option("header", True).csv(path)
+    return rounded(IO.read_template_csv(spark, path, value_col="y"))
+
+
+@register("prediction_sample", O.wrap(
+    "SELECT * FROM cpreds ORDER BY md5(concat_ws(':', '42', model, station, strftime(target_datetime, "
+    "'%Y-%m-%d %H:%M:%S'))), model, station, target_datetime LIMIT 5000", floats=["y_true", "y_pred"]))
+def q_prediction_sample(spark, sf):
+    """Seeded sample (<= 5,000 rows, without replacement) behind the actual-vs-predicted plot."""
+    p = E.prepare_predictions(_preds(spark, sf)).withColumn(
+        "_key", F.concat_ws(":", "model", "station", F.date_format("target_datetime", "yyyy-MM-dd HH:mm:ss")))
+    return rounded(W.deterministic_sample(p, 5000, 42, "_key").drop("_key"))
