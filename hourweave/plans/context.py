@@ -34,8 +34,10 @@ class PanelContext:
         return self._stages[name]
 
     def raw(self) -> DataFrame:
-        """Raw CSV-like panel (year, month, day, hour, station, numerics, wd), written once."""
-        return self._memo("raw", lambda: materialize(events_panel(self.spark, self.sf_dir, self.panel, self.spec), f"raw_{self.panel}"))
+        """Raw panel (year, month, day, hour, station, numerics, wd, datetime), written once."""
+        # datetime is kept as a stored column so time predicates reach the parquet scan
+        return self._memo("raw", lambda: materialize(
+            events_panel(self.spark, self.sf_dir, self.panel, self.spec, with_datetime=True), f"raw_{self.panel}"))
 
     def medians(self) -> dict[str, float]:
         train = P.prepare(self.raw(), self.spec).filter("split = 'train'")
@@ -44,8 +46,9 @@ class PanelContext:
     def imputed(self) -> DataFrame:
         """Imputed frame with flags and observed target (unscaled), written once.
         It needs the train medians only; the scaler is then fitted on its train rows."""
+        # partitioned by split: train-only reads (the scaler fit) prune the other splits
         return self._memo("imputed", lambda: materialize(P.impute_with_flags(self.raw(), self.spec, self.medians()),
-                                                         f"imputed_{self.panel}"))
+                                                         f"imputed_{self.panel}", partition_by=["split"]))
 
     def params(self) -> P.FittedParams:
         return self._memo("params", lambda: P.fit_params(self.raw(), self.spec, imputed=self.imputed(),

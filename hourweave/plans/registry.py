@@ -49,13 +49,14 @@ def ctx(spark, sf_dir, panel="A"):
 @register("panel_raw", O.wrap("SELECT year, month, day, hour, station, y, vmax, vmin, vsum, n, users, k, wd FROM raw",
                               floats=NUM, ints=["year", "month", "day", "hour"]))
 def q_panel_raw(spark, sf):
-    return rounded(ctx(spark, sf).raw())
+    return rounded(ctx(spark, sf).raw().select("year", "month", "day", "hour", "station", *NUM, "wd"))
 
 
 @register("add_datetime", O.wrap("SELECT station, datetime, year, month, day, hour FROM raw",
                                  ints=["year", "month", "day", "hour"]))
 def q_add_datetime(spark, sf):
-    return rounded(P.add_datetime(ctx(spark, sf).raw(), S).select("station", "datetime", "year", "month", "day", "hour"))
+    raw = ctx(spark, sf).raw().drop("datetime")  # rebuilt from year / month / day / hour
+    return rounded(P.add_datetime(raw, S).select("station", "datetime", "year", "month", "day", "hour"))
 
 
 @register("assign_split", O.wrap(
