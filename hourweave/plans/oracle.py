@@ -75,14 +75,14 @@ def metric_cols(y: str = "y_true", p: str = "y_pred") -> str:
     return (f"count(*) AS samples, sqrt(avg({e} * {e})) AS rmse, avg(abs({e})) AS mae, {_r2(y, e)} AS r2")
 
 
-def panel_ctes(key: str = "event_type", other: str = "user_id") -> str:
+def panel_ctes(key: str = "event_type", other: str = "user_id", stations=STATIONS_A) -> str:
     med = _list(f"median({c}) AS {c}" for c in NUM)
     flags = _list(f"CAST(p.{c} IS NULL AS DOUBLE) AS {c}_missing" for c in NUM)
     fills = _list(f"coalesce(last_value(p.{c} IGNORE NULLS) OVER w, med.{c}) AS {c}" for c in NUM)
     ffill = _list(f"last_value({c} IGNORE NULLS) OVER w AS {c}" for c in NUM)
     sc = _list(f"avg({c}) AS {c}_m, coalesce(nullif(stddev_pop({c}), 0), 1) AS {c}_s" for c in NUM)
     scaled = _list(f"(f.{c} - sc.{c}_m) / sc.{c}_s AS {c}" for c in NUM)
-    onehot = _list(f"CAST(f.station = '{s}' AS DOUBLE) AS station_{s}" for s in STATIONS_A)
+    onehot = "".join(f", CAST(f.station = '{s}' AS DOUBLE) AS station_{s}" for s in stations)
     return f"""
 ev AS (
   SELECT CAST({key} AS VARCHAR) AS station, date_trunc('hour', ts) AS datetime, CAST(value AS DOUBLE) AS value,
@@ -112,7 +112,7 @@ filled AS (
 sc AS (SELECT {sc} FROM filled WHERE split = 'train'),
 proc AS (
   SELECT f.datetime, f.station, f.target_y, {scaled}, {_list(_time_feats('f.datetime'))},
-         {_list(_wind_feats('f.wd'))}, {_list(f'f.{c}_missing' for c in NUM)}, {onehot}, f.split
+         {_list(_wind_feats('f.wd'))}, {_list(f'f.{c}_missing' for c in NUM)}{onehot}, f.split
   FROM filled f, sc),
 hist AS (
   SELECT *, lag(datetime, {W}) OVER w AS st FROM proc WINDOW w AS (PARTITION BY station ORDER BY datetime)),
@@ -237,3 +237,11 @@ def wide_tabular_select() -> tuple[str, list[str]]:
 
 def all_ctes() -> str:
     return panel_ctes() + "," + wide_ctes()
+
+
+# Panel B: one series per user (many sparse series, no one-hot columns)
+FEATURES_B = NUM + list(TIME_FEATURES) + list(WIND_FEATURES) + [f"{c}_missing" for c in NUM]
+
+
+def panel_b_ctes() -> str:
+    return panel_ctes("user_id", "event_type", stations=())

@@ -475,6 +475,37 @@ def q_ensemble_metrics(spark, sf):
     return rounded(EN.ensemble_metrics(pair, w))
 
 
+# ================================================================ Panel B (many sparse series)
+
+_B = dict(ctes=O.panel_b_ctes())
+_TAB_B_SQL, _TAB_B_NAMES = O.tabular_select(features=O.FEATURES_B)
+
+
+@register("panel_b_impute", O.wrap(f"SELECT station, datetime, target_y, {O._list(NUM)} FROM filled",
+                                   floats=["target_y"] + NUM, **_B))
+def q_panel_b_impute(spark, sf):
+    """Forward fill across long gaps and chunk boundaries on 1 series per user."""
+    return rounded(ctx(spark, sf, "B").imputed().select("station", "datetime", S.observed_target, *NUM))
+
+
+@register("panel_b_sequence_index", O.wrap("SELECT * FROM seq", floats=_SEQ_F, ints=_SEQ_I, **_B))
+def q_panel_b_sequence_index(spark, sf):
+    return rounded(W.sequence_index(ctx(spark, sf, "B").processed(), S))
+
+
+@register("panel_b_tabular_features", O.wrap(_TAB_B_SQL, floats=["target"] + _TAB_B_NAMES, **_B))
+def q_panel_b_tabular_features(spark, sf):
+    c = ctx(spark, sf, "B")
+    return rounded(W.tabular_features(c.processed(), S, c.feature_names()))
+
+
+@register("panel_b_metrics", O.wrap("SELECT * FROM movr", floats=_MF, ints=_MI, **_B))
+def q_panel_b_metrics(spark, sf):
+    c = ctx(spark, sf, "B")
+    return rounded(E.metrics_overall(FC.to_long(FC.baseline_forecasts(c.processed(), S, c.params()),
+                                                ["persistence", "window_mean"])))
+
+
 # topic modules register into QUERIES / ORACLES on import
 from . import q_audit  # noqa: E402,F401
 from . import q_wide  # noqa: E402,F401
