@@ -24,10 +24,14 @@ from pyspark.sql import functions as F
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float] | tuple[float, ...],
-                    groups: list[str] | tuple[str, ...] = (), partitions: int | None = None) -> DataFrame:
+                    groups: list[str] | tuple[str, ...] = (), partitions: int | None = None,
+                    few_groups: bool = False) -> DataFrame:
     """One row per group: ``groups..., q_0, q_1, ...`` (exact, linear interpolation).
 
-    NULL values are ignored; a group without values gets no row.
+    NULL values are ignored; a group without values gets no row.  ``few_groups``
+    declares the number of groups bounded (columns, hours, months, splits): the block
+    table (at most partitions + groups rows) is then broadcast and the sorted values
+    are not shuffled again.  Otherwise the block table is joined by key.
     """
     groups = list(groups)
     v = F.col(value) if isinstance(value, str) else value
@@ -45,7 +49,8 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float] | tup
         F.sum("_c").over(wg).alias("_n"))
     # the block table has at most partitions + groups rows: broadcasting it is bounded
     # by the partition count, not by the data
-    ranked = x.join(F.broadcast(blocks), ["_pid", *groups]) if not groups else x.join(blocks, ["_pid", *groups])
+    bounded = few_groups or not groups
+    ranked = x.join(F.broadcast(blocks), ["_pid", *groups]) if bounded else x.join(blocks, ["_pid", *groups])
     ranked = ranked.select(*groups, "_v", "_n", (F.col("_off") + F.col("_mid") - F.col("_m0")).alias("_r"))
     hs = [(F.col("_n") - 1) * F.lit(float(p)) for p in probs]
     want = F.lit(False)
@@ -71,6 +76,6 @@ def quantile_columns(df: DataFrame, columns: list[str], probs, names: list[str]
     """Exact quantiles of several columns in one sort: rows ``column, <names>...``."""
     long = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_x")) for c in columns])))
-    q = exact_quantiles(long, "_x", probs, ["column"])
+    q = exact_quantiles(long, "_x", probs, ["column"], few_groups=True)
     names = names or [f"q_{i}" for i in range(len(probs))]
     return q.select("column", *[F.col(f"q_{i}").alias(n) for i, n in enumerate(names)])

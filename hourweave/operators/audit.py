@@ -22,11 +22,9 @@ QUANTILE_METHOD = "sort"
 
 
 def _attach(agg_df: DataFrame, src: DataFrame, value, probs, groups: list, names: list[str],
-            method: str | None = None) -> DataFrame:
+            few_groups: bool = True) -> DataFrame:
     """``agg_df`` (one row per group) plus exact quantile columns of ``value``."""
-    if (method or QUANTILE_METHOD) == "aggregate":
-        raise ValueError("aggregate method is handled inline")
-    q = exact_quantiles(src, value, probs, groups)
+    q = exact_quantiles(src, value, probs, groups, few_groups=few_groups)
     q = q.select(*groups, *[F.col(f"q_{i}").alias(n) for i, n in enumerate(names)])
     if groups:
         return agg_df.join(q, groups, "left")
@@ -138,7 +136,8 @@ def target_by_station(df: DataFrame, spec: PanelSpec) -> DataFrame:
             F.stddev_samp(y).alias("std"), F.min(y).alias("min"), F.max(y).alias("max"))
     g = df.groupBy(spec.station).agg(F.count(y).alias("count"), F.avg(y).alias("mean"),
                                      F.stddev_samp(y).alias("std"), F.min(y).alias("min"), F.max(y).alias("max"))
-    return _attach(g, df, spec.target, [0.5], [spec.station], ["median"]).select(
+    # one group per series: unbounded, so the block table is joined by key, not broadcast
+    return _attach(g, df, spec.target, [0.5], [spec.station], ["median"], few_groups=False).select(
         spec.station, "count", "mean", "median", "std", "min", "max")
 
 
