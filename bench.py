@@ -3,7 +3,9 @@
 Runs at $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS] and prints
 one JSON line: {"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}.
 Panel B (one series per user, mostly empty hours) is the scale panel; Panel A is the
-flagship pipeline and the wide-window scoring path.
+flagship pipeline and the wide-window scoring path.  One untimed warm-up job (a scan and
+an aggregate of ``events``) runs first.  Stages that write their result (panel, imputed
+frame, feature table) are timed including the write; the others run to a no-op sink.
 """
 
 from __future__ import annotations
@@ -46,6 +48,10 @@ def main() -> None:
 
     timings: dict[str, float] = {}
 
+    # JVM / code-generation warm-up outside the timed stages: one scan and one
+    # aggregate of the events table (session start-up is not a query cost)
+    spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("event_type").count().collect()
+
     def run(name, fn, execute=True):
         """Time ``fn``; a returned DataFrame is executed in full with a no-op sink
         (``execute=False`` for stages that already wrote their result)."""
@@ -58,8 +64,8 @@ def main() -> None:
 
     b = context(spark, sf_dir, "B")
     run("panel_b_build", lambda: b.raw(), execute=False)
-    run("panel_b_fit", lambda: b.params())
-    run("panel_b_preprocess", lambda: b.imputed(), execute=False)
+    # train medians -> imputed panel (written) -> scaler fitted on its train rows
+    run("panel_b_fit_impute", lambda: b.params())
     run("panel_b_sequence_index", lambda: W.sequence_index(b.processed(), S))
     from hourweave.session import materialize
 
