@@ -224,8 +224,9 @@ def split_summary(df: DataFrame, spec: PanelSpec) -> DataFrame:
 
 
 def daily_mean(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Mean over all series per calendar day; days without rows appear with NULL."""
-    day = F.to_date(spec.time)
+    """Mean over all series per calendar day (midnight timestamps); days without
+    rows appear with NULL."""
+    day = F.date_trunc("day", spec.time).cast("timestamp_ntz")
     daily = df.groupBy(day.alias("day")).agg(F.avg(spec.target).alias("mean"))
     days = daily.agg(F.min("day").alias("lo"), F.max("day").alias("hi")) \
         .select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("day"))

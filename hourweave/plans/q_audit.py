@@ -31,9 +31,6 @@ def sparse(spark, sf):
     return P.add_datetime(events_panel(spark, sf, "A", S, densify=False), S)
 
 
-SPARSE_CTE = "sparse AS (SELECT a.station, a.datetime FROM agg a)"
-
-
 def W_(select, **kw):
     return O.wrap(select, **kw)
 
@@ -196,9 +193,9 @@ def q_split_summary(spark, sf):
 
 
 @register("profile_daily", W_(
-    "SELECT d.day, m.mean FROM (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day "
-    "FROM (SELECT CAST(datetime AS DATE) AS day FROM prep) x) d LEFT JOIN "
-    "(SELECT CAST(datetime AS DATE) AS day, avg(y) AS mean FROM prep GROUP BY 1) m ON d.day = m.day",
+    "SELECT d.day, m.mean FROM (SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS day "
+    "FROM (SELECT date_trunc('day', datetime) AS day FROM prep) x) d LEFT JOIN "
+    "(SELECT date_trunc('day', datetime) AS day, avg(y) AS mean FROM prep GROUP BY 1) m ON d.day = m.day",
     floats=["mean"]))
 def q_profile_daily(spark, sf):
     return rounded(A.daily_mean(prep(spark, sf), S))

@@ -34,9 +34,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage and is always honoured (read from
-    the session, then from the SparkContext).  Only when it is unset (local tests) a
-    scratch folder is created and registered with ``setCheckpointDir``; the conf
-    itself is not modified, as a running session may reject that.
+    the session, then from the SparkContext).  Only when it is unset and the master is
+    local (tests) a scratch folder is created and registered with ``setCheckpointDir``
+    (the conf itself is not modified, as a running session may reject that); on a
+    cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -47,6 +48,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not sc.master.startswith("local"):
+        # a driver-local folder is invisible to executors: never fall back to one on a cluster
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="hourweave-ckpt-"))
     return sc.getCheckpointDir()
 
