@@ -30,13 +30,31 @@ def _valid_target(spec: PanelSpec, w: int) -> Column:
     )
 
 
+def prefix_sum(df: DataFrame, order_cols: list[str], value: str, name: str) -> DataFrame:
+    """Exclusive running sum of ``value`` in the total order ``order_cols``, distributed.
+
+    Range-partition by the order, sum per partition (a table with at most
+    ``spark.sql.shuffle.partitions`` rows, broadcast), turn those sums into partition
+    offsets, and add the running sum inside each partition.  No single-partition
+    window over the rows.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
+    sums = x.groupBy("_pid").agg(F.sum(value).alias("_ps"))
+    offs = sums.select("_pid", F.coalesce(F.sum("_ps").over(Window.orderBy("_pid").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0)).alias("_po"))
+    local = F.coalesce(F.sum(value).over(Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0))
+    return x.join(F.broadcast(offs), "_pid").withColumn(name, F.col("_po") + local).drop("_pid", "_po")
+
+
 def dense_sequence_id(df: DataFrame, spec: PanelSpec, order_col: str, name: str = "sequence_id",
                       chunk_col: str | None = None) -> DataFrame:
     """0-based id in (series, time) order without a single-partition window over rows.
 
     Counts per (series, chunk) -> per-series totals; the running offset over series
-    is computed on the series table (one row per series), the offset of each chunk
-    within its series on the (series, chunk) table partitioned by series.  Rows then
+    is a distributed prefix sum over the series table, the offset of each chunk
+    within its series a running sum on the (series, chunk) table partitioned by series.  Rows then
     only need a ``row_number`` inside their (series, chunk).  Passing the ``_part``
     column of a look-back window as ``chunk_col`` reuses that window's partitioning,
     so the rows are not shuffled again.
@@ -46,9 +64,7 @@ def dense_sequence_id(df: DataFrame, spec: PanelSpec, order_col: str, name: str
     x = df if chunk_col else df.withColumn(CHUNK, chunk_of(spec.with_(time=order_col)))
     counts = x.groupBy(st, ck).agg(F.count(F.lit(1)).alias("_cnt"))
     totals = counts.groupBy(st).agg(F.sum("_cnt").alias("_tot"))
-    series_off = totals.select(
-        st, F.coalesce(F.sum("_tot").over(Window.orderBy(st).rowsBetween(Window.unboundedPreceding, -1)),
-                       F.lit(0)).alias("_soff"))
+    series_off = prefix_sum(totals, [st], "_tot", "_soff").select(st, "_soff")
     chunk_off = counts.select(
         st, ck,
         F.coalesce(F.sum("_cnt").over(Window.partitionBy(st).orderBy(ck)
