@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import SPLITS, PanelSpec
-from ..functions.quantiles import exact_quantiles, quantile_columns
+from ..functions.quantiles import exact_quantiles
 from .preprocess import split_order
 
 # "sort": exact, distributed (functions.quantiles); "aggregate": Spark's percentile /

@@ -6,7 +6,7 @@ row per group and task, whatever the number of predictions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import SPLITS

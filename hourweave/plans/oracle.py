@@ -9,8 +9,8 @@ as on the Spark side (``functions.rounded``).
 from __future__ import annotations
 
 from ..functions.exprs import TIE_SHIFT
-from ..config import (COMPASS_DEGREES, DELTA_HOURS, EVENT_WIND_CODES, EVENTS_SPEC, SPLITS, TARGET_RANGES,
-                      TIME_FEATURES, WIND_FEATURES)
+from ..config import (COMPASS_DEGREES, DELTA_HOURS, EVENT_WIND_CODES, EVENTS_SPEC, TIME_FEATURES,
+                      WIND_FEATURES)
 
 S = EVENTS_SPEC
 NUM = list(S.numeric)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..config import EVENTS_SPEC
 from ..functions.exprs import rounded
 from ..operators import audit as A

@@ -13,7 +13,6 @@ from ..functions.exprs import TIE_SHIFT, rounded
 from ..operators import ensemble as EN
 from ..operators import evaluate as E
 from ..operators import forecast as FC
-from ..operators import preprocess as P
 from ..operators import quality as Q
 from ..operators import submission as SB
 from ..operators import wide as WD

@@ -256,7 +256,9 @@ def q_window_batches(spark, sf):
     return rounded(W.window_batches(idx, 512).select("sequence_id", "batch_id"))
 
 
-@register("window_batches_shuffled")
+@register("window_batches_shuffled", O.wrap(
+    "SELECT sequence_id, (row_number() OVER (ORDER BY md5(concat_ws(':', '42', CAST(sequence_id AS VARCHAR))), "
+    "sequence_id) - 1) // 512 AS batch_id FROM seq", ints=["sequence_id", "batch_id"]))
 def q_window_batches_shuffled(spark, sf):
     idx = W.sequence_index(ctx(spark, sf).processed(), S)
     return rounded(W.window_batches(idx, 512, seed=42).select("sequence_id", "batch_id"))
