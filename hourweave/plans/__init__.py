@@ -1,0 +1 @@
+"""Registered queries (``registry.QUERIES``) with their DuckDB oracles (``registry.ORACLES``)."""

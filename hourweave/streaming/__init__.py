@@ -1,0 +1 @@
+"""Structured Streaming jobs (scoring of independent windows as files arrive)."""
