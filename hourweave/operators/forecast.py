@@ -84,7 +84,15 @@ def fit_ridge(train: DataFrame, feature_cols: list[str], label: str = "target",
 
 def fit_gbt(train: DataFrame, feature_cols: list[str], label: str = "target", max_iter: int = 150,
             step_size: float = 0.05, max_depth: int = 5, min_instances: int = 30, seed: int = 42) -> PipelineModel:
-    """gradient-boosted trees (comparable to, not equal to, a histogram GBM)."""
+    """gradient-boosted trees (comparable to, not equal to, a histogram GBM).
+
+    Tree learning makes several passes per level and iteration, so the input is
+    capped at the default parallelism (one partition per core): more partitions only
+    add scheduling per pass.
+    """
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    if train.rdd.getNumPartitions() > cores:
+        train = train.coalesce(cores)
     gbt = GBTRegressor(featuresCol="_features", labelCol=label, predictionCol="y_pred", maxIter=max_iter,
                        stepSize=step_size, maxDepth=max_depth, minInstancesPerNode=min_instances, maxBins=64,
                        seed=seed)
