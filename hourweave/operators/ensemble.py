@@ -87,5 +87,8 @@ def ensemble_metrics(aligned: DataFrame, weight: float, name: str = "blend") ->
 
 
 def chosen_weight(aligned: DataFrame, step: float = 0.01, split: str = "validation") -> float:
-    """Weight chosen on ``split`` (one scalar to the driver)."""
-    return float(best_weight(weight_search(aligned.filter(F.col("split") == split), step)).first()["first_weight"])
+    """Weight chosen on ``split`` (one scalar to the driver); no rows on ``split`` is an error."""
+    row = best_weight(weight_search(aligned.filter(F.col("split") == split), step)).first()
+    if row is None:
+        raise ValueError(f"no aligned predictions on split {split!r} to choose a weight from")
+    return float(row["first_weight"])

@@ -19,6 +19,10 @@ from ..sources.events_panel import events_panel
 
 _CACHE: dict[tuple, "PanelContext"] = {}
 
+# One-hot station columns per panel: automatic (<= 64 series) for Panel A, never for
+# Panel B (one series per user: unbounded category count).
+PANEL_ONEHOT = {"A": None, "B": False}
+
 
 @dataclass
 class PanelContext:
@@ -52,7 +56,8 @@ class PanelContext:
 
     def params(self) -> P.FittedParams:
         return self._memo("params", lambda: P.fit_params(self.raw(), self.spec, imputed=self.imputed(),
-                                                         medians=self.medians()))
+                                                         medians=self.medians(),
+                                                         onehot=PANEL_ONEHOT.get(self.panel)))
 
     def processed(self) -> DataFrame:
         """Model frame: a map-only projection of the written imputed frame (not written again)."""
