@@ -8,7 +8,7 @@ table into an exception for callers that want the raising behaviour.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PanelSpec
@@ -83,9 +83,14 @@ def duplicate_keys(df: DataFrame, spec: PanelSpec) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """V3 (listing): every copy of a duplicated key (``keep=False``)."""
-    c = F.count(F.lit(1)).over(Window.partitionBy(spec.station, spec.time))
-    return df.withColumn("_c", c).filter(F.col("_c") > 1).drop("_c")
+    """V3 (listing): every copy of a duplicated key (``keep=False``).
+
+    A left-semi join against the duplicated keys (an aggregate with map-side
+    partials) rather than a count window: a key copied millions of times would put
+    all copies into one window task, while a skewed join partition is split by AQE.
+    """
+    keys = duplicate_keys(df, spec).select(spec.station, spec.time)
+    return df.join(keys, [spec.station, spec.time], "left_semi")
 
 
 def previous_time(df: DataFrame, spec: PanelSpec, name: str = "previous_datetime") -> DataFrame:

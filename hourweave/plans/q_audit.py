@@ -315,3 +315,11 @@ def q_dq_window_index(spark, sf):
 def q_dq_target_preserved(spark, sf):
     c = context(spark, sf)
     return rounded(Q.target_preserved(c.raw(), c.processed(), S))
+
+
+@register("dq_duplicate_rows", W_(
+    f"SELECT p.station, p.datetime, {O._list('p.' + c for c in NUM)} FROM prep p JOIN (SELECT station, datetime "
+    "FROM prep GROUP BY station, datetime HAVING count(*) > 1) d ON p.station = d.station AND p.datetime = d.datetime",
+    floats=NUM))
+def q_dq_duplicate_rows(spark, sf):
+    return rounded(Q.duplicate_rows(prep(spark, sf), S).select("station", "datetime", *NUM))
