@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import EVENTS_SPEC, PanelSpec
 from ..operators import preprocess as P
 from ..session import materialize
-from ..sources.events_panel import events_panel
+from ..sources.events_panel import events_panel, hourly_aggregate
 
 _CACHE: dict[tuple, "PanelContext"] = {}
 
@@ -39,9 +39,17 @@ class PanelContext:
 
     def raw(self) -> DataFrame:
         """Raw panel (year, month, day, hour, station, numerics, wd, datetime), written once."""
-        # datetime is kept as a stored column so time predicates reach the parquet scan
+        # the sparse hourly aggregate is written first, so the events are read once (the
+        # hour range and the series list come from it); datetime is kept as a stored
+        # column so time predicates reach the parquet scan
         return self._memo("raw", lambda: materialize(
-            events_panel(self.spark, self.sf_dir, self.panel, self.spec, with_datetime=True), f"raw_{self.panel}"))
+            events_panel(self.spark, self.sf_dir, self.panel, self.spec, with_datetime=True,
+                         sparse=self.sparse()), f"raw_{self.panel}"))
+
+    def sparse(self) -> DataFrame:
+        """Per (series, hour) aggregate of the events (hours with events only), written once."""
+        return self._memo("sparse", lambda: materialize(hourly_aggregate(self.spark, self.sf_dir, self.panel),
+                                                        f"sparse_{self.panel}"))
 
     def medians(self) -> dict[str, float]:
         train = P.prepare(self.raw(), self.spec).filter("split = 'train'")

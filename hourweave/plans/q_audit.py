@@ -26,7 +26,7 @@ def prep(spark, sf):
 
 def sparse(spark, sf):
     """Hourly panel *before* densification: real gaps for the continuity checks."""
-    return P.add_datetime(events_panel(spark, sf, "A", S, densify=False), S)
+    return P.add_datetime(events_panel(spark, sf, "A", S, densify=False, sparse=context(spark, sf).sparse()), S)
 
 
 def W_(select, **kw):

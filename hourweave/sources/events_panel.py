@@ -62,18 +62,16 @@ def dense_calendar(series: DataFrame, lo: _dt.datetime, hi: _dt.datetime, chunk_
     return offsets.select(station, F.timestamp_add("HOUR", F.col("_h"), lo_lit).alias(time))
 
 
-def events_panel(spark: SparkSession, sf_dir: str, panel: str = "A", spec: PanelSpec = EVENTS_SPEC,
-                 with_datetime: bool = False, densify: bool = True) -> DataFrame:
-    """Raw hourly panel (CSV-like layout: year, month, day, hour, station, numerics, wd).
+VALUE_COLS = ("y", "vmax", "vmin", "vsum", "_n", "_u", "k", "_ksum")
+
 
-    The events are aggregated per (series, hour) first -- map-side partials, and the
-    distinct count's expand touches event rows only -- and the sparse result is then
-    densified: calendar rows are unioned in and one cheap ``max`` per column keeps the
-    single non-NULL value of each (series, hour).  The hour range is two scalars
-    collected once.  ``densify=False`` keeps only hours with events.
+def hourly_aggregate(spark: SparkSession, sf_dir: str, panel: str = "A") -> DataFrame:
+    """Sparse panel: one row per (series, hour) with events.
+
+    Map-side partial aggregates; the distinct count's expand touches event rows only.
     """
     ev = hourly_events(spark, sf_dir, panel)
-    agg = ev.groupBy("station", "datetime").agg(
+    return ev.groupBy("station", "datetime").agg(
         F.avg("value").alias("y"),
         F.max("value").alias("vmax"),
         F.min("value").alias("vmin"),
@@ -84,17 +82,27 @@ def events_panel(spark: SparkSession, sf_dir: str, panel: str = "A", spec: Panel
         F.avg(F.col("_k").cast("double")).alias("k"),
         F.sum("_k").alias("_ksum"),
     )
-    value_cols = ["y", "vmax", "vmin", "vsum", "_n", "_u", "k", "_ksum"]
-    if densify:
-        lo, hi = ev.agg(F.min("datetime"), F.max("datetime")).first()
-        calendar = dense_calendar(ev.select("station").distinct(), lo, hi, spec.chunk_hours or 24 * 28)
-        types = dict(agg.dtypes)
-        filler = calendar.select("station", "datetime",
-                                 *[F.lit(None).cast(types[c]).alias(c) for c in value_cols])
-        agg = agg.unionByName(filler).groupBy("station", "datetime").agg(*[F.max(c).alias(c) for c in value_cols])
+
+
+def densify_panel(sparse: DataFrame, spec: PanelSpec = EVENTS_SPEC) -> DataFrame:
+    """Every (series, hour) of the global hour range: calendar rows are unioned in and
+    one cheap ``max`` per column keeps the single non-NULL value of each key.
+
+    The hour range (two scalars) and the series list come from the sparse aggregate,
+    not from the raw events, so the events are read once when ``sparse`` is written.
+    """
+    lo, hi = sparse.agg(F.min("datetime"), F.max("datetime")).first()
+    calendar = dense_calendar(sparse.select("station").distinct(), lo, hi, spec.chunk_hours or 24 * 28)
+    types = dict(sparse.dtypes)
+    filler = calendar.select("station", "datetime", *[F.lit(None).cast(types[c]).alias(c) for c in VALUE_COLS])
+    return sparse.unionByName(filler).groupBy("station", "datetime").agg(*[F.max(c).alias(c) for c in VALUE_COLS])
+
+
+def panel_columns(agg: DataFrame, with_datetime: bool = False) -> DataFrame:
+    """Aggregate -> raw panel layout (year, month, day, hour, station, numerics, wd)."""
     codes = F.array(*[F.lit(c) for c in EVENT_WIND_CODES])
     t = F.col("datetime")
-    out = agg.select(
+    return agg.select(
         F.year(t).alias("year"), F.month(t).alias("month"), F.dayofmonth(t).alias("day"), F.hour(t).alias("hour"),
         "station",
         "y", "vmax", "vmin", "vsum",
@@ -105,4 +113,17 @@ def events_panel(spark: SparkSession, sf_dir: str, panel: str = "A", spec: Panel
             codes, (F.pmod(F.col("_ksum"), F.lit(len(EVENT_WIND_CODES))) + 1).cast("int"))).alias("wd"),
         *([t] if with_datetime else []),
     )
-    return out
+
+
+def events_panel(spark: SparkSession, sf_dir: str, panel: str = "A", spec: PanelSpec = EVENTS_SPEC,
+                 with_datetime: bool = False, densify: bool = True, sparse: DataFrame | None = None) -> DataFrame:
+    """Raw hourly panel (CSV-like layout: year, month, day, hour, station, numerics, wd).
+
+    Events are aggregated per (series, hour) (``hourly_aggregate``) and, unless
+    ``densify=False``, densified over the global hour range.  Pass a written ``sparse``
+    aggregate to read the events only once.
+    """
+    agg = sparse if sparse is not None else hourly_aggregate(spark, sf_dir, panel)
+    if densify:
+        agg = densify_panel(agg, spec)
+    return panel_columns(agg, with_datetime)
