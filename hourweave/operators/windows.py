@@ -59,10 +59,15 @@ def dense_sequence_id(df: DataFrame, spec: PanelSpec, order_col: str, name: str
     column of a look-back window as ``chunk_col`` reuses that window's partitioning,
     so the rows are not shuffled again.
     """
+    from ..session import materialize
+
     st = spec.station
     ck = chunk_col or CHUNK
     x = df if chunk_col else df.withColumn(CHUNK, chunk_of(spec.with_(time=order_col)))
-    counts = x.groupBy(st, ck).agg(F.count(F.lit(1)).alias("_cnt"))
+    # the count table (one row per series and chunk) is written once: the range
+    # sampling of the prefix sum and the offsets then read it instead of re-running
+    # the rows' upstream plan (e.g. a look-back window) for every job
+    counts = materialize(x.groupBy(st, ck).agg(F.count(F.lit(1)).alias("_cnt")), "sequence_counts")
     totals = counts.groupBy(st).agg(F.sum("_cnt").alias("_tot"))
     series_off = prefix_sum(totals, [st], "_tot", "_soff").select(st, "_soff")
     chunk_off = counts.select(
