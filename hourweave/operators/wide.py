@@ -1,10 +1,10 @@
 """Independent wide windows: one row per window with ``<col>_lag_<k>`` columns.
 
 Each row already holds its whole window, so everything here is map-only -- no
-shuffle at all: the fill *inside* a window is a ``coalesce`` over the older lag
-columns, features are computed per lag, and the tabular features reuse the array
-functions of the panel path on an array built from the row itself.  The long
-(one row per hour) form is an ``inline`` of that array.
+shuffle at all: each column's lags become one array (oldest first), the fill
+*inside* a window is one left fold over it, the per-hour features are one lambda
+over the zipped arrays, and the tabular features reuse the array functions of the
+panel path.  The long (one row per hour) form is an ``inline`` of that array.
 """
 
 from __future__ import annotations
