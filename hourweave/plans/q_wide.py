@@ -270,10 +270,10 @@ def q_read_wide_csv(spark, sf):
 @register("read_template_csv", AW("SELECT id, row_number() OVER (ORDER BY id) - 1 AS position FROM wide",
                                   ints=["position"]))
 def q_read_template_csv(spark, sf):
-    """S3 round trip: an answer template written in id order; positions come from file order."""
+    """S3 round trip: an answer template written in id order (range-partitioned part
+    files); positions come from file and row order."""
     path = os.path.join(checkpoint_root(spark), f"template-csv-{uuid.uuid4().hex}")
-    wide(spark, sf).select("id", F.lit(0.0).alias("y")).orderBy("id").coalesce(1) \
-        .write.option("header", True).csv(path)
+    wide(spark, sf).select("id", F.lit(0.0).alias("y")).orderBy("id").write.option("header", True).csv(path)
     return rounded(IO.read_template_csv(spark, path, value_col="y"))
 
 

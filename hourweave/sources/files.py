@@ -66,15 +66,18 @@ def read_wide_csv(spark: SparkSession, path: str, spec: PanelSpec = AIR_SPEC, nu
 
 
 def read_template_csv(spark: SparkSession, path: str, value_col: str = "PM2.5") -> DataFrame:
-    """S3: ``id`` (and a value column) with its row position in the file.
+    """S3: ``id`` (and a value column) with its row position in the file(s).
 
-    ``monotonically_increasing_id`` right after the scan follows file order (split
-    index major, row minor); ``global_rank`` turns it into a dense 0-based position.
+    Position = order of (file path, row within the file): ``monotonically_increasing_id``
+    right after the scan follows a file's row order (its splits keep their offset
+    order), and files are ordered by path, so a template written as several ordered
+    part files reads back in order.  ``global_rank`` turns the pair into a dense
+    0-based position without a single-partition sort.
     """
     schema = T.StructType([T.StructField("id", T.StringType()), T.StructField(value_col, T.DoubleType())])
     df = spark.read.schema(schema).option("header", True).csv(path)
-    df = df.withColumn("_order", F.monotonically_increasing_id())
-    return global_rank(df, ["_order"], "position").drop("_order").select("id", "position")
+    df = df.select("id", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_order"))
+    return global_rank(df, ["_file", "_order"], "position").select("id", "position")
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -105,3 +105,13 @@ def test_streaming_scorer_matches_batch(spark):
     batch = {r["id"]: max(r["blend"], 0.0) for r in SB.blended_window_predictions(wide, spec, params, 0.5).collect()}
     assert len(streamed) == 48 and streamed.keys() == batch.keys()
     assert all(streamed[k] == pytest.approx(batch[k]) for k in batch)
+
+
+def test_template_positions_across_part_files(spark):
+    d = os.path.join(tempfile.mkdtemp(prefix="hw-tmpl-"), "t")
+    ids = [f"test_{i:05d}" for i in range(500)]
+    spark.createDataFrame([(i, 0.0) for i in ids], "id string, y double").repartitionByRange(4, "id") \
+        .sortWithinPartitions("id").write.option("header", True).csv(d)
+    assert len([f for f in os.listdir(d) if f.startswith("part-")]) == 4
+    got = IO.read_template_csv(spark, d, value_col="y").orderBy("position").collect()
+    assert [r["id"] for r in got] == ids and [r["position"] for r in got] == list(range(500))
