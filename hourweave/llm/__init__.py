@@ -6,12 +6,16 @@ their functions and, where SQL can express them, to DuckDB SQL.
 
 from __future__ import annotations
 
-from . import line_dedup
+from . import decontaminate, line_dedup, simhash, token_files
 
 QUERIES = {
+    "op1_token_files": token_files.op1_token_files,
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op6_simhash": simhash.op6_simhash,
+    "op9_decontaminate": decontaminate.op9_decontaminate,
 }
 
 ORACLES = {
     "op2_line_dedup": line_dedup.ORACLE,
+    "op9_decontaminate": decontaminate.ORACLE,
 }
