@@ -6,16 +6,41 @@ their functions and, where SQL can express them, to DuckDB SQL.
 
 from __future__ import annotations
 
-from . import decontaminate, line_dedup, simhash, token_files
+from functools import wraps
 
-QUERIES = {
-    "op1_token_files": token_files.op1_token_files,
-    "op2_line_dedup": line_dedup.op2_line_dedup,
-    "op6_simhash": simhash.op6_simhash,
-    "op9_decontaminate": decontaminate.op9_decontaminate,
-}
+from . import (
+    decontaminate,
+    line_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    token_files,
+)
+from .common import ship
+
+
+def _shipped(query):
+    @wraps(query)
+    def run(spark, sf_dir):
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES = {f.__name__: _shipped(f) for f in (
+    token_files.op1_token_files,
+    line_dedup.op2_line_dedup,
+    quality_classifier.op3_quality_classifier,
+    packing.op4_packing,
+    simhash.op6_simhash,
+    decontaminate.op9_decontaminate,
+    quality_rules.op10_quality_rules,
+)}
 
 ORACLES = {
     "op2_line_dedup": line_dedup.ORACLE,
     "op9_decontaminate": decontaminate.ORACLE,
+    "op10_quality_rules": quality_rules.ORACLE,
 }

@@ -9,8 +9,11 @@ operator's docstring says otherwise; a null ``doc_id`` is an id of its own that
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -20,6 +23,23 @@ from pyspark.sql import functions as F
 from hourweave.session import checkpoint_root
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers, once per application: they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="hourweave-")) / "hourweave.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
