@@ -15,6 +15,7 @@ from . import (
     quality_classifier,
     quality_rules,
     simhash,
+    token_counts,
     token_files,
 )
 from .common import ship
@@ -34,6 +35,7 @@ QUERIES = {f.__name__: _shipped(f) for f in (
     line_dedup.op2_line_dedup,
     quality_classifier.op3_quality_classifier,
     packing.op4_packing,
+    token_counts.op5_token_counts,
     simhash.op6_simhash,
     decontaminate.op9_decontaminate,
     quality_rules.op10_quality_rules,

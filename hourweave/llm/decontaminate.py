@@ -41,11 +41,14 @@ _STEP = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
 class Words:
-    """The words of a batch of texts: their bytes, bounds, hashes and the text each belongs to."""
+    """The words of a batch of texts: their bytes, bounds, hashes and the text each belongs to.
 
-    def __init__(self, texts: list[str]):
+    ``table`` says what each byte becomes; 0 ends a word.
+    """
+
+    def __init__(self, texts: list[str], table: np.ndarray = _WORD):
         data = [t.encode() for t in texts]
-        self.bytes = _WORD[np.frombuffer(b"\n".join(data) + b"\n", np.uint8)]
+        self.bytes = table[np.frombuffer(b"\n".join(data) + b"\n", np.uint8)]
         word = self.bytes != 0
         edge = np.flatnonzero(word != np.r_[False, word[:-1]])
         self.start, self.stop = edge[::2], edge[1::2]
