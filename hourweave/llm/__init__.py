@@ -12,11 +12,13 @@ from . import (
     decontaminate,
     line_dedup,
     packing,
+    pii,
     quality_classifier,
     quality_rules,
     simhash,
     token_counts,
     token_files,
+    toxicity,
 )
 from .common import ship
 
@@ -37,6 +39,8 @@ QUERIES = {f.__name__: _shipped(f) for f in (
     packing.op4_packing,
     token_counts.op5_token_counts,
     simhash.op6_simhash,
+    toxicity.op7_toxicity,
+    pii.op8_pii,
     decontaminate.op9_decontaminate,
     quality_rules.op10_quality_rules,
 )}

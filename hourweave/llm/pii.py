@@ -110,6 +110,24 @@ def _contexts(w: Words, first: np.ndarray, last: np.ndarray, owner: np.ndarray)
     return out[0], out[1]
 
 
+def _offsets(text: str) -> np.ndarray:
+    """Byte offset of every code point, and of the end."""
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    return np.r_[0, np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF))]
+
+
+def _plain(w: Words, texts_: list[str]) -> np.ndarray:
+    """Tokens that neither look like identifiers nor touch a base span."""
+    plain, byte = ~_identifiers(w), 0
+    for text, first, n in zip(texts_, w.first, w.count, strict=True):
+        if n and re.search(r"[0-9@]", text):
+            at, own = _offsets(text), slice(first, first + n)
+            for a, _, b in base_spans(text):
+                plain[own] &= (w.stop[own] <= at[a] + byte) | (w.start[own] >= at[b] + byte)
+        byte += len(text.encode()) + 1
+    return np.flatnonzero(plain)
+
+
 def find(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, key (hash of the text), base spans, and all identifiers with their contexts.
 
@@ -129,9 +147,7 @@ def find(docs: DataFrame) -> DataFrame:
                 spans = base_spans(text)
                 base[i] = [{"start": a, "kind": kind, "end": b} for a, kind, b in spans]
                 own = np.arange(w.first[k], ends[k])
-                wide = len(text.encode()) != len(text)
-                # byte offsets of code points, where they differ
-                at = np.cumsum([0, *(len(c.encode()) for c in text)]) if wide else np.arange(len(text) + 1)
+                at = _offsets(text)
                 targets = [(a, b, KINDS[kind]) for a, kind, b in spans]
                 covered = np.zeros(len(text) + 1, bool)
                 for a, _, b in spans:
@@ -168,7 +184,7 @@ def _surroundings(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in rows_below(frames, "text", TEXT_AT_ONCE):
             w = Words(frame["text"].tolist(), _TOKEN)
-            plain = np.flatnonzero(~_identifiers(w))
+            plain = _plain(w, frame["text"].tolist())
             for c in _contexts(w, plain, plain, w.text[plain]) if len(plain) else ():
                 hit, n = np.unique(c[_passes(bits.value, c)], return_counts=True)
                 yield pd.DataFrame({"pattern": signed(hit), "others": n})
@@ -236,7 +252,9 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(
             ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")
+
     return found.select(
-        "doc_id", *[F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}")
-                    for i, k in enumerate(KINDS)],
+        "doc_id", *[count(kind) for kind in range(len(KINDS))],
         F.sha2(text("base").cast("binary"), 256).alias("base_sha256"), text("spans").alias("spans"))

@@ -30,7 +30,7 @@ SAMPLE_EACH = 3000
 STEMS = range(3, 9)
 LIFT = 10.0
 #: log-likelihood ratio from which an entry is no chance find among all words and beginnings
-EVIDENCE = 14.0
+EVIDENCE = 11.0
 CONTEXT = 8
 CACHE = 500_000
 FEATURES = ("words", "stems", "misspelt", "quoted", "density")
