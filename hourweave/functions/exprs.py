@@ -79,13 +79,14 @@ def regression_metric_columns(y: str | Column, p: str | Column) -> list[Column]:
     """samples, rmse, mae, r2 as aggregate expressions (one pass, map-side partial).
 
     R^2 = 1 - SSE / SST with SST = n * var_pop(y).  Constant targets give 1.0 on an
-    exact fit and 0.0 otherwise; fewer than two samples give NULL.
+    exact fit and 0.0 otherwise; fewer than two samples give NULL.  Rows where either side is
+    NULL are no samples.
     """
     y, p = col(y).cast("double"), col(p).cast("double")
     e = y - p
-    n = F.count(F.lit(1))
+    n = F.count(e)
     sse = F.sum(e * e)
-    sst = F.var_pop(y) * n
+    sst = F.var_pop(F.when(e.isNotNull(), y)) * n
     r2 = (
         F.when(n < 2, F.lit(None).cast("double"))
         .when(sst == 0, F.when(sse == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
@@ -120,18 +121,12 @@ def range_labels(y: str | Column, disjoint: bool = False) -> Column:
 
 # ---------------------------------------------------------------- output shaping
 
-# Offset of the rounding threshold used by ``rounded`` (and by the oracle SQL).
-TIE_SHIFT = 0.1371
-
-
 def rounded(df: DataFrame, digits: int = 6, overrides: dict[str, int] | None = None) -> DataFrame:
     """Round floating columns (``+ 0.0`` removes negative zero), widen integers to bigint.
 
-    Rounding is ``round(x * 10^d + TIE_SHIFT) / 10^d`` on both sides.  Inputs with few
-    decimals often give results that sit exactly on a decimal tie (38.6213125), and two
-    engines summing in different orders land 1 ulp either side of it.  Shifting the
-    rounding threshold off the tie point (to a fraction no short decimal produces) makes
-    the rounded value insensitive to that noise.  Values move by less than 10^-d.
+    Values are rounded to three more digits first: inputs with few decimals often give results that sit exactly
+    on a decimal tie (38.6213125), and two engines summing in different orders land 1 ulp either side of it;
+    after the first rounding both are the tie itself.
 
     Used at the output boundary of registered queries so results compare equal to
     the DuckDB oracles, which apply the same rounding.
@@ -142,7 +137,7 @@ def rounded(df: DataFrame, digits: int = 6, overrides: dict[str, int] | None = N
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
             scale = F.lit(float(10 ** overrides.get(f.name, digits)))
-            c = F.round(c.cast("double") * scale + F.lit(TIE_SHIFT)) / scale + F.lit(0.0)
+            c = F.round(F.round(c.cast("double") * scale * 1000) / 1000) / scale + F.lit(0.0)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("long")
         elif isinstance(f.dataType, T.BooleanType):

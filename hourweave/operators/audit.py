@@ -55,25 +55,39 @@ def extent(df: DataFrame, spec: PanelSpec) -> DataFrame:
     )
 
 
-def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
-    """A2: per column dtype, non-null, missing, distinct (NULL excluded), missing %."""
+def _null_counts(df: DataFrame) -> DataFrame:
+    """Per column dtype, non-null, missing, missing %: one aggregate, no distincts."""
     fields = df.schema.fields
-    dist = F.approx_count_distinct if approx else F.count_distinct
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, f in enumerate(fields):
-        aggs += [F.count(F.col(f"`{f.name}`")).alias(f"nn{i}"), dist(F.col(f"`{f.name}`")).alias(f"d{i}")]
-    one = df.agg(*aggs)
+    one = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(f"`{f.name}`")).alias(f"nn{i}") for i, f in enumerate(fields)])
     rows = [F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("dtype"),
                      F.col(f"nn{i}").alias("non_null"), (F.col("_rows") - F.col(f"nn{i}")).alias("missing"),
-                     F.col(f"d{i}").cast("long").alias("distinct"),
                      ((F.col("_rows") - F.col(f"nn{i}")) * 100.0 / F.col("_rows")).alias("missing_pct"))
             for i, f in enumerate(fields)]
     return one.select(F.inline(F.array(*rows)))
 
 
+def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
+    """A2: per column dtype, non-null, missing, distinct (NULL excluded), missing %.
+
+    Exact distincts count (column, value) pairs after a map-side partial, so no task sees a whole column.
+    """
+    fields = df.schema.fields
+    if approx:
+        one = df.agg(*[F.approx_count_distinct(F.col(f"`{f.name}`")).alias(f"d{i}") for i, f in enumerate(fields)])
+        distinct = one.select(F.inline(F.array(*[F.struct(F.lit(f.name).alias("column"), F.col(f"d{i}").alias("distinct"))
+                                                 for i, f in enumerate(fields)])))
+    else:
+        pairs = df.select(F.inline(F.array(*[F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").cast("string").alias("_x"))
+                                             for f in fields]))).filter("_x IS NOT NULL")
+        distinct = pairs.groupBy("column", "_x").count().groupBy("column").agg(F.count(F.lit(1)).alias("distinct"))
+    return (_null_counts(df).join(distinct, "column", "left")
+            .select("column", "dtype", "non_null", "missing", F.coalesce("distinct", F.lit(0)).cast("long").alias("distinct"),
+                    "missing_pct"))
+
+
 def missing_summary(df: DataFrame) -> DataFrame:
     """A3: columns with missing values, most missing first."""
-    return column_profile(df).filter(F.col("missing") > 0).select("column", "missing", "missing_pct") \
+    return _null_counts(df).filter(F.col("missing") > 0).select("column", "missing", "missing_pct") \
         .orderBy(F.desc("missing_pct"), "column")
 
 

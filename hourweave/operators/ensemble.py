@@ -62,17 +62,27 @@ def weight_grid_size(step: float) -> int:
 def weight_search(aligned: DataFrame, step: float = 0.01) -> DataFrame:
     """RMSE / MAE / R^2 of every weight on the ``round(1/step)+1`` grid (unclipped).
 
-    Each row is expanded into the grid inside the task and aggregated per weight
-    with a map-side partial, so the shuffle carries ``grid`` rows per task.
+    One pass without expanding rows: squared errors of all weights follow from the sums of e1^2, e1*e2 and e2^2,
+    absolute errors are one sum per weight in the same aggregate, so each task shuffles one row.
     """
     n = weight_grid_size(step)
-    x = aligned.select("y_true", "pred_first", "pred_second", F.explode(F.sequence(F.lit(0), F.lit(n))).alias("_i"))
-    x = x.withColumn("first_weight", F.round(F.col("_i") / F.lit(float(n)), 10))
-    x = x.withColumn("y_pred", F.col("first_weight") * F.col("pred_first")
-                     + (F.lit(1.0) - F.col("first_weight")) * F.col("pred_second"))
-    m = x.groupBy("first_weight").agg(*regression_metric_columns("y_true", "y_pred"))
-    return m.select("first_weight", F.round(F.lit(1.0) - F.col("first_weight"), 10).alias("second_weight"),
-                    "rmse", "mae", "r2")
+    y, e1, e2 = F.col("y_true"), F.col("y_true") - F.col("pred_first"), F.col("y_true") - F.col("pred_second")
+    both = e1.isNotNull() & e2.isNotNull()
+    weights = [round(i / n, 10) for i in range(n + 1)]
+    sums = [F.count(F.when(both, 1)).alias("n"), F.var_pop(F.when(both, y)).alias("v"),
+            F.sum(F.when(both, e1 * e1)).alias("s11"), F.sum(F.when(both, e1 * e2)).alias("s12"),
+            F.sum(F.when(both, e2 * e2)).alias("s22")]
+    sums += [F.sum(F.abs(F.lit(w) * e1 + F.lit(1.0 - w) * e2)).alias(f"a{i}") for i, w in enumerate(weights)]
+    one = aligned.agg(*sums).filter("n > 0")
+    rows = F.array(*[F.struct(F.lit(w).alias("first_weight"), F.col(f"a{i}").alias("abs")) for i, w in enumerate(weights)])
+    grid = one.select("n", "v", "s11", "s12", "s22", F.inline(rows))
+    w = F.col("first_weight")
+    sse = F.greatest(F.lit(0.0), w * w * F.col("s11") + 2 * w * (1 - w) * F.col("s12") + (1 - w) * (1 - w) * F.col("s22"))
+    sst = F.col("v") * F.col("n")
+    r2 = (F.when(F.col("n") < 2, F.lit(None).cast("double"))
+          .when(sst == 0, F.when(sse == 0, F.lit(1.0)).otherwise(F.lit(0.0))).otherwise(1 - sse / sst))
+    return grid.select("first_weight", F.round(F.lit(1.0) - w, 10).alias("second_weight"),
+                       F.sqrt(sse / F.col("n")).alias("rmse"), (F.col("abs") / F.col("n")).alias("mae"), r2.alias("r2"))
 
 
 def best_weight(search: DataFrame) -> DataFrame:

@@ -24,9 +24,9 @@ PRED_COLUMNS = ("model", "station", "split", "target_datetime", "y_true", "y_pre
 
 
 def clip_predictions(p: str | Column) -> Column:
-    """negative predictions are impossible for the target -> 0."""
-    p = F.col(p) if isinstance(p, str) else p
-    return F.greatest(p.cast("double"), F.lit(0.0))
+    """negative predictions are impossible for the target -> 0; NULL and NaN stay as they are."""
+    p = (F.col(p) if isinstance(p, str) else p).cast("double")
+    return F.when(p < 0, F.lit(0.0)).otherwise(p)
 
 
 def baseline_forecasts(processed: DataFrame, spec: PanelSpec, params: FittedParams,
@@ -86,15 +86,11 @@ def fit_gbt(train: DataFrame, feature_cols: list[str], label: str = "target", ma
             step_size: float = 0.05, max_depth: int = 5, min_instances: int = 30, seed: int = 42) -> PipelineModel:
     """gradient-boosted trees (comparable to, not equal to, a histogram GBM).
 
-    Tree learning makes several passes per level and iteration, so the input is
-    capped at the default parallelism (one partition per core): more partitions only
-    add scheduling per pass.
+    Tree learning makes several passes per level and iteration over binned rows that it keeps itself
+    (memory, then disk); every row is used in every iteration.
     """
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    if train.rdd.getNumPartitions() > cores:
-        train = train.coalesce(cores)
     gbt = GBTRegressor(featuresCol="_features", labelCol=label, predictionCol="y_pred", maxIter=max_iter,
-                       stepSize=step_size, maxDepth=max_depth, minInstancesPerNode=min_instances, maxBins=64,
+                       stepSize=step_size, maxDepth=max_depth, minInstancesPerNode=min_instances, maxBins=256,
                        seed=seed)
     return Pipeline(stages=[VectorAssembler(inputCols=feature_cols, outputCol="_features"), gbt]).fit(train)
 
@@ -151,7 +147,7 @@ HISTORY_SCHEMA = "run_id string, epoch long, val_rmse double"
 
 def ablation_grid(processed: DataFrame, spec: PanelSpec, feature_cols: list[str], windows=(6, 12, 24),
                   feature_sets=FEATURE_SETS, seeds=(42,), model: str = "ridge", existing: DataFrame | None = None,
-                  gbt_iter: int = 20, gbt_subsample: float = 0.8) -> tuple[DataFrame, DataFrame]:
+                  gbt_iter: int = 150, gbt_subsample: float = 1.0) -> tuple[DataFrame, DataFrame]:
     """one fit per (window, feature set, seed); finished run ids are skipped.
 
     All window sizes come from one windowed pass (the largest window), so every run
@@ -184,7 +180,7 @@ def ablation_grid(processed: DataFrame, spec: PanelSpec, feature_cols: list[str]
                     fitted = fit_ridge(train, cols)
                 else:
                     gbt = GBTRegressor(featuresCol="_features", labelCol="target", predictionCol="y_pred",
-                                       maxIter=gbt_iter, stepSize=0.05, maxDepth=5, minInstancesPerNode=30, maxBins=64,
+                                       maxIter=gbt_iter, stepSize=0.05, maxDepth=5, minInstancesPerNode=30, maxBins=256,
                                        subsamplingRate=gbt_subsample, seed=seed)
                     fitted = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="_features"), gbt]).fit(train)
                 secs = time.time() - t0

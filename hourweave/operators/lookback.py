@@ -19,11 +19,12 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..config import PanelSpec
-from ..functions.exprs import epoch_hours
+from ..functions.exprs import epoch_hours, hours
 
 PART = "_part"
 HALO = "_halo"
 CHUNK = "_chunk"
+GAP = "_gap"
 
 
 def chunk_of(spec: PanelSpec) -> Column:
@@ -37,9 +38,10 @@ def with_chunk(df: DataFrame, spec: PanelSpec) -> DataFrame:
 
 
 def with_lookback_parts(df: DataFrame, spec: PanelSpec, halo: int) -> DataFrame:
-    """Add ``_part`` (window partition chunk) and ``_halo`` (copy from the previous chunk)."""
+    """Add ``_part`` (window partition chunk), ``_halo`` (copy from the previous chunk) and ``_gap`` (1 unless the
+    row before it in the partition is exactly one hour earlier)."""
     if spec.chunk_hours is None:
-        return df.withColumn(PART, F.lit(0).cast("long")).withColumn(HALO, F.lit(False))
+        return _with_gaps(df.withColumn(PART, F.lit(0).cast("long")).withColumn(HALO, F.lit(False)), spec)
     if halo > spec.chunk_hours:
         raise ValueError(f"look-back of {halo} hours exceeds chunk_hours={spec.chunk_hours}")
     eh = epoch_hours(spec.time)
@@ -47,7 +49,12 @@ def with_lookback_parts(df: DataFrame, spec: PanelSpec, halo: int) -> DataFrame:
     pos = eh - chunk * F.lit(spec.chunk_hours)
     parts = F.when(pos >= F.lit(spec.chunk_hours - halo), F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
     out = df.withColumn(CHUNK, chunk).withColumn(PART, F.explode(parts))
-    return out.withColumn(HALO, F.col(PART) != F.col(CHUNK)).drop(CHUNK)
+    return _with_gaps(out.withColumn(HALO, F.col(PART) != F.col(CHUNK)).drop(CHUNK), spec)
+
+
+def _with_gaps(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    before = F.lag(spec.time, 1).over(lookback_window(spec))
+    return df.withColumn(GAP, F.when(before == F.col(spec.time) - hours(1), 0).otherwise(1))
 
 
 def lookback_window(spec: PanelSpec) -> WindowSpec:

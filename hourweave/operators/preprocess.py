@@ -11,19 +11,15 @@ once (like a fitted ``pyspark.ml`` model) and enter the plan as literals.
 
 from __future__ import annotations
 
-import json
-import os
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..config import FEATURE_SETS, SPLITS, TIME_FEATURES, WIND_FEATURES, PanelSpec
+from ..config import FEATURE_SETS, TIME_FEATURES, WIND_FEATURES, PanelSpec
 from ..functions.exprs import nan_to_null, time_feature_columns, ts_literal, wind_feature_columns
 from .lookback import CHUNK, series_window, with_chunk
 
-ONEHOT_LIMIT = 64
-
 
 # ---------------------------------------------------------------- P1, P2, P14
 
@@ -61,7 +57,8 @@ def assign_split(df: DataFrame, spec: PanelSpec) -> DataFrame:
 
 
 def prepare(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Timestamp, string station, NaN -> NULL in numerics, split label."""
+    """Timestamp, string station, NaN -> NULL in numerics, split label; an observed target that the panel
+    already has is kept.  ``quality.assert_panel`` refuses panels with missing stations, repeated or missing hours."""
     missing = [c for c in (spec.station, *spec.numeric) if c not in df.columns]
     if missing:
         raise ValueError(f"panel is missing required columns: {missing}")
@@ -71,6 +68,8 @@ def prepare(df: DataFrame, spec: PanelSpec) -> DataFrame:
     if spec.wind:
         cols.append(F.col(spec.wind).cast("string").alias(spec.wind) if spec.wind in df.columns
                     else F.lit(None).cast("string").alias(spec.wind))
+    if spec.observed_target in df.columns:
+        cols.append(nan_to_null(F.col(spec.observed_target).cast("double")).alias(spec.observed_target))
     return x.select(*cols).withColumn("split", split_column(spec))
 
 
@@ -124,7 +123,11 @@ def forward_fill(df: DataFrame, spec: PanelSpec, cols: list[str] | tuple[str, ..
 
 @dataclass
 class FittedParams:
-    """Train-only parameters: per numeric column median / mean / std, station list."""
+    """Train-only parameters: per numeric column median / mean / std, and the station categories.
+
+    ``stations`` are listed (and name one-hot columns) when one-hot columns were asked for; ``categories`` is the
+    written table (station, position) of all train stations, whatever their number.
+    """
 
     columns: list[str]
     medians: dict[str, float]
@@ -132,24 +135,33 @@ class FittedParams:
     stds: dict[str, float]
     stations: list[str]
     onehot: bool = True
-    extra: dict = field(default_factory=dict)
+    categories: DataFrame | None = None
 
     def table(self, spark: SparkSession) -> DataFrame:
         rows = [(c, float(self.medians[c]), float(self.means[c]), float(self.stds[c])) for c in self.columns]
         return spark.createDataFrame(rows, "column string, median double, mean double, std double")
 
     def station_table(self, spark: SparkSession) -> DataFrame:
+        if self.categories is not None:
+            return self.categories
         return spark.createDataFrame([(s, i) for i, s in enumerate(self.stations)], "station string, position long")
 
-    def save(self, path: str) -> None:
-        os.makedirs(path, exist_ok=True)
-        with open(os.path.join(path, "params.json"), "w") as fh:
-            json.dump(self.__dict__, fh)
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write the parameters as Parquet under ``path``, on any storage Spark reaches."""
+        order = {c: i for i, c in enumerate(self.columns)}
+        at = F.create_map(*[F.lit(x) for c, i in order.items() for x in (c, i)])
+        self.table(spark).withColumn("position", at[F.col("column")]).withColumn("onehot", F.lit(self.onehot)) \
+            .write.mode("error").parquet(f"{path}/columns")
+        self.station_table(spark).write.mode("error").parquet(f"{path}/stations")
 
     @classmethod
-    def load(cls, path: str) -> "FittedParams":
-        with open(os.path.join(path, "params.json")) as fh:
-            return cls(**json.load(fh))
+    def load(cls, spark: SparkSession, path: str) -> "FittedParams":
+        rows = sorted(spark.read.parquet(f"{path}/columns").collect(), key=lambda r: r["position"])
+        categories = spark.read.parquet(f"{path}/stations")
+        onehot = bool(rows and rows[0]["onehot"])
+        stations = [r["station"] for r in categories.orderBy("position").collect()] if onehot else []
+        return cls([r["column"] for r in rows], *({r["column"]: r[k] for r in rows} for k in ("median", "mean", "std")),
+                   stations, onehot, categories)
 
 
 def median_table(train: DataFrame, spec: PanelSpec, approx: bool = False) -> DataFrame:
@@ -213,20 +225,28 @@ def fit_params(df: DataFrame, spec: PanelSpec, approx_median: bool = False, oneh
         medians = fit_medians(train, spec, approx=approx_median)
     imputed = impute(train, spec, medians) if imputed is None else imputed.filter(F.col("split") == "train")
     means, stds = fit_scaler(imputed, spec)
-    # Station categories name the one-hot columns, so they are collected -- but only
-    # up to ONEHOT_LIMIT + 1 of them unless the caller forces one-hot: a panel with
-    # more series than that gets no one-hot columns (one-hot would be unbounded).
-    stations: list[str] = []
-    use_onehot = False
-    if onehot is not False:
-        q = train.select(spec.station).distinct()
-        if not onehot:
-            q = q.limit(ONEHOT_LIMIT + 1)
-        stations = sorted(r[0] for r in q.collect())
-        use_onehot = bool(onehot) or len(stations) <= ONEHOT_LIMIT
-        if not use_onehot:
-            stations = []
-    return FittedParams(list(spec.numeric), medians, means, stds, stations, use_onehot)
+    from ..session import materialize
+    from .windows import global_rank
+
+    distinct = train.filter(F.col(spec.station).isNotNull()).select(F.col(spec.station).alias("station")).distinct()
+    categories = materialize(global_rank(distinct, ["station"], "position"), "stations")
+    # one-hot columns are the caller's choice, for any number of series; the names come to the driver only then
+    stations = [r["station"] for r in categories.orderBy("position").collect()] if onehot is not False else []
+    return FittedParams(list(spec.numeric), medians, means, stds, stations, onehot is not False, categories)
+
+
+def station_vector(df: DataFrame, spec: PanelSpec, params: FittedParams, name: str = "station_vector") -> DataFrame:
+    """P10 as one sparse vector column, for panels with many series; an unknown station is all zeros."""
+    from pyspark.ml.feature import OneHotEncoder
+
+    spark = df.sparkSession
+    known = params.station_table(spark).select(F.col("station").alias("_known"), F.col("position").cast("double").alias("_at"))
+    size = known.count()
+    # categories 0 .. size, the last one (dropped) for stations not seen at fit time
+    encoder = OneHotEncoder(inputCol="_at", outputCol=name, dropLast=True).fit(
+        spark.createDataFrame([(float(size),)], "_at double"))
+    joined = df.join(known, df[spec.station] == F.col("_known"), "left").fillna(float(size), ["_at"])
+    return encoder.transform(joined).drop("_known", "_at")
 
 
 # ---------------------------------------------------------------- P8-P12, P15 (transform)
@@ -273,7 +293,9 @@ def impute_with_flags(df: DataFrame, spec: PanelSpec, params: "FittedParams | di
     Depends on the medians only, so the scaler can be fitted on its train rows."""
     medians = params.medians if isinstance(params, FittedParams) else params
     x = prepare(df, spec)
-    x = x.select("*", F.col(spec.target).alias(spec.observed_target), *missing_flag_columns(spec))
+    if spec.observed_target not in x.columns:
+        x = x.withColumn(spec.observed_target, F.col(spec.target))
+    x = x.select("*", *missing_flag_columns(spec))
     return impute(x, spec, medians)
 
 
@@ -299,6 +321,3 @@ def select_feature_set(names: list[str], spec: PanelSpec, feature_set: str) -> l
     drop = set(spec.context) | {f"{c}_missing" for c in spec.context} | set(WIND_FEATURES)
     return [n for n in names if n not in drop]
 
-
-def split_names() -> tuple[str, ...]:
-    return SPLITS

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PanelSpec
-from ..functions.exprs import TIE_SHIFT, hours, is_finite
+from ..functions.exprs import hours, is_finite
 
 
 def rule_table(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -167,6 +167,46 @@ def target_preserved(raw: DataFrame, processed: DataFrame, spec: PanelSpec) -> D
     return before.unionByName(after)
 
 
+def panel_rules(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """P14 / V3 / V5 as one table: missing stations or times, repeated keys, steps that are not one hour."""
+    rules = rule_table(df, {"null_station": F.col(spec.station).isNull(), "null_time": F.col(spec.time).isNull()})
+    known = df.filter(F.col(spec.station).isNotNull() & F.col(spec.time).isNotNull())
+    for name, rows in (("duplicate_key", duplicate_keys(known, spec)), ("non_hourly", non_hourly(known, spec))):
+        rules = rules.unionByName(rows.agg(F.count(F.lit(1)).alias("violations")).select(
+            F.lit(name).alias("rule"), "violations"))
+    return rules
+
+
+def assert_panel(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """The panel itself, or an error that names the broken rules: windows need whole hourly series."""
+    assert_clean(panel_rules(df, spec))
+    return df
+
+
+def assert_features(df: DataFrame, feature_cols: list[str], spec: PanelSpec) -> DataFrame:
+    """The model frame itself, or an error: no NULL features, no observed target among them."""
+    leakage_guard(feature_cols, spec)
+    assert_clean(feature_nulls(df, feature_cols))
+    return df
+
+
+def assert_wide(wide: DataFrame, spec: PanelSpec, known: DataFrame, window: int | None = None) -> DataFrame:
+    """Independent windows themselves, or an error: all lag columns, unique ids with stations seen at fit time,
+    hourly steps."""
+    from . import wide as WD
+
+    w = window or spec.window
+    missing = [WD.lag_name(c, k) for c in WD.wide_columns(spec) for k in range(w, 0, -1) if WD.lag_name(c, k) not in wide.columns]
+    if missing:
+        raise ValueError(f"wide windows are missing columns: {missing[:5]}")
+    rules = window_ids(wide)
+    for name, rows in (("non_hourly", WD.window_steps(wide, spec, w)), ("unknown_station", unknown_stations(wide, known))):
+        rules = rules.unionByName(rows.agg(F.count(F.lit(1)).alias("violations")).select(
+            F.lit(name).alias("rule"), "violations"))
+    assert_clean(rules)
+    return wide
+
+
 # ---------------------------------------------------------------- V7, V9, V10, V16-V18
 
 
@@ -230,17 +270,18 @@ def submission_summary(submission: DataFrame, value: str = "prediction", populat
 
 
 def table_fingerprint(df: DataFrame, cols: list[str], scale: int = 6) -> DataFrame:
-    """Order-insensitive checksum: row count and XOR of a 60-bit md5 prefix per row.
+    """Order-insensitive checksum: row count, XOR and sum of a 60-bit md5 prefix per row.
 
-    Doubles enter as integers of ``round(x * 10^scale)`` (threshold shifted off decimal
-    ties, see ``rounded``) so the text is engine-neutral.
+    Equal rows cancel in the XOR but not in the sum.  Doubles enter as integers of ``round(x * 10^scale)``
+    (three digits more first, see ``rounded``) so the text is engine-neutral.
     """
     parts = []
     for c in cols:
         dt = dict(df.dtypes)[c]
         if dt in ("double", "float"):
-            parts.append(F.round(F.col(c) * F.lit(float(10 ** scale)) + F.lit(TIE_SHIFT)).cast("long").cast("string"))
+            parts.append(F.round(F.round(F.col(c) * F.lit(float(10 ** (scale + 3)))) / 1000).cast("long").cast("string"))
         else:
             parts.append(F.col(c).cast("string"))
     h = F.conv(F.substring(F.md5(F.concat_ws("|", *[F.coalesce(p, F.lit("NULL")) for p in parts])), 1, 15), 16, 10)
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(h.cast("long")).alias("fingerprint"))
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(h.cast("long")).alias("fingerprint"),
+                  F.coalesce(F.sum(h.cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)").cast("string").alias("total"))

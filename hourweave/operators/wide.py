@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import PanelSpec
-from ..functions.exprs import hours, time_feature_columns, wind_feature_columns
-from .lookback import HALO, lookback_window, with_lookback_parts
+from ..functions.exprs import hours, nan_to_null, time_feature_columns, wind_feature_columns
+from .lookback import GAP, HALO, lookback_window, with_lookback_parts
 from .preprocess import FittedParams, inverse_scale
 from .windows import history_features
 
@@ -34,7 +34,7 @@ def build_wide_windows(raw_panel: DataFrame, spec: PanelSpec, anchor: Column | N
     """Wide windows from a panel: for every anchor hour *t*, the raw rows *t-w .. t-1*
     of the series as ``<col>_lag_<k>`` (k = w .. 1), plus ``id`` and ``station``.
 
-    Default anchors: midnight hours of the local-test period.  The lags come from
+    Default anchors: every hour with a whole window before it; ``anchor`` narrows them.  The lags come from
     one (series, chunk) window with a ``w``-hour halo.
     """
     from .preprocess import add_datetime
@@ -44,11 +44,11 @@ def build_wide_windows(raw_panel: DataFrame, spec: PanelSpec, anchor: Column | N
     x = add_datetime(raw_panel, spec)
     x = with_lookback_parts(x.select(spec.station, spec.time, *cols), spec, w)
     win = lookback_window(spec)
-    anchor = anchor if anchor is not None else (
-        (F.col(spec.time) >= F.lit(spec.test_start).cast("timestamp_ntz")) & (F.hour(spec.time) == 0))
+    anchor = anchor if anchor is not None else F.lit(True)
     start = F.lag(spec.time, w).over(win)
     lags = [F.lag(c, k).over(win).alias(lag_name(c, k)) for k in range(w, 0, -1) for c in cols]
-    ok = (~F.col(HALO)) & start.isNotNull() & (start == F.col(spec.time) - hours(w)) & anchor
+    whole = F.sum(GAP).over(win.rowsBetween(1 - w, 0)) == 0
+    ok = (~F.col(HALO)) & start.isNotNull() & (start == F.col(spec.time) - hours(w)) & whole & anchor
     x = x.select(spec.station, spec.time, ok.alias("_ok"), *lags).filter("_ok")
     wid = F.concat(F.lit("w_"), F.col(spec.station), F.lit("_"), F.date_format(spec.time, "yyyyMMddHH"))
     return x.select(wid.alias("id"), F.col(spec.station).alias("station"),
@@ -93,7 +93,8 @@ def wide_history(wide: DataFrame, spec: PanelSpec, params: FittedParams, window:
     """
     w = window or spec.window
     lags = range(w, 0, -1)  # oldest first
-    arrays = [F.array(*[F.col(lag_name(c, k)).cast("double") for k in lags]).alias(f"r_{c}") for c in spec.numeric]
+    arrays = [F.array(*[nan_to_null(F.col(lag_name(c, k)).cast("double")) for k in lags]).alias(f"r_{c}")
+              for c in spec.numeric]
     arrays.append(F.array(*[lag_datetime(k) for k in lags]).alias("t_"))
     if spec.wind:
         arrays.append(F.array(*[F.col(lag_name(spec.wind, k)) for k in lags]).alias("w_"))

@@ -13,39 +13,58 @@ from pyspark.sql import functions as F
 
 from ..config import DELTA_HOURS, ROLLING_STATS, SPLITS, PanelSpec
 from ..functions.exprs import hours
-from .lookback import CHUNK, HALO, PART, chunk_of, lookback_window, with_lookback_parts
+from .lookback import CHUNK, GAP, HALO, PART, chunk_of, lookback_window, with_lookback_parts
 
 SEQUENCE_COLUMNS = ("sequence_id", "station", "split", "window_start_datetime", "window_end_datetime",
                     "target_datetime", "target")
 
 
 def _valid_target(spec: PanelSpec, w: int) -> Column:
-    """Not a halo copy, ``w`` predecessors exactly ``w`` hours back, observed target."""
-    start = F.lag(spec.time, w).over(lookback_window(spec))
+    """Not a halo copy, ``w`` predecessors one hour apart (no gap, no repeated hour), observed target."""
+    win = lookback_window(spec)
+    start = F.lag(spec.time, w).over(win)
     return (
         ~F.col(HALO)
         & start.isNotNull()
         & (start == F.col(spec.time) - hours(w))
+        & (F.sum(GAP).over(win.rowsBetween(1 - w, 0)) == 0)
         & F.col(spec.observed_target).isNotNull()
     )
 
 
+def stored_order(df: DataFrame, order_cols: list[str], name: str) -> DataFrame:
+    """``df`` written once in the total order, with ``_pid`` (range partition) and ``_mid`` (position) as columns.
+
+    Bounds of a range partitioning are sampled anew for every plan, so counts and rows must come from the same
+    written rows: whatever is derived from this table agrees, with or without exchange reuse and after retries.
+    """
+    from ..session import materialize
+
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+         .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
+    return materialize(x.withColumn("_mid", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)), name)
+
+
+def _partition_offsets(x: DataFrame, amount: Column, name: str) -> DataFrame:
+    """Sum of ``amount`` over all earlier range partitions (one row per partition)."""
+    sums = x.groupBy("_pid").agg(amount.alias("_ps"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    return sums.select("_pid", F.coalesce(F.sum("_ps").over(before), F.lit(0)).alias(name))
+
+
 def prefix_sum(df: DataFrame, order_cols: list[str], value: str, name: str) -> DataFrame:
     """Exclusive running sum of ``value`` in the total order ``order_cols``, distributed.
 
-    Range-partition by the order, sum per partition (a table with at most
-    ``spark.sql.shuffle.partitions`` rows, broadcast), turn those sums into partition
-    offsets, and add the running sum inside each partition.  No single-partition
-    window over the rows.
+    The frame is written once in order; sums per range partition (a table with at most
+    ``spark.sql.shuffle.partitions`` rows) give partition offsets, and the running sum inside each partition is
+    added.  No single-partition window over the rows.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    x = df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
-    sums = x.groupBy("_pid").agg(F.sum(value).alias("_ps"))
-    offs = sums.select("_pid", F.coalesce(F.sum("_ps").over(Window.orderBy("_pid").rowsBetween(
-        Window.unboundedPreceding, -1)), F.lit(0)).alias("_po"))
-    local = F.coalesce(F.sum(value).over(Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(
+    x = stored_order(df, order_cols, "prefix_sum")
+    offs = _partition_offsets(x, F.sum(value), "_po")
+    local = F.coalesce(F.sum(value).over(Window.partitionBy("_pid").orderBy("_mid").rowsBetween(
         Window.unboundedPreceding, -1)), F.lit(0))
-    return x.join(F.broadcast(offs), "_pid").withColumn(name, F.col("_po") + local).drop("_pid", "_po")
+    return x.join(F.broadcast(offs), "_pid").withColumn(name, F.col("_po") + local).drop("_pid", "_mid", "_po")
 
 
 def dense_sequence_id(df: DataFrame, spec: PanelSpec, order_col: str, name: str = "sequence_id",
@@ -278,13 +297,14 @@ def target_history(processed: DataFrame, spec: PanelSpec, params, window: int |
                     F.col(spec.observed_target).cast("double").alias("target"), vals.alias("history"))
 
 
-def window_batches(index: DataFrame, batch_size: int, seed: int | None = None) -> DataFrame:
-    """Batch number per sequence; unshuffled by id, or in a seeded hash order."""
+def window_batches(index: DataFrame, batch_size: int, seed: int | None = None, epoch: int = 0) -> DataFrame:
+    """Batch number per sequence; unshuffled by id, or in a seeded hash order, another one each epoch."""
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
     if seed is None:
         return index.withColumn("batch_id", F.floor(F.col("sequence_id") / F.lit(batch_size)).cast("long"))
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("sequence_id").cast("string")))
+    mixed = str(seed) if not epoch else f"{seed}/{epoch}"
+    key = F.md5(F.concat_ws(":", F.lit(mixed), F.col("sequence_id").cast("string")))
     ranked = global_rank(index.withColumn("_k", key), ["_k", "sequence_id"], "_r")
     return ranked.withColumn("batch_id", F.floor(F.col("_r") / F.lit(batch_size)).cast("long")).drop("_k", "_r")
 
@@ -292,21 +312,14 @@ def window_batches(index: DataFrame, batch_size: int, seed: int | None = None) -
 def global_rank(df: DataFrame, order_cols: list[str], name: str) -> DataFrame:
     """0-based position in a total order, without a single-partition window.
 
-    Range-partition and sort by the key, count rows per partition (a table with at
-    most ``spark.sql.shuffle.partitions`` rows, so broadcasting it is bounded), turn
-    the counts into offsets, and add the position inside the partition.  The order
-    key must be unique for the result to be deterministic.
+    The frame is written once, range-partitioned and sorted by the key, with each row's partition and position;
+    row counts per partition (at most ``spark.sql.shuffle.partitions`` rows, so broadcasting them is bounded)
+    give the offsets.  The order key must be unique for the result to be deterministic.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    x = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mid", F.monotonically_increasing_id()))
-    counts = x.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"))
-    offsets = counts.select("_pid", F.coalesce(
-        F.sum("_c").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    x = stored_order(df, order_cols, "global_rank")
+    offsets = _partition_offsets(x, F.count(F.lit(1)), "_off")
     return (x.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, (F.col("_off") + local).cast("long")).drop("_pid", "_mid", "_off"))
+            .withColumn(name, (F.col("_off") + F.col("_mid")).cast("long")).drop("_pid", "_mid", "_off"))
 
 
 def deterministic_sample(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:

@@ -14,14 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import EVENTS_SPEC, PanelSpec
 from ..operators import preprocess as P
+from ..operators.quality import assert_panel
 from ..session import materialize
 from ..sources.events_panel import events_panel, hourly_aggregate
 
 _CACHE: dict[tuple, "PanelContext"] = {}
 
-# One-hot station columns per panel: automatic (<= 64 series) for Panel A, never for
-# Panel B (one series per user: unbounded category count).
-PANEL_ONEHOT = {"A": None, "B": False}
+# One-hot station columns for Panel A (an event type each); Panel B (a series per user) has
+# the sparse vector of ``preprocess.station_vector`` instead.
+PANEL_ONEHOT = {"A": True, "B": False}
 
 
 @dataclass
@@ -42,9 +43,9 @@ class PanelContext:
         # the sparse hourly aggregate is written first, so the events are read once (the
         # hour range and the series list come from it); datetime is kept as a stored
         # column so time predicates reach the parquet scan
-        return self._memo("raw", lambda: materialize(
+        return self._memo("raw", lambda: assert_panel(materialize(
             events_panel(self.spark, self.sf_dir, self.panel, self.spec, with_datetime=True,
-                         sparse=self.sparse()), f"raw_{self.panel}"))
+                         sparse=self.sparse()), f"raw_{self.panel}"), self.spec))
 
     def sparse(self) -> DataFrame:
         """Per (series, hour) aggregate of the events (hours with events only), written once."""

@@ -8,7 +8,6 @@ as on the Spark side (``functions.rounded``).
 
 from __future__ import annotations
 
-from ..functions.exprs import TIE_SHIFT
 from ..config import (COMPASS_DEGREES, DELTA_HOURS, EVENT_WIND_CODES, EVENTS_SPEC, TIME_FEATURES,
                       WIND_FEATURES)
 
@@ -91,7 +90,7 @@ ev AS (
 bounds AS (SELECT min(datetime) AS lo, max(datetime) AS hi FROM ev),
 cal AS (SELECT s.station, unnest(generate_series(b.lo, b.hi, INTERVAL 1 HOUR)) AS datetime
         FROM (SELECT DISTINCT station FROM ev) s, bounds b),
-agg AS (SELECT station, datetime, avg(value) AS y, max(value) AS vmax, min(value) AS vmin, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS vsum,
+agg AS (SELECT station, datetime, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / nullif(count(value), 0) AS y, max(value) AS vmax, min(value) AS vmin, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS vsum,
                count(value) AS n, count(DISTINCT other) AS users, avg(CAST(kk AS DOUBLE)) AS k, sum(kk) AS ksum
         FROM ev GROUP BY station, datetime),
 raw AS (
@@ -133,7 +132,7 @@ preds AS (
   SELECT 'persistence' AS model, station, split, target_datetime, y_true, persistence AS y_pred FROM fc
   UNION ALL
   SELECT 'window_mean' AS model, station, split, target_datetime, y_true, window_mean AS y_pred FROM fc),
-cpreds AS (SELECT model, station, split, target_datetime, y_true, greatest(y_pred, 0.0) AS y_pred FROM preds),
+cpreds AS (SELECT model, station, split, target_datetime, y_true, CASE WHEN y_pred < 0 THEN 0.0 ELSE y_pred END AS y_pred FROM preds),
 movr AS (SELECT model, split, {metric_cols()} FROM cpreds GROUP BY model, split),
 mst AS (SELECT model, split, station, {metric_cols()} FROM cpreds GROUP BY model, split, station)
 """
@@ -145,7 +144,7 @@ def wrap(select: str, floats=(), ints=(), digits: int = 6, ctes: str | None = No
     rep = []
     for c in floats:
         scale = float(10 ** overrides.get(c, digits))
-        rep.append(f"round(CAST(\"{c}\" AS DOUBLE) * {scale} + {TIE_SHIFT}) / {scale} + 0.0 AS \"{c}\"")
+        rep.append(f"round(round(CAST(\"{c}\" AS DOUBLE) * {scale * 1000}) / 1000.0) / {scale} + 0.0 AS \"{c}\"")
     rep += [f"CAST(\"{c}\" AS BIGINT) AS \"{c}\"" for c in ints]
     head = f"SELECT * REPLACE ({', '.join(rep)})" if rep else "SELECT *"
     return f"WITH {ctes or panel_ctes()}\n{head} FROM (\n{select}\n) AS q"

@@ -14,6 +14,7 @@ from .context import context
 from .registry import register
 
 S = EVENTS_SPEC
+GRID_ITERATIONS = 10  # TEMP
 
 
 def grid(spark, sf):
@@ -24,7 +25,7 @@ def grid(spark, sf):
     def build():
         ridge, _ = FC.ablation_grid(c.processed(), S, c.feature_names(), windows=(6, 12, 24), seeds=(42,), model="ridge")
         gbt, hist = FC.ablation_grid(c.processed(), S, c.feature_names(), windows=(24,), feature_sets=("all_features",),
-                                     seeds=(42, 123, 2026), model="gbt", gbt_iter=10)
+                                     seeds=(42, 123, 2026), model="gbt", gbt_iter=GRID_ITERATIONS)
         return materialize(ridge.unionByName(gbt), "ablation"), materialize(hist, "ablation_hist")
     return c._memo("ablation", build)
 

@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..config import EVENTS_SPEC
-from ..functions.exprs import TIE_SHIFT, rounded
+from ..functions.exprs import rounded
 from ..operators import ensemble as EN
 from ..operators import evaluate as E
 from ..operators import forecast as FC
@@ -142,7 +142,7 @@ def _bw_sql():
 
 
 def _sub_sql():
-    return (f"SELECT t.id, t.position, greatest(bw.w * b.persistence + (1 - bw.w) * b.window_mean, 0.0) AS prediction "
+    return (f"SELECT t.id, t.position, CASE WHEN bw.w * b.persistence + (1 - bw.w) * b.window_mean < 0 THEN 0.0 ELSE bw.w * b.persistence + (1 - bw.w) * b.window_mean END AS prediction "
             f"FROM (SELECT id, row_number() OVER (ORDER BY id) - 1 AS position FROM wide) t JOIN wbase b ON b.id = t.id, "
             f"{_bw_sql()} bw")
 
@@ -164,10 +164,10 @@ def q_submission_build(spark, sf):
 
 
 @register("submission_per_model", AW(
-    "SELECT m.model, t.id, t.position, greatest(CASE m.model WHEN 'persistence' THEN b.persistence "
-    "WHEN 'window_mean' THEN b.window_mean ELSE bw.w * b.persistence + (1 - bw.w) * b.window_mean END, 0.0) AS prediction "
+    "SELECT model, id, position, CASE WHEN p < 0 THEN 0.0 ELSE p END AS prediction FROM (SELECT m.model, t.id, t.position, CASE m.model WHEN 'persistence' THEN b.persistence "
+    "WHEN 'window_mean' THEN b.window_mean ELSE bw.w * b.persistence + (1 - bw.w) * b.window_mean END AS p "
     "FROM (SELECT id, row_number() OVER (ORDER BY id) - 1 AS position FROM wide) t JOIN wbase b ON b.id = t.id, "
-    f"{_bw_sql()} bw, (VALUES ('persistence'), ('window_mean'), ('blend')) m(model)",
+    f"{_bw_sql()} bw, (VALUES ('persistence'), ('window_mean'), ('blend')) m(model)) q3",
     floats=["prediction"], ints=["position"]))
 def q_submission_per_model(spark, sf):
     _, template, preds = submission(spark, sf)
@@ -201,9 +201,10 @@ def q_submission_summary(spark, sf):
 
 
 @register("table_fingerprint", AW(
-    "SELECT count(*) AS rows, bit_xor(CAST('0x' || substr(md5(concat_ws('|', id, CAST(position AS VARCHAR), "
-    f"CAST(CAST(round(prediction * 1000000.0 + {TIE_SHIFT}) AS BIGINT) AS VARCHAR))), 1, 15) AS BIGINT)) AS fingerprint "
-    f"FROM ({_sub_sql()}) s", ints=["rows", "fingerprint"]))
+    "SELECT count(*) AS rows, bit_xor(h) AS fingerprint, CAST(coalesce(sum(CAST(h AS HUGEINT)), 0) AS VARCHAR) AS total FROM ("
+    "SELECT CAST('0x' || substr(md5(concat_ws('|', id, CAST(position AS VARCHAR), "
+    "CAST(CAST(round(round(prediction * 1000000000.0) / 1000.0) AS BIGINT) AS VARCHAR))), 1, 15) AS BIGINT) AS h "
+    f"FROM ({_sub_sql()}) s) q2", ints=["rows", "fingerprint"]))
 def q_table_fingerprint(spark, sf):
     return rounded(Q.table_fingerprint(submission(spark, sf)[0], ["id", "position", "prediction"]))
 
@@ -242,7 +243,7 @@ def q_result_upsert(spark, sf):
 
 
 @register("stream_score_windows", AW(
-    "SELECT b.id, b.station, greatest(bw.w * b.persistence + (1 - bw.w) * b.window_mean, 0.0) AS prediction "
+    "SELECT b.id, b.station, CASE WHEN bw.w * b.persistence + (1 - bw.w) * b.window_mean < 0 THEN 0.0 ELSE bw.w * b.persistence + (1 - bw.w) * b.window_mean END AS prediction "
     f"FROM wbase b, {_bw_sql()} bw", floats=["prediction"]))
 def q_stream_score_windows(spark, sf):
     """Structured Streaming: wide-window files scored as they arrive (availableNow trigger)."""

@@ -138,7 +138,8 @@ _ONEHOT = [f"station_{s}" for s in O.STATIONS_A]
 
 @register("station_onehot", O.wrap(f"SELECT station, datetime, {O._list(_ONEHOT)} FROM proc", floats=_ONEHOT))
 def q_station_onehot(spark, sf):
-    return rounded(ctx(spark, sf).processed().select("station", "datetime", *_ONEHOT))
+    c = ctx(spark, sf)
+    return rounded(c.processed().select("station", "datetime", *[f"station_{s}" for s in c.params().stations]))
 
 
 @register("scale", O.wrap(f"SELECT station, datetime, {O._list(NUM)} FROM proc", floats=NUM))
@@ -330,7 +331,7 @@ def q_forecast_ridge(spark, sf):
 def q_forecast_gbt(spark, sf):
     tab = _tab_written(spark, sf)
     names = [n for n in tab.columns if n not in ("station", "split", "target_datetime", "target")]
-    model = FC.fit_gbt(tab.filter(F.col("split") == "train"), names, max_iter=20)
+    model = FC.fit_gbt(tab.filter(F.col("split") == "train"), names)
     return FC.score(model, tab.filter(F.col("split") != "train"), "gbt")
 
 
@@ -469,7 +470,7 @@ def q_ensemble_best_weight(spark, sf):
 @register("ensemble_metrics", O.wrap(
     f"WITH bw AS (SELECT first_weight AS w FROM ({_search_sql(chr(39).join(['split = ', 'validation', '']))}) s "
     "ORDER BY rmse, mae, first_weight LIMIT 1) "
-    f"SELECT 'blend' AS model, split, {O.metric_cols('y_true', 'greatest(bw.w * pred_first + (1 - bw.w) * pred_second, 0.0)')} "
+    f"SELECT 'blend' AS model, split, {O.metric_cols('y_true', '(CASE WHEN bw.w * pred_first + (1 - bw.w) * pred_second < 0 THEN 0.0 ELSE bw.w * pred_first + (1 - bw.w) * pred_second END)')} "
     f"FROM ({_PAIR}) p, bw GROUP BY split", floats=_MF, ints=_MI))
 def q_ensemble_metrics(spark, sf):
     pair = _pair(spark, sf)
@@ -501,6 +502,19 @@ def q_panel_b_tabular_features(spark, sf):
     return rounded(W.tabular_features(c.processed(), S, c.feature_names()))
 
 
+@register("panel_b_station_vector", O.wrap(
+    "SELECT station, row_number() OVER (ORDER BY station) - 1 AS hot, count(*) OVER () AS size, 1 AS ones "
+    "FROM (SELECT DISTINCT station FROM prep WHERE split = 'train') t", ints=["hot", "size", "ones"], **_B))
+def q_panel_b_station_vector(spark, sf):
+    """The sparse one-hot vector of every train series: where its one is."""
+    from pyspark.ml.functions import vector_to_array
+
+    c = ctx(spark, sf, "B")
+    x = P.station_vector(c.params().station_table(spark).select("station"), S, c.params()).withColumn("a", vector_to_array("station_vector"))
+    return rounded(x.select("station", (F.array_position("a", 1.0) - 1).alias("hot"), F.size("a").alias("size"),
+                            F.size(F.filter("a", lambda v: v != 0)).alias("ones")))
+
+
 @register("panel_b_metrics", O.wrap("SELECT * FROM movr", floats=_MF, ints=_MI, **_B))
 def q_panel_b_metrics(spark, sf):
     c = ctx(spark, sf, "B")

@@ -72,10 +72,10 @@ def hourly_aggregate(spark: SparkSession, sf_dir: str, panel: str = "A") -> Data
     """
     ev = hourly_events(spark, sf_dir, panel)
     return ev.groupBy("station", "datetime").agg(
-        F.avg("value").alias("y"),
+        # a decimal sum is exact, so the mean does not depend on the summation order
+        (F.sum(F.col("value").cast("decimal(18,2)")).cast("double") / F.count("value")).alias("y"),
         F.max("value").alias("vmax"),
         F.min("value").alias("vmin"),
-        # exact decimal sum: the result does not depend on the summation order
         F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("vsum"),
         F.count("value").alias("_n"),
         F.count_distinct("_other").alias("_u"),
