@@ -14,7 +14,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import FEATURE_SETS, SPLITS, PanelSpec
+from ..config import FEATURE_SETS, PanelSpec
 from ..functions.exprs import regression_metric_columns
 from .lookback import HALO, lookback_window, with_lookback_parts
 from .preprocess import FittedParams, inverse_scale, select_feature_set
@@ -105,6 +105,12 @@ def score(model: PipelineModel, df: DataFrame, name: str, keys: list[str] | None
     return out.select(*cols, clip_predictions("y_pred").alias("y_pred"))
 
 
+def save_model(model: PipelineModel, path: str) -> str:
+    """write a fitted model to any storage Spark reaches (a new folder)."""
+    model.write().save(path)
+    return path
+
+
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
@@ -147,9 +153,14 @@ HISTORY_SCHEMA = "run_id string, epoch long, val_rmse double"
 
 def ablation_grid(processed: DataFrame, spec: PanelSpec, feature_cols: list[str], windows=(6, 12, 24),
                   feature_sets=FEATURE_SETS, seeds=(42,), model: str = "ridge", existing: DataFrame | None = None,
-                  gbt_iter: int = 150, gbt_subsample: float = 1.0) -> tuple[DataFrame, DataFrame]:
+                  gbt_iter: int = 150, gbt_subsample: float = 1.0,
+                  results_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """one fit per (window, feature set, seed); finished run ids are skipped.
 
+    With ``results_path`` every run is written there as it finishes (``runs`` and ``history``), and runs found
+    there count as finished, so a stopped grid goes on where it was.  Results are sorted by model, window,
+    feature set and seed.
+
     All window sizes come from one windowed pass (the largest window), so every run
     is evaluated on the same targets.  Returns (results, history): one row per run,
     and for boosted runs the validation RMSE of every iteration.  Fits are
@@ -157,6 +168,9 @@ def ablation_grid(processed: DataFrame, spec: PanelSpec, feature_cols: list[str]
     """
     spark = processed.sparkSession
     done = set()
+    saved, saved_history = _saved_runs(spark, results_path) if results_path else (None, None)
+    if saved is not None:
+        existing = saved if existing is None else existing.unionByName(saved)
     if existing is not None:
         done = {r[0] for r in existing.select("run_id").distinct().collect()}
     from ..session import materialize
@@ -196,14 +210,29 @@ def ablation_grid(processed: DataFrame, spec: PanelSpec, feature_cols: list[str]
                     r = m.get(s)
                     rec += ((r["rmse"], r["mae"], r["r2"]) if r else (None, None, None))
                 rows.append(rec)
+                if results_path:
+                    own = [h for h in hist if h[0] == run_id]
+                    spark.createDataFrame(own, HISTORY_SCHEMA).write.mode("append").parquet(f"{results_path}/history")
+                    spark.createDataFrame([rec], RESULT_SCHEMA).write.mode("append").parquet(f"{results_path}/runs")
     new = spark.createDataFrame(rows, RESULT_SCHEMA)
     history = spark.createDataFrame(hist, HISTORY_SCHEMA)
-    if existing is None:
-        return new, history
-    from ..sources.files import upsert
+    if saved_history is not None:
+        history = saved_history.unionByName(history)
+    if existing is not None:
+        from ..sources.files import upsert
+
+        new = upsert(existing, new, ["run_id"])
+    return new.orderBy("model", "window_size", "feature_set", "seed"), history
 
-    return upsert(existing, new, ["run_id"]), history
 
+def _saved_runs(spark, path: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """Runs and history already written under ``path``: lists of a few rows, read now so that later appends don't matter."""
+    from pyspark.errors import AnalysisException
 
-def split_labels() -> tuple[str, ...]:
-    return SPLITS
+    try:
+        runs, history = (spark.read.parquet(f"{path}/{k}").collect() for k in ("runs", "history"))
+    except AnalysisException:  # nothing written yet
+        return None, None
+    finished = {r["run_id"] for r in runs}
+    return (spark.createDataFrame(runs, RESULT_SCHEMA),
+            spark.createDataFrame([h for h in history if h["run_id"] in finished], HISTORY_SCHEMA))

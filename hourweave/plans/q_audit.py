@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..config import EVENTS_SPEC
 from ..functions.exprs import rounded
 from ..operators import audit as A
@@ -237,26 +239,44 @@ def q_audit_metadata(spark, sf):
 # ---------------------------------------------------------------- quality on the panel
 
 
+def faulty(spark, sf):
+    """The raw panel with planted faults: rows of 7 o'clock twice, and 5 o'clock of every tenth day on 30 February."""
+    x = context(spark, sf).raw().withColumn("_copy", F.explode(F.when(F.col("hour") == 7, F.array(F.lit(0), F.lit(1)))
+                                                             .otherwise(F.array(F.lit(0))))).drop("_copy")
+    bad = (F.col("hour") == 5) & (F.col("day") % 10 == 0)
+    return x.withColumns({"month": F.when(bad, 2).otherwise(F.col("month")), "day": F.when(bad, 30).otherwise(F.col("day"))})
+
+
+FAULTY = (f"(SELECT station, datetime, year, CASE WHEN hour = 5 AND day % 10 = 0 THEN 2 ELSE month END AS month, "
+          f"CASE WHEN hour = 5 AND day % 10 = 0 THEN 30 ELSE day END AS day, hour, {O._list(NUM)}, wd "
+          "FROM raw, range(0, 2) AS g(i) WHERE i = 0 OR hour = 7)")
+
+
 @register("dq_schema_contract", W_(
     f"SELECT * FROM (VALUES ('columns', '{','.join(RAW_COLS)}', '{','.join(RAW_COLS)}', 1)) v(\"check\", expected, "
-    "actual, ok) UNION ALL SELECT 'rows', CAST(count(*) AS VARCHAR), CAST(count(*) AS VARCHAR), 1 FROM raw",
-    ints=["ok"]))
+    "actual, ok) UNION ALL SELECT 'rows', CAST((SELECT count(DISTINCT event_type) * (date_diff('hour', "
+    "date_trunc('hour', min(ts)), date_trunc('hour', max(ts))) + 1) FROM events) AS VARCHAR), CAST(count(*) AS VARCHAR), "
+    "CAST(count(*) = (SELECT count(DISTINCT event_type) * (date_diff('hour', date_trunc('hour', min(ts)), "
+    "date_trunc('hour', max(ts))) + 1) FROM events) AS BIGINT) FROM raw", ints=["ok"]))
 def q_dq_schema_contract(spark, sf):
-    return rounded(Q.schema_contract(context(spark, sf).raw().select(*RAW_COLS), RAW_COLS))
+    """The expected rows come from the events: series times hours from the first to the last."""
+    ends = sparse(spark, sf).agg(F.count_distinct("station").alias("s"), F.min("datetime").alias("a"), F.max("datetime").alias("b")).first()
+    expected = ends["s"] * (int((ends["b"] - ends["a"]).total_seconds()) // 3600 + 1)
+    return rounded(Q.schema_contract(context(spark, sf).raw().select(*RAW_COLS), RAW_COLS, expected))
 
 
 @register("dq_bad_timestamps", W_(
-    f"SELECT {O._list(RAW_COLS)} FROM raw WHERE try_strptime(printf('%04d-%02d-%02d %02d', year, month, day, hour), "
+    f"SELECT {O._list(RAW_COLS)} FROM {FAULTY} x WHERE try_strptime(printf('%04d-%02d-%02d %02d', year, month, day, hour), "
     "'%Y-%m-%d %H') IS NULL", floats=NUM, ints=["year", "month", "day", "hour"]))
 def q_dq_bad_timestamps(spark, sf):
-    return rounded(Q.bad_timestamps(context(spark, sf).raw().select(*RAW_COLS)))
+    return rounded(Q.bad_timestamps(faulty(spark, sf).select(*RAW_COLS)))
 
 
 @register("dq_duplicate_keys", W_(
-    "SELECT station, datetime, count(*) AS count FROM prep GROUP BY station, datetime HAVING count(*) > 1",
+    f"SELECT station, datetime, count(*) AS count FROM {FAULTY} x GROUP BY station, datetime HAVING count(*) > 1",
     ints=["count"]))
 def q_dq_duplicate_keys(spark, sf):
-    return rounded(Q.duplicate_keys(prep(spark, sf), S))
+    return rounded(Q.duplicate_keys(P.prepare(faulty(spark, sf), S), S))
 
 
 @register("audit_continuity", O.wrap(
@@ -318,8 +338,8 @@ def q_dq_target_preserved(spark, sf):
 
 
 @register("dq_duplicate_rows", W_(
-    f"SELECT p.station, p.datetime, {O._list('p.' + c for c in NUM)} FROM prep p JOIN (SELECT station, datetime "
-    "FROM prep GROUP BY station, datetime HAVING count(*) > 1) d ON p.station = d.station AND p.datetime = d.datetime",
+    f"SELECT p.station, p.datetime, {O._list('p.' + c for c in NUM)} FROM {FAULTY} p JOIN (SELECT station, datetime "
+    f"FROM {FAULTY} x GROUP BY station, datetime HAVING count(*) > 1) d ON p.station = d.station AND p.datetime = d.datetime",
     floats=NUM))
 def q_dq_duplicate_rows(spark, sf):
-    return rounded(Q.duplicate_rows(prep(spark, sf), S).select("station", "datetime", *NUM))
+    return rounded(Q.duplicate_rows(P.prepare(faulty(spark, sf), S), S).select("station", "datetime", *NUM))

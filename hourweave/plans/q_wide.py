@@ -80,9 +80,12 @@ def q_wide_baselines(spark, sf):
     return rounded(WD.wide_baselines(wide(spark, sf), S, context(spark, sf).params()))
 
 
-@register("wide_window_steps", AW("SELECT id, 0 AS lag FROM wide WHERE false", ints=["lag"]))
+@register("wide_window_steps", AW("SELECT id, lag FROM wide, (VALUES (5), (6)) v(lag) WHERE hour_lag_1 = 3", ints=["lag"]))
 def q_wide_window_steps(spark, sf):
-    return rounded(WD.window_steps(wide(spark, sf), S))
+    """Windows that end at 3 o'clock get a wrong hour five hours before the target."""
+    faulty = wide(spark, sf).withColumn("hour_lag_5", F.when(F.col("hour_lag_1") == 3, (F.col("hour_lag_5") + 2) % 24)
+                                        .otherwise(F.col("hour_lag_5")))
+    return rounded(WD.window_steps(faulty, S))
 
 
 @register("dq_window_ids", AW(
@@ -99,35 +102,57 @@ def _contract_sql():
     for k in range(S.window, 0, -1):
         names = ",".join(sorted(f"{c}_lag_{k}" for c in O.WIDE_COLS))
         rows.append(f"('lag_{k}', '{names}', '{names}', 1)")
-    return "SELECT * FROM (VALUES " + ", ".join(rows) + ") v(\"check\", expected, actual, ok)"
+    counts = " UNION ALL ".join(f"SELECT 'lag_{k}' AS \"check\", {' + '.join(f'count({c}_lag_{k})' for c in O.WIDE_COLS)} AS \"values\" FROM wide"
+                               for k in range(S.window, 0, -1))
+    return ("SELECT v.*, c.\"values\" FROM (VALUES " + ", ".join(rows) + f") v(\"check\", expected, actual, ok) JOIN ({counts}) c "
+            "USING (\"check\")")
 
 
-@register("dq_wide_contract", AW(_contract_sql(), ints=["ok"]))
+@register("dq_wide_contract", AW(_contract_sql(), ints=["ok", "values"]))
 def q_dq_wide_contract(spark, sf):
-    return rounded(Q.wide_column_contract(wide(spark, sf), WD.wide_columns(S), S.window))
+    """The lag columns, and how many values each lag holds."""
+    x, cols = wide(spark, sf), WD.wide_columns(S)
+    lags = range(S.window, 0, -1)
+    sums = x.agg(*[sum((F.count(f"{c}_lag_{k}") for c in cols[1:]), F.count(f"{cols[0]}_lag_{k}")).alias(f"v{k}") for k in lags])
+    values = sums.select(F.inline(F.array(*[F.struct(F.lit(f"lag_{k}").alias("check"), F.col(f"v{k}").alias("values")) for k in lags])))
+    return rounded(Q.wide_column_contract(x, cols, S.window).join(values, "check"))
 
 
-@register("dq_window_station", AW("SELECT id, count(DISTINCT station) AS stations FROM wlong GROUP BY id "
-                                  "HAVING count(DISTINCT station) <> 1", ints=["stations"]))
+@register("dq_window_station", AW("SELECT regexp_extract(id, '[0-9]+$') AS id, count(DISTINCT station) AS stations FROM wlong "
+                                  "GROUP BY 1 HAVING count(DISTINCT station) <> 1", ints=["stations"]))
 def q_dq_window_station(spark, sf):
-    return rounded(Q.window_station(WD.wide_to_long(wide(spark, sf), S)))
+    """Windows named by their hour alone mix stations."""
+    long = WD.wide_to_long(wide(spark, sf), S).withColumn("id", F.regexp_extract("id", "[0-9]+$", 0))
+    return rounded(Q.window_station(long))
 
 
-@register("dq_unknown_station", AW("SELECT DISTINCT station FROM wide WHERE station NOT IN "
-                                   "(SELECT DISTINCT station FROM prep WHERE split = 'train')"))
+@register("dq_unknown_station", AW("SELECT DISTINCT station FROM wide WHERE station NOT IN (SELECT station FROM prep "
+                                   "WHERE split = 'train' AND station < (SELECT max(station) FROM prep))"))
 def q_dq_unknown_station(spark, sf):
-    c = context(spark, sf)
-    return rounded(Q.unknown_stations(wide(spark, sf), c.params().station_table(spark)))
+    """The last station is taken out of the categories of the fit."""
+    known = context(spark, sf).params().station_table(spark)
+    last = known.agg(F.max("station")).first()[0]
+    return rounded(Q.unknown_stations(wide(spark, sf), known.filter(F.col("station") < F.lit(last))))
 
 
-@register("feature_names", AW(
-    f"SELECT 'feature_names' AS \"check\", '{','.join(O.FEATURES)}' AS expected, '{','.join(O.FEATURES)}' AS actual, "
-    "1 AS ok", ints=["ok"]))
+@register("feature_names", AW(" UNION ALL ".join(
+    f"SELECT '{f}' AS feature, {i} AS position, (SELECT count({f}) FROM proc) AS panel_values, "
+    f"(SELECT count({f}) FROM wfeat) AS window_values" for i, f in enumerate(O.FEATURES)),
+    ints=["position", "panel_values", "window_values"]))
 def q_feature_names(spark, sf):
+    """V15 with data: each feature's position, the same for training and scoring, and its values on either side."""
     c = context(spark, sf)
-    score_names = [n for n in WD.wide_features(wide(spark, sf), S, c.params()).columns
-                   if n not in ("id", "station", "time_step")]
-    return rounded(Q.feature_order_contract(spark, c.feature_names(), score_names))
+    scored = WD.wide_features(wide(spark, sf), S, c.params())
+    names = c.feature_names()
+    Q.assert_clean(Q.feature_order_contract(spark, names, [n for n in scored.columns if n not in ("id", "station", "time_step")])
+                   .select(F.col("check").alias("rule"), (~F.col("ok")).cast("long").alias("violations")))
+
+    def counts(df, name):
+        one = df.agg(*[F.count(n).alias(n) for n in names])
+        return one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("feature"), F.lit(i).cast("long").alias("position"),
+                                                      F.col(n).alias(name)) for i, n in enumerate(names)])))
+
+    return rounded(counts(c.processed(), "panel_values").join(counts(scored, "window_values"), ["feature", "position"]))
 
 
 # ---------------------------------------------------------------- answer table
@@ -211,14 +236,16 @@ def q_table_fingerprint(spark, sf):
 
 @register("score_windows")
 def q_score_windows(spark, sf):
-    """ridge fitted on the panel's train targets scores the independent windows."""
+    """ridge fitted on the panel's train targets, saved and loaded, scores the independent windows."""
     from .registry import _tab_written
 
     c = context(spark, sf)
     tab = _tab_written(spark, sf)
     names = [n for n in tab.columns if n not in ("station", "split", "target_datetime", "target")]
-    model = FC.fit_ridge(tab.filter(F.col("split") == "train"), names)
-    return FC.score(model, WD.wide_tabular(wide(spark, sf), S, c.params()), "ridge", keys=["id", "station"])
+    path = os.path.join(checkpoint_root(spark), f"ridge-{uuid.uuid4().hex}")
+    FC.save_model(FC.fit_ridge(tab.filter(F.col("split") == "train"), names), path)
+    windows = Q.assert_wide(wide(spark, sf), S, c.params().station_table(spark))
+    return FC.score(FC.load_model(path), WD.wide_tabular(windows, S, c.params()), "ridge", keys=["id", "station"])
 
 
 # ---------------------------------------------------------------- sources / sinks

@@ -250,6 +250,30 @@ def q_target_history(spark, sf):
     return W.target_history(c.processed(), S, c.params())
 
 
+@register("window_tensor_steps", O.wrap(
+    f"SELECT s.station, s.target_datetime, {S.window} - date_diff('hour', p.datetime, s.target_datetime) AS step, "
+    f"{len(O.FEATURES)} AS features, {' + '.join('p.' + f for f in O.FEATURES)} AS total FROM seq s JOIN proc p "
+    f"ON p.station = s.station AND p.datetime >= s.window_start_datetime AND p.datetime <= s.window_end_datetime",
+    floats=["total"], ints=["step", "features"]))
+def q_window_tensor_steps(spark, sf):
+    """The tensor's time steps as rows: number of features and their sum."""
+    c = ctx(spark, sf)
+    x = W.window_tensor(c.processed(), S, c.feature_names())
+    return rounded(x.select("station", "target_datetime", F.posexplode("window").alias("step", "row")).select(
+        "station", "target_datetime", "step", F.size("row").alias("features"),
+        F.aggregate("row", F.lit(0.0), lambda a, v: a + v).alias("total")))
+
+
+@register("target_history_steps", O.wrap(
+    f"SELECT s.station, s.split, s.target_datetime, s.target, {S.window} - date_diff('hour', f.datetime, s.target_datetime) AS step, "
+    "f.y AS value FROM seq s JOIN filled f ON f.station = s.station AND f.datetime >= s.window_start_datetime "
+    "AND f.datetime <= s.window_end_datetime", floats=["target", "value"], ints=["step"]))
+def q_target_history_steps(spark, sf):
+    c = ctx(spark, sf)
+    x = W.target_history(c.processed(), S, c.params())
+    return rounded(x.select("station", "split", "target_datetime", "target", F.posexplode("history").alias("step", "value")))
+
+
 @register("window_batches", O.wrap("SELECT sequence_id, sequence_id // 512 AS batch_id FROM seq",
                                    ints=["sequence_id", "batch_id"]))
 def q_window_batches(spark, sf):
@@ -526,3 +550,4 @@ def q_panel_b_metrics(spark, sf):
 from . import q_audit  # noqa: E402,F401
 from . import q_wide  # noqa: E402,F401
 from . import q_ablation  # noqa: E402,F401
+from . import q_baseline_grid  # noqa: E402,F401
