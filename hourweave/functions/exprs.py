@@ -31,8 +31,9 @@ def ts_literal(value: str) -> Column:
 
 
 def epoch_hours(t: str | Column) -> Column:
-    """Whole hours since 1970-01-01 of a TIMESTAMP_NTZ column (used for chunking only)."""
-    return F.floor(F.unix_micros(col(t).cast("timestamp")) / F.lit(3_600_000_000)).cast("long")
+    """Whole hours since 1970-01-01 of a TIMESTAMP_NTZ column, whatever the session's time zone."""
+    t = col(t)
+    return (F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date")).cast("long") * 24 + F.hour(t)).cast("long")
 
 
 def nan_to_null(c: str | Column) -> Column:

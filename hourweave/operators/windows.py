@@ -120,6 +120,10 @@ def sequence_index(processed: DataFrame, spec: PanelSpec, window: int | None = N
     )
     if not with_id:
         return idx.drop(PART)
+    # the look-back window runs once: counts and rows of the ids both come from the written rows
+    from ..session import materialize
+
+    idx = materialize(idx, "sequence_rows")
     # non-halo rows sit in their own chunk, so _part is the chunk of the target
     idx = dense_sequence_id(idx, spec.with_(station="station", time="target_datetime"), "target_datetime",
                             chunk_col=PART)

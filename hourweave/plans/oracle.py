@@ -87,9 +87,8 @@ ev AS (
   SELECT CAST({key} AS VARCHAR) AS station, date_trunc('hour', ts) AS datetime, CAST(value AS DOUBLE) AS value,
          CAST({other} AS VARCHAR) AS other, CAST(json_extract_string(props, '$.k') AS BIGINT) AS kk
   FROM events),
-bounds AS (SELECT min(datetime) AS lo, max(datetime) AS hi FROM ev),
-cal AS (SELECT s.station, unnest(generate_series(b.lo, b.hi, INTERVAL 1 HOUR)) AS datetime
-        FROM (SELECT DISTINCT station FROM ev) s, bounds b),
+cal AS (SELECT station, unnest(generate_series(min(datetime), max(datetime), INTERVAL 1 HOUR)) AS datetime
+        FROM ev GROUP BY station),
 agg AS (SELECT station, datetime, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / nullif(count(value), 0) AS y, max(value) AS vmax, min(value) AS vmin, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS vsum,
                count(value) AS n, count(DISTINCT other) AS users, avg(CAST(kk AS DOUBLE)) AS k, sum(kk) AS ksum
         FROM ev GROUP BY station, datetime),

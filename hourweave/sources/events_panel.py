@@ -9,18 +9,17 @@ build an hourly panel from an event log:
 Per (series, hour): ``y`` = mean value (the target), ``vmax``, ``vmin``, ``vsum``,
 ``n`` = events, ``users`` = distinct partners (users for Panel A, event types for
 Panel B), ``k`` = mean of ``props.k`` and ``wd`` = a wind-like compass code chosen by
-``sum(k) mod 18``.  Hours without events exist as rows with NULLs (the panel is
-densified over the global hour range), which is what the fill operators need.
+``sum(k) mod 18``.  Hours without events exist as rows with NULLs, from each series' first
+hour to its last, which is what the fill operators need.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import EVENT_WIND_CODES, EVENTS_SPEC, PanelSpec
+from ..functions.exprs import epoch_hours
 
 PANEL_KEYS = {"A": ("event_type", "user_id"), "B": ("user_id", "event_type")}
 
@@ -41,27 +40,6 @@ def hourly_events(spark: SparkSession, sf_dir: str, panel: str = "A") -> DataFra
     )
 
 
-def dense_calendar(series: DataFrame, lo: _dt.datetime, hi: _dt.datetime, chunk_hours: int,
-                   station: str = "station", time: str = "datetime") -> DataFrame:
-    """Every (series, hour) in [lo, hi], generated in two levels.
-
-    Level one emits one row per (series, chunk) -- a small table that is spread
-    round-robin over tasks -- and level two expands each chunk into its hours, so no
-    single task generates a whole long series.
-    """
-    n_hours = int((hi - lo).total_seconds() // 3600) + 1
-    n_chunks = (n_hours + chunk_hours - 1) // chunk_hours
-    spark = series.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks = series.select(station, F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("_c"))
-    chunks = chunks.repartition(parts)
-    start = F.col("_c") * F.lit(chunk_hours)
-    stop = F.least(start + F.lit(chunk_hours - 1), F.lit(n_hours - 1))
-    offsets = chunks.select(station, F.explode(F.sequence(start, stop)).alias("_h"))
-    lo_lit = F.lit(lo.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
-    return offsets.select(station, F.timestamp_add("HOUR", F.col("_h"), lo_lit).alias(time))
-
-
 VALUE_COLS = ("y", "vmax", "vmin", "vsum", "_n", "_u", "k", "_ksum")
 
 
@@ -85,17 +63,26 @@ def hourly_aggregate(spark: SparkSession, sf_dir: str, panel: str = "A") -> Data
 
 
 def densify_panel(sparse: DataFrame, spec: PanelSpec = EVENTS_SPEC) -> DataFrame:
-    """Every (series, hour) of the global hour range: calendar rows are unioned in and
-    one cheap ``max`` per column keeps the single non-NULL value of each key.
+    """Every hour of each series from its first to its last one.
 
-    The hour range (two scalars) and the series list come from the sparse aggregate,
-    not from the raw events, so the events are read once when ``sparse`` is written.
+    Observed cells are gathered per (series, chunk), at most ``chunk_hours`` of them, and the chunk's hours are
+    written out inside the task, so only observed cells are shuffled and no task holds a whole series.  Chunks
+    without a cell come from the series' range, a list of (series, chunk) that is spread over the tasks.
     """
-    lo, hi = sparse.agg(F.min("datetime"), F.max("datetime")).first()
-    calendar = dense_calendar(sparse.select("station").distinct(), lo, hi, spec.chunk_hours or 24 * 28)
-    types = dict(sparse.dtypes)
-    filler = calendar.select("station", "datetime", *[F.lit(None).cast(types[c]).alias(c) for c in VALUE_COLS])
-    return sparse.unionByName(filler).groupBy("station", "datetime").agg(*[F.max(c).alias(c) for c in VALUE_COLS])
+    size = spec.chunk_hours or 24 * 28
+    zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    cells = sparse.withColumn("_c", F.floor(epoch_hours("datetime") / size).cast("long"))
+    cells = cells.groupBy("station", "_c").agg(F.map_from_entries(F.collect_list(
+        F.struct("datetime", F.struct(*VALUE_COLS).alias("v")))).alias("_m"))
+    ends = sparse.groupBy("station").agg(F.min(epoch_hours("datetime")).alias("_a"), F.max(epoch_hours("datetime")).alias("_b"))
+    chunks = ends.select("station", "_a", "_b", F.explode(F.sequence(
+        F.floor(F.col("_a") / size).cast("long"), F.floor(F.col("_b") / size).cast("long"))).alias("_c"))
+    whole = chunks.join(cells, ["station", "_c"], "left").select(
+        "station", "_m", F.explode(F.sequence(F.greatest(F.col("_a"), F.col("_c") * size),
+                                              F.least(F.col("_b"), F.col("_c") * size + size - 1))).alias("_h"))
+    whole = whole.withColumn("datetime", F.timestamp_add("HOUR", F.col("_h"), zero))
+    return whole.select("station", "datetime", F.try_element_at("_m", F.col("datetime")).alias("v")).select(
+        "station", "datetime", "v.*")
 
 
 def panel_columns(agg: DataFrame, with_datetime: bool = False) -> DataFrame:
@@ -120,7 +107,7 @@ def events_panel(spark: SparkSession, sf_dir: str, panel: str = "A", spec: Panel
     """Raw hourly panel (CSV-like layout: year, month, day, hour, station, numerics, wd).
 
     Events are aggregated per (series, hour) (``hourly_aggregate``) and, unless
-    ``densify=False``, densified over the global hour range.  Pass a written ``sparse``
+    ``densify=False``, densified over each series' range.  Pass a written ``sparse``
     aggregate to read the events only once.
     """
     agg = sparse if sparse is not None else hourly_aggregate(spark, sf_dir, panel)
