@@ -48,7 +48,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         # a driver-local folder is invisible to executors: never fall back to one on a cluster
         raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="hourweave-ckpt-"))
