@@ -1,9 +1,9 @@
 """Token counts without ids: pieces are counted once per distinct pre-token and summed by frequency.
 
-1. Each task cuts its texts into pre-tokens and writes blocks: the block's distinct pre-tokens, and per document
-   how often it has which of them (a sparse matrix in compact arrays).
-2. The blocks' pre-tokens meet by pre-token, sorted; the tokenizer sees each distinct one once and the number
-   of its pieces goes back to the blocks that have it.  A pre-token that all documents hold is one row a block.
+1. Each task cuts its texts into pre-tokens and writes blocks: the block's distinct pre-tokens, dealt into
+   buckets by hash, and per document how often it has which of them (a sparse matrix in compact arrays).
+2. The blocks' pre-tokens meet bucket by bucket; the tokenizer sees each distinct one once and the numbers of
+   pieces go back to the blocks.  A pre-token that all documents hold comes once a block.
 3. Each block multiplies its matrix by the numbers of pieces: one total per document.
 
 Ids are never kept: of an encoded pre-token only its length is used.
@@ -13,11 +13,13 @@ from __future__ import annotations
 
 import json
 import os
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import regex
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +32,17 @@ BLOCK = 12 << 20
 PIECES_AT_ONCE = 1 << 15
 
 
+def squeeze(values: np.ndarray) -> bytes:
+    """32-bit integers, byte planes apart and compressed: small on disk and in shuffles alike."""
+    planes = values.astype("<i4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def widen(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+
+
 class PreTokens:
     """Cuts texts as a byte-level vocabulary file says: its special strings first, then its pattern."""
 
@@ -52,9 +65,10 @@ class PreTokens:
         return out + self.pattern.findall(text[at:])
 
 
-def write_blocks(docs: DataFrame, path: str, block: int = BLOCK) -> DataFrame:
-    """(block, doc_ids, n_bytes, ends, tokens, counts, words): ``words`` are the block's distinct pre-tokens;
-    document i has word tokens[k] counts[k] times for k between ends[i - 1] and ends[i]."""
+def write_blocks(docs: DataFrame, path: str, buckets: int, block: int = BLOCK) -> DataFrame:
+    """(block, doc_ids, n_bytes, ends, tokens, counts, words): document i has word tokens[k] (stored as steps from
+    the one before) counts[k] times for k between ends[i - 1] and ends[i]; ``words`` are the block's distinct
+    pre-tokens in that numbering, by bucket: (bucket, their lengths in bytes, their bytes)."""
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cutter, part = PreTokens(path), TaskContext.get().partitionId()
@@ -63,11 +77,22 @@ def write_blocks(docs: DataFrame, path: str, block: int = BLOCK) -> DataFrame:
         def flush():
             nonlocal number
             ids, n_bytes, ends, tokens, counts = held
+            data = [x.encode() for x in index]
+            bucket = np.fromiter((zlib.crc32(x) % buckets for x in data), np.int32, len(data))
+            order = np.argsort(bucket, kind="stable")
+            place = np.empty(len(order), np.int32)
+            place[order] = np.arange(len(order))
+            words = []
+            for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+                if len(own):
+                    some = [data[i] for i in own.tolist()]
+                    words.append({"bucket": int(bucket[own[0]]), "lengths": squeeze(np.fromiter(map(len, some), "<i4", len(some))),
+                                  "data": zstandard.ZstdCompressor(level=3).compress(b"".join(some))})
             out = pd.DataFrame({
                 "block": [part << 32 | number], "doc_ids": [list(ids)], "n_bytes": [list(n_bytes)],
-                "ends": [np.cumsum(ends, dtype="<i8").tobytes()], "words": [list(index)],
-                "tokens": [np.concatenate(tokens).astype("<i4").tobytes()],
-                "counts": [np.concatenate(counts).astype("<i4").tobytes()]})
+                "ends": [np.cumsum(ends, dtype="<i8").tobytes()], "words": [words],
+                "tokens": [squeeze(np.diff(np.concatenate([np.sort(place[t]) for t in tokens]), prepend=0))],
+                "counts": [squeeze(np.concatenate([c[np.argsort(place[t])] for t, c in zip(tokens, counts, strict=True)]))]})
             for x in (*held, index):
                 x.clear()
             number += 1
@@ -89,30 +114,38 @@ def write_blocks(docs: DataFrame, path: str, block: int = BLOCK) -> DataFrame:
             yield flush()
 
     return store(texts(docs).mapInPandas(
-        pack, "block long, doc_ids array<long>, n_bytes array<long>, ends binary, words array<string>, tokens binary, "
-              "counts binary"), "token-blocks")
+        pack, "block long, doc_ids array<long>, n_bytes array<long>, ends binary, "
+              "words array<struct<bucket: int, lengths: binary, data: binary>>, tokens binary, counts binary"), "token-blocks")
 
 
-def count_pieces(words: DataFrame, path: str) -> DataFrame:
-    """(block, at, pieces) from (block, at, word): each distinct word is encoded once."""
+def count_pieces(words: DataFrame, path: str, buckets: int) -> DataFrame:
+    """(block, bucket, pieces) from (block, bucket, lengths, data): each distinct word is encoded once.
+
+    A task holds the distinct words of one bucket; there are as many buckets as shuffle partitions.
+    """
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        library, last = Tokenizer.from_file(path), (None, 0)
+        library, bucket, known = Tokenizer.from_file(path), None, {}
         for frame in frames:
-            code, distinct = pd.factorize(frame["word"])
-            todo = [x for x in distinct if x != last[0]]
-            pieces = dict([last]) if last[0] is not None else {}
-            for a in range(0, len(todo), PIECES_AT_ONCE):
-                some = todo[a:a + PIECES_AT_ONCE]
-                pieces |= zip(some, (len(e) for e in library.encode_batch_fast(some, add_special_tokens=False)), strict=True)
-            n = np.array([pieces[x] for x in distinct], np.int32)
-            last = (distinct[code[-1]], int(n[code[-1]])) if len(code) else last
-            yield frame[["block", "at"]].assign(pieces=n[code])
-
-    return words.repartition("word").sortWithinPartitions("word").mapInPandas(count, "block long, at int, pieces int")
+            out = []
+            for row in frame.itertuples(index=False):
+                if row.bucket != bucket:
+                    bucket, known = row.bucket, {}
+                stop, data = np.cumsum(widen(row.lengths)), zstandard.ZstdDecompressor().decompress(row.data)
+                words = [data[a:b] for a, b in zip([0, *stop[:-1].tolist()], stop.tolist(), strict=True)]
+                new = [x for x in words if x not in known]
+                for a in range(0, len(new), PIECES_AT_ONCE):
+                    some = new[a:a + PIECES_AT_ONCE]
+                    known |= zip(some, map(len, library.encode_batch_fast([x.decode() for x in some],
+                                                                          add_special_tokens=False)), strict=True)
+                out.append(squeeze(np.fromiter(map(known.__getitem__, words), "<i4", len(words))))
+            yield frame[["block", "bucket"]].assign(pieces=out)
+
+    return (words.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+            .mapInPandas(count, "block long, bucket int, pieces binary"))
 
 
 def token_counts(docs: DataFrame, path: str, block: int = BLOCK) -> DataFrame:
@@ -121,20 +154,18 @@ def token_counts(docs: DataFrame, path: str, block: int = BLOCK) -> DataFrame:
     Edge cases: null and empty texts have 0 bytes and 0 tokens; documents without an id and rows that repeat one
     each get a row; an empty table gives none; only doc_id and text are read.
     """
-    blocks = write_blocks(docs, path, block)
-    words = blocks.select("block", F.posexplode("words").alias("at", "word"))
-    pieces = count_pieces(words, path)
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = write_blocks(docs, path, buckets, block)
+    pieces = count_pieces(blocks.select("block", F.explode("words").alias("w")).select("block", "w.*"), path, buckets)
 
     def total(matrix: pd.DataFrame, pieces: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        number = np.concatenate([np.zeros(0, np.int64), *map(widen, pieces.sort_values("bucket")["pieces"])])
+        out = [pd.DataFrame({"doc_id": pd.array([], dtype="Int64"), "n_bytes": [], "n_tokens": []})]
         for row in matrix.itertuples(index=False):
-            number = np.zeros(len(pieces), np.int64)
-            number[pieces["at"].to_numpy()] = pieces["pieces"].to_numpy()
-            ends = np.frombuffer(row.ends, "<i8")
-            sums = np.r_[0, np.cumsum(number[np.frombuffer(row.tokens, "<i4")] * np.frombuffer(row.counts, "<i4"))]
+            sums = np.r_[0, np.cumsum(number[np.cumsum(widen(row.tokens))] * widen(row.counts))]
             out.append(pd.DataFrame({"doc_id": pd.array(list(row.doc_ids), dtype="Int64"), "n_bytes": row.n_bytes,
-                                     "n_tokens": np.diff(sums[np.r_[0, ends]])}))
-        return pd.concat(out) if out else pd.DataFrame({"doc_id": [], "n_bytes": [], "n_tokens": []})
+                                     "n_tokens": np.diff(sums[np.r_[0, np.frombuffer(row.ends, "<i8")]])}))
+        return pd.concat(out[1:] or out)
 
     matrices = blocks.select("block", "doc_ids", "n_bytes", "ends", "tokens", "counts")
     return (matrices.groupBy("block").cogroup(pieces.groupBy("block"))
