@@ -82,6 +82,17 @@ def fit_ridge(train: DataFrame, feature_cols: list[str], label: str = "target",
     return Pipeline(stages=[VectorAssembler(inputCols=feature_cols, outputCol="_features"), lr]).fit(train)
 
 
+#: bytes of features that a task of a tree fit takes at least
+FIT_BYTES = 8 << 20
+
+
+def _by_bytes(train: DataFrame, features: int) -> DataFrame:
+    """Fewer, fuller partitions where the rows are few: tree learning runs several jobs per level and iteration,
+    and a task of a handful of rows costs more to schedule than to run.  Large inputs keep their partitions."""
+    wanted = max(1, -(-train.count() * features * 8 // FIT_BYTES))
+    return train.coalesce(wanted) if train.rdd.getNumPartitions() > wanted else train
+
+
 def fit_gbt(train: DataFrame, feature_cols: list[str], label: str = "target", max_iter: int = 150,
             step_size: float = 0.05, max_depth: int = 5, min_instances: int = 30, seed: int = 42) -> PipelineModel:
     """gradient-boosted trees (comparable to, not equal to, a histogram GBM).
@@ -89,6 +100,7 @@ def fit_gbt(train: DataFrame, feature_cols: list[str], label: str = "target", ma
     Tree learning makes several passes per level and iteration over binned rows that it keeps itself
     (memory, then disk); every row is used in every iteration.
     """
+    train = _by_bytes(train, len(feature_cols))
     gbt = GBTRegressor(featuresCol="_features", labelCol=label, predictionCol="y_pred", maxIter=max_iter,
                        stepSize=step_size, maxDepth=max_depth, minInstancesPerNode=min_instances, maxBins=256,
                        seed=seed)
@@ -196,7 +208,7 @@ def ablation_grid(processed: DataFrame, spec: PanelSpec, feature_cols: list[str]
                     gbt = GBTRegressor(featuresCol="_features", labelCol="target", predictionCol="y_pred",
                                        maxIter=gbt_iter, stepSize=0.05, maxDepth=5, minInstancesPerNode=30, maxBins=256,
                                        subsamplingRate=gbt_subsample, seed=seed)
-                    fitted = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="_features"), gbt]).fit(train)
+                    fitted = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="_features"), gbt]).fit(_by_bytes(train, len(cols)))
                 secs = time.time() - t0
                 best = None
                 if model != "ridge":

@@ -185,7 +185,7 @@ WHERE st IS NOT NULL AND st = target_datetime - INTERVAL {w} HOUR AND target IS
 
 
 def wide_ctes() -> str:
-    """Wide windows of every local-test hour (lags via window functions), their long form
+    """Wide windows of every hour with a whole window before it; ``test_ids`` those of the local test (lags via window functions), their long form
     by a range self-join on the panel, in-window fill, features and baselines."""
     w = W
     lags = _list(f"lag({c}, {k}) OVER w AS {c}_lag_{k}" for k in range(w, 0, -1) for c in WIDE_COLS)
@@ -198,7 +198,8 @@ def wide_ctes() -> str:
 wlag AS (SELECT station, datetime, lag(datetime, {w}) OVER w AS st, {lags} FROM raw
          WINDOW w AS (PARTITION BY station ORDER BY datetime)),
 anchors AS (SELECT 'w_' || station || '_' || strftime(datetime, '%Y%m%d%H') AS id, station, datetime AS t FROM wlag
-            WHERE st IS NOT NULL AND st = datetime - INTERVAL {w} HOUR AND datetime >= {ts(S.test_start)}),
+            WHERE st IS NOT NULL AND st = datetime - INTERVAL {w} HOUR),
+test_ids AS (SELECT id FROM anchors WHERE t >= {ts(S.test_start)}),
 wide AS (SELECT a.id, a.station, {lag_names} FROM anchors a JOIN wlag l ON l.station = a.station AND l.datetime = a.t),
 wlong AS (SELECT a.id, a.station, CAST(date_diff('hour', a.t - INTERVAL {w} HOUR, r.datetime) AS BIGINT) AS time_step,
                  r.datetime, {_list('r.' + c for c in WIDE_COLS)}

@@ -34,10 +34,16 @@ def AW(select, **kw):
 
 
 def wide(spark, sf):
-    """Wide windows of every local-test hour of Panel A (written once per session)."""
+    """Wide windows of every hour of Panel A that has a whole window before it (written once per session)."""
     c = context(spark, sf)
-    return c._memo("wide", lambda: materialize(
-        WD.build_wide_windows(c.raw(), S, anchor=F.col(S.time) >= F.lit(S.test_start).cast("timestamp_ntz")), "wide"))
+    return c._memo("wide", lambda: materialize(WD.build_wide_windows(c.raw(), S), "wide"))
+
+
+def wide_test(spark, sf):
+    """Wide windows of the local-test hours, which are scored (written once per session)."""
+    c = context(spark, sf)
+    return c._memo("wide_test", lambda: materialize(
+        WD.build_wide_windows(c.raw(), S, anchor=F.col(S.time) >= F.lit(S.test_start).cast("timestamp_ntz")), "wide_test"))
 
 
 @register("wide_windows", AW("SELECT * FROM wide", floats=WIDE_F, ints=WIDE_I))
@@ -168,7 +174,7 @@ def _bw_sql():
 
 def _sub_sql():
     return (f"SELECT t.id, t.position, CASE WHEN bw.w * b.persistence + (1 - bw.w) * b.window_mean < 0 THEN 0.0 ELSE bw.w * b.persistence + (1 - bw.w) * b.window_mean END AS prediction "
-            f"FROM (SELECT id, row_number() OVER (ORDER BY id) - 1 AS position FROM wide) t JOIN wbase b ON b.id = t.id, "
+            f"FROM (SELECT id, row_number() OVER (ORDER BY id) - 1 AS position FROM test_ids) t JOIN wbase b ON b.id = t.id, "
             f"{_bw_sql()} bw")
 
 
@@ -177,8 +183,8 @@ def submission(spark, sf):
 
     def build():
         w = EN.chosen_weight(_pair(spark, sf), 0.01)
-        preds = SB.blended_window_predictions(wide(spark, sf), S, c.params(), w)
-        template = SB.template_from_ids(wide(spark, sf))
+        preds = SB.blended_window_predictions(wide_test(spark, sf), S, c.params(), w)
+        template = SB.template_from_ids(wide_test(spark, sf))
         return materialize(SB.build_submission(template, preds), "submission"), template, preds
     return c._memo("submission", build)
 
@@ -191,7 +197,7 @@ def q_submission_build(spark, sf):
 @register("submission_per_model", AW(
     "SELECT model, id, position, CASE WHEN p < 0 THEN 0.0 ELSE p END AS prediction FROM (SELECT m.model, t.id, t.position, CASE m.model WHEN 'persistence' THEN b.persistence "
     "WHEN 'window_mean' THEN b.window_mean ELSE bw.w * b.persistence + (1 - bw.w) * b.window_mean END AS p "
-    "FROM (SELECT id, row_number() OVER (ORDER BY id) - 1 AS position FROM wide) t JOIN wbase b ON b.id = t.id, "
+    "FROM (SELECT id, row_number() OVER (ORDER BY id) - 1 AS position FROM test_ids) t JOIN wbase b ON b.id = t.id, "
     f"{_bw_sql()} bw, (VALUES ('persistence'), ('window_mean'), ('blend')) m(model)) q3",
     floats=["prediction"], ints=["position"]))
 def q_submission_per_model(spark, sf):
@@ -244,7 +250,7 @@ def q_score_windows(spark, sf):
     names = [n for n in tab.columns if n not in ("station", "split", "target_datetime", "target")]
     path = os.path.join(checkpoint_root(spark), f"ridge-{uuid.uuid4().hex}")
     FC.save_model(FC.fit_ridge(tab.filter(F.col("split") == "train"), names), path)
-    windows = Q.assert_wide(wide(spark, sf), S, c.params().station_table(spark))
+    windows = Q.assert_wide(wide_test(spark, sf), S, c.params().station_table(spark))
     return FC.score(FC.load_model(path), WD.wide_tabular(windows, S, c.params()), "ridge", keys=["id", "station"])
 
 
@@ -271,7 +277,7 @@ def q_result_upsert(spark, sf):
 
 @register("stream_score_windows", AW(
     "SELECT b.id, b.station, CASE WHEN bw.w * b.persistence + (1 - bw.w) * b.window_mean < 0 THEN 0.0 ELSE bw.w * b.persistence + (1 - bw.w) * b.window_mean END AS prediction "
-    f"FROM wbase b, {_bw_sql()} bw", floats=["prediction"]))
+    f"FROM wbase b JOIN test_ids USING (id), {_bw_sql()} bw", floats=["prediction"]))
 def q_stream_score_windows(spark, sf):
     """Structured Streaming: wide-window files scored as they arrive (availableNow trigger)."""
     from ..streaming.scoring import score_window_files
@@ -280,7 +286,7 @@ def q_stream_score_windows(spark, sf):
     root = checkpoint_root(spark)
     tag = uuid.uuid4().hex
     src, sink, ckpt = (os.path.join(root, f"stream-{n}-{tag}") for n in ("in", "out", "ckpt"))
-    windows = wide(spark, sf)
+    windows = wide_test(spark, sf)
     windows.write.parquet(src)
     w = EN.chosen_weight(_pair(spark, sf), 0.01)
     score_window_files(spark, src, windows.schema, S, c.params(), w, sink, ckpt)
