@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PanelSpec
-from ..functions.exprs import hours, is_finite
+from ..functions.exprs import epoch_hours, hours, is_finite
 
 
 def rule_table(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -168,13 +168,19 @@ def target_preserved(raw: DataFrame, processed: DataFrame, spec: PanelSpec) -> D
 
 
 def panel_rules(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """P14 / V3 / V5 as one table: missing stations or times, repeated keys, steps that are not one hour."""
-    rules = rule_table(df, {"null_station": F.col(spec.station).isNull(), "null_time": F.col(spec.time).isNull()})
-    known = df.filter(F.col(spec.station).isNotNull() & F.col(spec.time).isNotNull())
-    for name, rows in (("duplicate_key", duplicate_keys(known, spec)), ("non_hourly", non_hourly(known, spec))):
-        rules = rules.unionByName(rows.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit(name).alias("rule"), "violations"))
-    return rules
+    """P14 / V3 / V5 as one table and one job: rows without a station or a time, repeated rows of a key, and hours
+    that a series lacks between its first and its last (``non_hourly``)."""
+    known = F.col(spec.station).isNotNull() & F.col(spec.time).isNotNull()
+    cells = df.groupBy(spec.station, spec.time).agg(F.count(F.lit(1)).alias("_n"))
+    hour = F.when(known, epoch_hours(spec.time))
+    series = cells.groupBy(spec.station).agg(
+        F.sum(F.when(F.col(spec.station).isNull(), F.col("_n"))).alias("null_station"),
+        F.sum(F.when(F.col(spec.time).isNull(), F.col("_n"))).alias("null_time"),
+        F.sum(F.when(known, F.col("_n") - 1)).alias("duplicate_key"),
+        (F.max(hour) - F.min(hour) + 1 - F.count(hour)).alias("non_hourly"))
+    names = ("null_station", "null_time", "duplicate_key", "non_hourly")
+    one = series.agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in names])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("rule"), F.col(n).alias("violations")) for n in names])))
 
 
 def assert_panel(df: DataFrame, spec: PanelSpec) -> DataFrame:
