@@ -91,8 +91,8 @@ def write_features(df: DataFrame, path: str, partition_by=("split",)) -> None:
 
 
 def write_result_csv(df: DataFrame, path: str) -> None:
-    """Small result tables (metrics) as one CSV file."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """Result tables (metrics) as CSV, a part file per partition; readers take the folder."""
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_predictions(df: DataFrame, path: str) -> None:
@@ -103,7 +103,7 @@ def write_predictions(df: DataFrame, path: str) -> None:
 
 def write_metadata_json(df: DataFrame, path: str) -> None:
     """One-row metadata record as JSON."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    df.write.mode("overwrite").json(path)
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
