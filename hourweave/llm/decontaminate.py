@@ -29,7 +29,7 @@ from .common import mix64, rows_below, same_id, signed, store, table, texts
 WINDOW = 10
 SHINGLE = 3
 FILTER_BITS = 1 << 23
-TEXT_AT_ONCE = 2 << 20
+TEXT_AT_ONCE = 1 << 19
 
 #: word bytes stay (A-Z lower-cased), others become 0; every byte of a non-ASCII character is a word byte
 _WORD = np.zeros(256, np.uint8)

@@ -22,7 +22,7 @@ import numpy as np
 from .common import mix64
 
 #: chunks a worker remembers; when there are more it starts anew, which costs time only
-CACHE = 2_500_000
+CACHE = 1_500_000
 MARKS = ".,!?;:$%&*#\"()"
 _STEPS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 

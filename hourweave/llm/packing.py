@@ -29,7 +29,7 @@ from .common import rows_below, store, table, texts
 from .encoding import encoder
 
 CAPACITY = 4096
-TEXT_AT_ONCE = 2 << 20
+TEXT_AT_ONCE = 1 << 19
 Pattern = list[tuple[int, int]]  # (length, how many) in the order they lie in the sequence
 
 

@@ -31,7 +31,7 @@ ROUNDS = 3
 ACCEPT = 0.7
 #: a pattern below this mean score says nothing about its instances
 PATTERN = 0.5
-TEXT_AT_ONCE = 2 << 20
+TEXT_AT_ONCE = 1 << 19
 
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")

@@ -31,7 +31,7 @@ from .mph import Lookup, build
 
 BLOCK_IDS = 1 << 18
 BUCKET_KEYS = 1 << 15
-TEXT_AT_ONCE = 2 << 20
+TEXT_AT_ONCE = 1 << 19
 PLACE = [("shard", "<i4"), ("block", "<i4"), ("offset", "<i4"), ("length", "<i4")]
 
 
