@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import mix64, rows_below, same_id, signed, store, table, texts
-from .decontaminate import _STEP, Words, _filter, _passes
+from .words import STEP, Words, bit_table, in_bits
 
 KINDS = ("email", "ip", "card", "phone")
 MIN_INSTANCES = 3
@@ -87,7 +87,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _join(a: np.ndarray, b: np.ndarray, form: int) -> np.ndarray:
-    return mix64(mix64(a + np.uint64(form)) * _STEP + b) | np.uint64(1)
+    return mix64(mix64(a + np.uint64(form)) * STEP + b) | np.uint64(1)
 
 
 def _identifiers(w: Words) -> np.ndarray:
@@ -179,14 +179,14 @@ def find(docs: DataFrame) -> DataFrame:
 
 def _surroundings(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     """(pattern, others): how often a pattern surrounds a token that is no identifier."""
-    bits = docs.sparkSession.sparkContext.broadcast(_filter(patterns.select(F.col("pattern").alias("shingle"))))
+    bits = docs.sparkSession.sparkContext.broadcast(bit_table(patterns.select(F.col("pattern").alias("shingle"))))
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in rows_below(frames, "text", TEXT_AT_ONCE):
             w = Words(frame["text"].tolist(), _TOKEN)
             plain = _plain(w, frame["text"].tolist())
             for c in _contexts(w, plain, plain, w.text[plain]) if len(plain) else ():
-                hit, n = np.unique(c[_passes(bits.value, c)], return_counts=True)
+                hit, n = np.unique(c[in_bits(bits.value, c)], return_counts=True)
                 yield pd.DataFrame({"pattern": signed(hit), "others": n})
 
     return texts(docs).select("text").mapInPandas(count, "pattern long, others long").groupBy("pattern").agg(

@@ -4,7 +4,8 @@ import duckdb
 import plain
 from helpers import LONG, SF, awkward, documents, nothing
 
-from hourweave.llm.decontaminate import Words, contaminated, op9_decontaminate, stage
+from hourweave.llm.decontaminate import contaminated, op9_decontaminate, stage
+from hourweave.llm.words import Words
 
 
 def result(frame):
