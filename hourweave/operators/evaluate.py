@@ -6,10 +6,12 @@ row per group and task, whatever the number of predictions.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import SPLITS
+from ..config import SPLITS, TARGET_RANGES
 from ..functions.exprs import is_finite, range_labels, regression_metric_columns
 from .forecast import clip_predictions
 
@@ -62,6 +64,11 @@ def metrics_pivot(metrics: DataFrame, value: str = "rmse") -> DataFrame:
     return metrics.groupBy("model").pivot("split", list(SPLITS)).agg(F.first(value))
 
 
+def union_metrics(*tables: DataFrame) -> DataFrame:
+    """Metric tables of several sources as one, by column name (columns that a table lacks are NULL)."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
 def model_ranking(metrics: DataFrame, relabel: dict[str, str] | None = None) -> DataFrame:
     """Rank per split by RMSE (ties share a rank)."""
     m = metrics
@@ -80,6 +87,13 @@ def station_ranking(station_metrics: DataFrame, model: str, split: str) -> DataF
     return station_metrics.filter((F.col("model") == model) & (F.col("split") == split)).orderBy("rmse", "station")
 
 
+def range_extract(range_metrics: DataFrame, model: str, split: str) -> DataFrame:
+    """One model's target ranges on one split, lowest range first."""
+    order = F.array(*[F.lit(r[0]) for r in TARGET_RANGES])
+    return range_metrics.filter((F.col("model") == model) & (F.col("split") == split)).orderBy(
+        F.array_position(order, F.col("pollution_range")))
+
+
 def prediction_summary(pred: DataFrame, keys=("model",), population_std: bool = False, col: str = "y_pred") -> DataFrame:
     """Rows, min, max, mean, std, missing, negative."""
     k = _keys(pred, keys)

@@ -77,7 +77,10 @@ class PanelContext:
 
 
 def context(spark: SparkSession, sf_dir: str, panel: str = "A", spec: PanelSpec = EVENTS_SPEC) -> PanelContext:
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), panel, spec)
+    app = spark.sparkContext.applicationId
+    for old in [k for k in _CACHE if k[1] != app]:  # stages of ended applications
+        del _CACHE[old]
+    key = (id(spark), app, sf_dir.rstrip("/"), panel, spec)
     ctx = _CACHE.get(key)
     if ctx is None:
         ctx = _CACHE[key] = PanelContext(spark, sf_dir.rstrip("/"), panel, spec)

@@ -417,6 +417,24 @@ def q_model_ranking(spark, sf):
     return rounded(E.model_ranking(E.metrics_overall(_preds(spark, sf)), _RELABEL))
 
 
+@register("model_ranking_union", O.wrap(
+    "SELECT model, split, samples, rmse, mae, r2, rank() OVER (PARTITION BY split ORDER BY rmse) AS rank FROM movr",
+    floats=_MF, ints=_MI + ["rank"]))
+def q_model_ranking_union(spark, sf):
+    """Metric tables that were made model by model, united and ranked."""
+    p = _preds(spark, sf)
+    tables = [E.metrics_overall(p.filter(F.col("model") == m)) for m in ("persistence", "window_mean")]
+    return rounded(E.model_ranking(E.union_metrics(*tables)))
+
+
+@register("range_extract", O.wrap(
+    f"SELECT model, split, r.label AS pollution_range, {O.metric_cols()} FROM cpreds JOIN {_ranges_values()} "
+    "ON (CASE WHEN r.lo_incl THEN y_true >= r.lo ELSE y_true > r.lo END) AND (r.hi IS NULL OR y_true <= r.hi) "
+    "WHERE model = 'window_mean' AND split = 'validation' GROUP BY model, split, r.label", floats=_MF, ints=_MI))
+def q_range_extract(spark, sf):
+    return rounded(E.range_extract(E.metrics_by_range(_preds(spark, sf)), "window_mean", "validation"))
+
+
 @register("best_model", O.wrap("SELECT * FROM movr WHERE split = 'validation' ORDER BY rmse, model LIMIT 1",
                                floats=_MF, ints=_MI))
 def q_best_model(spark, sf):
