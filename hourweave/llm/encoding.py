@@ -33,6 +33,14 @@ _BLANK[[*range(9, 14), *range(28, 33)]] = True
 _LEAD[[0xC2, 0xE1, 0xE2, 0xE3]] = True  # first bytes of the characters that may be white space beyond ASCII
 
 
+def _with(held: np.ndarray, used: int, values: np.ndarray) -> np.ndarray:
+    """``held`` with ``values`` after its first ``used`` places; it grows by doubling."""
+    if used + len(values) > len(held):
+        held = np.concatenate([held[:used], np.empty(max(used, len(values)) + len(values), held.dtype)])
+    held[used:used + len(values)] = values
+    return held
+
+
 class Encoder:
     """``encode(texts)`` gives each text's ids as the bytes of little-endian unsigned 32-bit integers."""
 
@@ -49,9 +57,10 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.key, self.check = np.empty(0, np.uint64), np.empty(0, np.uint64)
-        self.first, self.length = np.empty(0, np.int64), np.empty(0, np.int64)
-        self.pool = np.empty(0, "<u4")
+        self.key, self.slot = np.empty(0, np.uint64), np.empty(0, np.int32)  # sorted hashes and where their chunks are
+        self.chunks = self.ids = 0
+        self.check, self.first, self.length = (np.empty(1 << 16, t) for t in (np.uint64, np.int64, np.int32))
+        self.pool = np.empty(1 << 18, "<u4")
 
     def _cuts(self, raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Where chunks begin: at every text's start and at the safe places."""
@@ -84,21 +93,24 @@ class Encoder:
         at = np.searchsorted(self.key, distinct)
         known = at < len(self.key)
         known[known] = self.key[at[known]] == distinct[known]
-        if (self.check[at[known]] != check[known]).any():
+        slot = np.empty(len(distinct), np.int32)
+        slot[known] = self.slot[at[known]]
+        if (self.check[slot[known]] != check[known]).any():
             return None
         new = np.flatnonzero(~known)
         if len(new):
             data = raw.tobytes()
             found = [e.ids for e in self.library.encode_batch_fast(
                 [data[begin[i]:begin[i] + size[i]].decode() for i in one[new].tolist()], add_special_tokens=False)]
-            n = np.fromiter(map(len, found), np.int64, len(found))
+            n = np.fromiter(map(len, found), np.int32, len(found))
             ids = np.fromiter(chain.from_iterable(found), "<u4", int(n.sum()))
-            self.first = np.insert(self.first, at[new], len(self.pool) + np.cumsum(n) - n)
-            self.length = np.insert(self.length, at[new], n)
-            self.key, self.check = np.insert(self.key, at[new], distinct[new]), np.insert(self.check, at[new], check[new])
-            self.pool = np.concatenate([self.pool, ids])
-            at = np.searchsorted(self.key, distinct)
-        return at[which]
+            slot[new] = np.arange(self.chunks, self.chunks + len(new))
+            for name, values, used in (("check", check[new], self.chunks), ("length", n, self.chunks), ("pool", ids, self.ids),
+                                       ("first", self.ids + np.cumsum(n, dtype=np.int64) - n, self.chunks)):
+                setattr(self, name, _with(getattr(self, name), used, values))
+            self.chunks, self.ids = self.chunks + len(new), self.ids + len(ids)
+            self.key, self.slot = np.insert(self.key, at[new], distinct[new]), np.insert(self.slot, at[new], slot[new])
+        return slot[which]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         data = [t.encode() for t in texts]
@@ -113,7 +125,7 @@ class Encoder:
         if slot is None:
             return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
         n = self.length[slot]
-        done = np.cumsum(n)
+        done = np.cumsum(n, dtype=np.int64)
         ids = self.pool[np.arange(done[-1]) + np.repeat(self.first[slot] - done + n, n)].tobytes()
         stop = 4 * np.r_[0, done][np.searchsorted(begin, ends)]
         return [ids[a:b] for a, b in zip([0, *stop[:-1].tolist()], stop.tolist(), strict=True)]
