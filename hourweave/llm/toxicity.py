@@ -1,7 +1,7 @@
 """Toxicity: a learnt lexicon in a trie, Levenshtein automata over it, and scores of the context windows.
 
 * The lexicon comes from labelled documents: whole words, and stems where many words share a beginning, that
-  toxic documents hold far oftener than clean ones (near copies count once).
+  toxic documents hold far oftener than clean ones (texts whose words are SAME alike count once).
 * Words of a text run through the deterministic automaton of the trie's intersection with the Levenshtein
   automata of its words (each word's own number of edits; stems take none).  It is built as words ask for it,
   and most words leave it after a few letters.
@@ -22,7 +22,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, store, table, texts
+from .common import held_out, mix64, signed, store, table, texts
+from .words import STEP
 
 TOXIC = 0.5
 #: at most so many labelled rows of each label are learnt from, those with the least hashes of their ids
@@ -33,6 +34,9 @@ LIFT = 10.0
 EVIDENCE = 11.0
 CONTEXT = 8
 CACHE = 500_000
+#: texts whose words have at least this Jaccard similarity are copies
+SAME = 0.8
+BANDS = 8
 FEATURES = ("words", "stems", "misspelt", "quoted", "density")
 #: mean of the weights' prior (intercept first): what terms mean before any label is seen
 PRIOR = np.array([-3.0, 3.0, 3.0, 1.5, 0.3, 0.0])
@@ -207,9 +211,43 @@ def _keys(words: set[str]) -> set[str]:
     return {w + "$" for w in words if len(w) > 2} | {w[:n] for w in words for n in STEMS if len(w) > n}
 
 
-def _cluster(words: set[str]) -> int:
-    """Near copies mostly share the least hash of their words."""
-    return min((xxhash.xxh64_intdigest(w.encode()) for w in words), default=0) >> 1
+def _copy(words: list[str]) -> int:
+    """Texts with the same sequence of words share it."""
+    return xxhash.xxh64_intdigest("\n".join(words).encode()) - (1 << 63)
+
+
+def _hashes(words: set[str]) -> np.ndarray:
+    return np.array(sorted(xxhash.xxh64_intdigest(w.encode()) for w in words), np.uint64)
+
+
+def _bands(hashes: np.ndarray) -> list[int]:
+    """Pairs of min-hashes: texts whose words are SAME alike share one of BANDS with probability 0.9997."""
+    if not len(hashes):
+        return []
+    least = [mix64(hashes ^ np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))).min() for k in range(1, 2 * BANDS + 1)]
+    pairs = np.array(least, np.uint64).reshape(BANDS, 2)
+    return signed(mix64(pairs[:, 0] * STEP + pairs[:, 1] + np.arange(BANDS, dtype=np.uint64))).tolist()
+
+
+def without_copies(rows: DataFrame) -> DataFrame:
+    """One row of equal texts of a label, and none whose words are SAME alike to those of a row with a lesser id.
+
+    ``rows`` have doc_id, label, copy, words, bands.  Each row is compared with the least row of each of its bands,
+    so that large groups of copies cost no more than others.
+    """
+    columns = [c for c in rows.columns if c not in ("label", "copy")]
+    rows = store(rows.groupBy("label", "copy").agg(F.min_by(F.struct(*columns), "doc_id").alias("r"))
+                 .select("label", "copy", "r.*"), "toxicity-texts")
+    bands = rows.select("label", "doc_id", "copy", F.explode("bands").alias("band"))
+    first = bands.groupBy("label", "band").agg(F.min(F.struct("doc_id", "copy")).alias("first"))
+    pairs = (bands.join(first, ["label", "band"]).filter(F.col("first.copy") != F.col("copy"))
+             .select("label", "copy", F.col("first.copy").alias("other")).distinct())
+    words = rows.select("label", "copy", "words")
+    both = F.size(F.array_intersect("words", "others"))
+    near = (pairs.join(words, ["label", "copy"])
+            .join(words.select("label", F.col("copy").alias("other"), F.col("words").alias("others")), ["label", "other"])
+            .filter(both >= SAME * (F.size("words") + F.size("others") - both)).select("label", "copy").distinct())
+    return rows.join(near, ["label", "copy"], "left_anti")
 
 
 def choose_entries(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> list[Entry]:
@@ -258,15 +296,16 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE_EACH) -> Model:
 
     def keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = [set(words_of(t)) for t in frame["text"]]
-            yield frame[["doc_id", "label", "text"]].assign(cluster=[_cluster(w) for w in found],
-                                                            keys=[sorted(_keys(w)) for w in found])
+            found = [words_of(t) for t in frame["text"]]
+            hashes = [_hashes(set(w)) for w in found]
+            yield frame[["doc_id", "label", "text"]].assign(
+                copy=[_copy(w) for w in found], words=[signed(h).tolist() for h in hashes],
+                bands=[_bands(h) for h in hashes], keys=[sorted(_keys(set(w))) for w in found])
 
     # at most 2 * each rows are broadcast, written by key and, as numbers, come back
     sample = texts(docs).join(F.broadcast(first[0].union(first[1])), "doc_id").mapInPandas(
-        keys, "doc_id long, label int, text string, cluster long, keys array<string>")
-    sample = store(sample.groupBy("cluster", "label").agg(F.min_by(F.struct("doc_id", "text", "keys"), "doc_id").alias("r"))
-                   .select("label", "r.*"), "toxicity-sample")
+        keys, "doc_id long, label int, text string, copy long, words array<long>, bands array<long>, keys array<string>")
+    sample = store(without_copies(sample).select("doc_id", "label", "text", "keys"), "toxicity-sample")
     size = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = size.get(1, 0), size.get(0, 0)
     counts = (sample.select("label", F.explode("keys").alias("key")).groupBy("key")

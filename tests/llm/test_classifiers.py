@@ -101,3 +101,27 @@ def test_terms_are_found_with_their_places(spark):
     docs = spark.createDataFrame([(1, "an idiot, an IDIOT"), (2, None), (None, "idi0t")], "doc_id long, text string")
     got = {(r["doc_id"], r["surface"], r["start"], r["edits"]) for r in T.find_terms(docs, model).collect()}
     assert got == {(1, "idiot", 3, 0), (1, "idiot", 13, 0), (None, "idi0t", 0, 1)}
+
+
+def test_only_copies_leave_the_sample(spark):
+    common = "the of and to in is it was for on are as with his they at be this from have or by one had not but what all".split()
+    r = np.random.default_rng(3)
+    texts = [" ".join(r.permutation(common + [f"own{i}x{j}" for j in range(20)])) for i in range(40)]  # Jaccard 0.4 between any two
+    near = [t + " more" for t in texts[:5]]
+    own = [(i, 1, t) for i, t in enumerate([*texts, *near, *(t.upper() for t in texts[5:9])])]
+    words = [T.words_of(t) for _, _, t in own]
+    hashes = [T._hashes(set(w)) for w in words]
+    rows = spark.createDataFrame(
+        [(*row[:2], T._copy(w), h.view(np.int64).tolist(), T._bands(h)) for row, w, h in zip(own, words, hashes, strict=True)],
+        "doc_id long, label int, copy long, words array<long>, bands array<long>")
+    assert sorted(r["doc_id"] for r in T.without_copies(rows).collect()) == list(range(40))
+
+
+def test_terms_count_over_documents_that_share_common_words(spark):
+    common = "the of and to in is it was for on are as with his they at be this from have or by one had not but what all".split()
+    r = np.random.default_rng(4)
+    rows = [(i, int(i < 30), " ".join(r.permutation(common + [f"own{i}x{j}" for j in range(5)] + ["grobling"] * (i < 30))))
+            for i in range(400) if zlib.crc32(str(i).encode()) % 5]
+    rows = spark.createDataFrame(rows, "doc_id long, toxic int, text string")
+    model = T.fit(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
+    assert model.match("grobling") is not None
