@@ -68,7 +68,8 @@ class Automaton:
     def __init__(self, entries: list[Entry]):
         self.entries = entries
         self.children: list[dict[str, int]] = [{}]
-        self.ends: list[int] = [-1]
+        self.ends: list[int] = [-1]  # the word that ends at a node
+        self.stems: list[int] = [-1]  # the stem that ends there
         for i, e in enumerate(entries):
             node = 0
             for c in e.term:
@@ -76,8 +77,9 @@ class Automaton:
                     self.children[node][c] = len(self.children)
                     self.children.append({})
                     self.ends.append(-1)
+                    self.stems.append(-1)
                 node = self.children[node][c]
-            self.ends[node] = i
+            (self.stems if e.stem else self.ends)[node] = i
         self.most = [0] * len(self.children)  # edits that any entry below a node allows
         for node in range(len(self.children) - 1, -1, -1):
             own = entries[self.ends[node]].edits if self.ends[node] >= 0 else 0
@@ -104,11 +106,9 @@ class Automaton:
         if key not in self.states:
             self.states[key] = len(self.sets)
             self.sets.append(key)
-            ends = [(e, self.ends[n]) for n, e in key if self.ends[n] >= 0 and not self.entries[self.ends[n]].stem
-                    and e <= self.entries[self.ends[n]].edits]
+            ends = [(e, self.ends[n]) for n, e in key if self.ends[n] >= 0 and e <= self.entries[self.ends[n]].edits]
             self.word_end.append(min(ends, default=None))
-            self.stem_end.append(min((self.ends[n] for n, e in key if not e and self.ends[n] >= 0
-                                      and self.entries[self.ends[n]].stem), default=-1))
+            self.stem_end.append(min((self.stems[n] for n, e in key if not e and self.stems[n] >= 0), default=-1))
             self.moves.append({})
         return self.states[key]
 
@@ -265,7 +265,7 @@ def choose_entries(counts: list[tuple[str, int, int]], toxic: int, clean: int) -
     stems, chosen = set(), []
     for k in sorted(good, key=lambda k: (-round(good[k], 6), not k.endswith("$"), -len(k), k)):
         term, stem = k.rstrip("$"), not k.endswith("$")
-        if any(term[:n] in stems for n in range(1, len(term) + 1)) or (
+        if any(term[:n] in stems for n in range(1, len(term))) or (
                 stem and any(e.term.startswith(term) for e in chosen)):
             continue
         if stem:

@@ -125,3 +125,12 @@ def test_terms_count_over_documents_that_share_common_words(spark):
     rows = spark.createDataFrame(rows, "doc_id long, toxic int, text string")
     model = T.fit(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
     assert model.match("grobling") is not None
+
+
+def test_a_stem_and_its_exact_word():
+    counts = [("idiot", 40, 0), ("idiot$", 30, 0), ("idioti", 20, 0), ("idiotic$", 20, 0)]
+    entries = T.choose_entries(counts, 100, 1000)
+    assert [(e.term, e.stem) for e in entries] == [("idiot", True), ("idiot", False)]
+    model = T.Model(entries, T.PRIOR)
+    assert model.match("idiot") == (0, 1) and model.match("idiotic") == (0, 0) and model.match("idiom") != (0, 0)
+    assert model.scores(np.array([model.features("you idiot")]))[0] > model.scores(np.array([model.features("you there")]))[0]
