@@ -3,8 +3,10 @@
 * The lexicon comes from labelled documents: whole words, and stems where many words share a beginning, that
   toxic documents hold far oftener than clean ones (texts whose words are SAME alike count once).
 * Words of a text run through the deterministic automaton of the trie's intersection with the Levenshtein
-  automata of its words (each word's own number of edits; stems take none).  It is built as words ask for it,
-  and most words leave it after a few letters.
+  automata of its words and the Levenshtein prefix automata of its stems (each entry's own number of edits, by
+  its length).  It is built as words ask for it, and most words leave it after a few letters.
+* Ordinary words, which clean labelled documents hold as often as chance would have it, are no misspelling of
+  a term.
 * Every term found is weighed by the window around it: quotation marks and words of reporting speak for
   quotation, address, exclamation and further terms for abuse.
 * A logistic model over the weighed sums gives the score, its weights learnt from the same labelled sample.
@@ -13,8 +15,9 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -33,6 +36,8 @@ LIFT = 10.0
 #: log-likelihood ratio from which an entry is no chance find among all words and beginnings
 EVIDENCE = 11.0
 CONTEXT = 8
+#: share of a term's uses that are taken to be misspelt when its variants are weighed
+SLIPS = 0.05
 CACHE = 500_000
 #: texts whose words have at least this Jaccard similarity are copies
 SAME = 0.8
@@ -59,6 +64,10 @@ class Entry:
     stem: bool
     edits: int
     weight: float
+    slips: tuple[float, ...] = ()  # weights with 1, 2, ... edits; none: the same
+
+    def value(self, edits: int) -> float:
+        return self.slips[edits - 1] if edits and self.slips else self.weight
 
 
 class Automaton:
@@ -82,12 +91,12 @@ class Automaton:
             (self.stems if e.stem else self.ends)[node] = i
         self.most = [0] * len(self.children)  # edits that any entry below a node allows
         for node in range(len(self.children) - 1, -1, -1):
-            own = entries[self.ends[node]].edits if self.ends[node] >= 0 else 0
-            self.most[node] = max([own, *(self.most[x] for x in self.children[node].values())])
+            own = [entries[i].edits for i in (self.ends[node], self.stems[node]) if i >= 0]
+            self.most[node] = max([0, *own, *(self.most[x] for x in self.children[node].values())])
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.word_end: list[tuple[int, int] | None] = []  # (edits, entry) if a word ends here
-        self.stem_end: list[int] = []  # a stem complete here, or -1
+        self.stem_end: list[tuple[int, int] | None] = []  # (edits, entry) of a stem complete here
         self.moves: list[dict[str, int]] = []
         self.start = self._state({(0, 0)})
 
@@ -106,9 +115,8 @@ class Automaton:
         if key not in self.states:
             self.states[key] = len(self.sets)
             self.sets.append(key)
-            ends = [(e, self.ends[n]) for n, e in key if self.ends[n] >= 0 and e <= self.entries[self.ends[n]].edits]
-            self.word_end.append(min(ends, default=None))
-            self.stem_end.append(min((self.stems[n] for n, e in key if not e and self.stems[n] >= 0), default=-1))
+            for ends, out in ((self.ends, self.word_end), (self.stems, self.stem_end)):
+                out.append(min(((e, ends[n]) for n, e in key if ends[n] >= 0 and e <= self.entries[ends[n]].edits), default=None))
             self.moves.append({})
         return self.states[key]
 
@@ -127,38 +135,39 @@ class Automaton:
         return to
 
     def match(self, word: str) -> tuple[int, int] | None:
-        """(edits, entry) of the best match, a stem counting as none."""
-        state, stem = self.start, -1
+        """(edits, entry) of the match of fewest edits, of equal ones a whole word's, then the shortest stem's."""
+        state, stem = self.start, None
         for c in word:
-            if stem < 0:
-                stem = self.stem_end[state]  # a stem has more letters after it
+            here = self.stem_end[state]  # a stem has more letters after it
+            if here and (stem is None or here[0] < stem[0]):
+                stem = here
             to = self.moves[state].get(c)
             state = self._move(state, c) if to is None else to
             if state < 0:
-                return (0, stem) if stem >= 0 else None
+                return stem
         found = self.word_end[state]
-        if stem >= 0 and (found is None or found[0]):
-            return 0, stem
-        return found
+        return stem if found is None or (stem and stem[0] < found[0]) else found
 
 
 @dataclass
 class Model:
     entries: list[Entry]
     weights: np.ndarray
+    ordinary: frozenset[str] = frozenset()  # no misspellings
     automaton: Automaton = field(init=False, repr=False)
 
     def __post_init__(self):
         self.automaton, self.known = Automaton(self.entries), {}
 
     def __reduce__(self):
-        return Model, (self.entries, self.weights)
+        return Model, (self.entries, self.weights, self.ordinary)
 
     def match(self, word: str):
         if word not in self.known:
             if len(self.known) >= CACHE:
                 self.known.clear()
-            self.known[word] = self.automaton.match(word)
+            found = self.automaton.match(word)
+            self.known[word] = None if found and found[0] and word in self.ordinary else found
         return self.known[word]
 
     def terms(self, text: str) -> list[dict]:
@@ -184,14 +193,17 @@ class Model:
                         "abuse": min(1.0, max(0.1, 1 - quotation + (abuse if quotation else 0)))})
         return out
 
-    def features(self, text: str) -> list[float]:
+    def features(self, text: str, slip: bool = False) -> list[float]:
+        """What the score weighs; ``slip``: as if every exact term that takes edits had one, and without the others."""
         found = self.terms(text)
+        if slip:
+            found = [{**t, "edits": t["edits"] or 1} for t in found if t["edits"] or self.entries[t["entry"]].edits]
         if not found:
             return [0.0] * len(FEATURES)
         word = stem = wrong = quoted = 0.0
         for t in found:
             e = self.entries[t["entry"]]
-            value = t["abuse"] * min(e.weight, 4) / 4
+            value = t["abuse"] * min(e.value(t["edits"]), 4) / 4
             quoted += 1 - t["abuse"]
             if t["edits"]:
                 wrong += value
@@ -211,6 +223,11 @@ def _keys(words: set[str]) -> set[str]:
     return {w + "$" for w in words if len(w) > 2} | {w[:n] for w in words for n in STEMS if len(w) > n}
 
 
+def edits_of(length: int) -> int:
+    """Edits that an entry of so many letters takes: a transposition is two."""
+    return 1 if length < 6 else 2 if length < 12 else 3
+
+
 def _copy(words: list[str]) -> int:
     """Texts with the same sequence of words share it."""
     return xxhash.xxh64_intdigest("\n".join(words).encode()) - (1 << 63)
@@ -253,7 +270,8 @@ def without_copies(rows: DataFrame) -> DataFrame:
 def choose_entries(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> list[Entry]:
     """Entries from (key, toxic documents, clean documents): the keys of most evidence that no chosen one covers.
 
-    Of keys with the same documents a whole word comes first, then the longest beginning.
+    Of keys with the same documents a whole word comes first, then the longest beginning.  A stem covers the longer
+    words that take no more edits than it.
     """
     share = toxic / max(toxic + clean, 1)
 
@@ -265,15 +283,35 @@ def choose_entries(counts: list[tuple[str, int, int]], toxic: int, clean: int) -
     stems, chosen = set(), []
     for k in sorted(good, key=lambda k: (-round(good[k], 6), not k.endswith("$"), -len(k), k)):
         term, stem = k.rstrip("$"), not k.endswith("$")
-        if any(term[:n] in stems for n in range(1, len(term))) or (
+        if any(term[:n] in stems and (stem or edits_of(n) >= edits_of(len(term))) for n in range(1, len(term))) or (
                 stem and any(e.term.startswith(term) for e in chosen)):
             continue
         if stem:
             stems.add(term)
-        chosen.append(Entry(term, stem, 0 if stem or len(term) < 5 else 1, float(np.log(lift[k]))))
+        chosen.append(Entry(term, stem, edits_of(len(term)), float(np.log(lift[k]))))
     return chosen
 
 
+def weigh_slips(entries: list[Entry], hits: dict[int, int], near: list[tuple[int, int, str, int, int]],
+                toxic: int, clean: int) -> tuple[list[Entry], frozenset[str]]:
+    """Entries with the weights of their misspellings, and the ordinary words among these.
+
+    ``hits`` are the toxic documents of each entry, ``near`` (entry, edits, word, toxic documents, clean documents)
+    of the sample's words some edits away.  A word without LIFT is ordinary.  Ordinary words of one clean document
+    say how many more the sample has not seen; an entry takes edits while misspellings outweigh those.
+    """
+    lift = {w: (a / max(toxic, 1)) / ((b + 0.5) / max(clean, 1)) for _, _, w, a, b in near}
+    single = Counter((i, d) for i, d, w, a, b in near if b == 1 and lift[w] < LIFT)
+    out = []
+    for i, e in enumerate(entries):
+        share = SLIPS * hits.get(i, 0) / max(toxic, 1)
+        slips = [np.log(max(share, 1e-9) * max(clean, 1) / (single[i, d] + 0.5)) for d in range(1, e.edits + 1)]
+        slips = [min(e.weight, float(x)) for x in slips]
+        takes = next((d for d, x in enumerate(slips) if x <= 0), len(slips))
+        out.append(replace(e, edits=takes, slips=tuple(slips[:takes])))
+    return out, frozenset(w for _, _, w, _, b in near if b and lift[w] < LIFT)
+
+
 def logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, ridge: float = 2.0) -> np.ndarray:
     """Weights (intercept first) by Newton's method, drawn towards ``prior``."""
     x, w = np.c_[np.ones(len(x)), x], prior.copy()
@@ -311,16 +349,34 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE_EACH) -> Model:
     counts = (sample.select("label", F.explode("keys").alias("key")).groupBy("key")
               .agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
               .filter((F.col("a") >= 4) & (F.col("a") * max(clean, 1) >= LIFT * F.col("b") * max(toxic, 1))))
-    model = Model(choose_entries([tuple(r) for r in counts.collect()], toxic, clean), PRIOR)
+    first = Model(choose_entries([tuple(r) for r in counts.collect()], toxic, clean), PRIOR)
 
-    @F.pandas_udf("array<double>")
+    def matches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for label, text in zip(frame["label"], frame["text"], strict=True):
+                near = [(w, first.match(w)) for w in set(words_of(text))]
+                out += {(label, *m, w if m[0] else "") for w, m in near if m}
+            yield pd.DataFrame(out, columns=["label", "edits", "entry", "word"])
+
+    found = (sample.mapInPandas(matches, "label int, edits int, entry int, word string").groupBy("entry", "edits", "word")
+             .agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")).collect())  # words of the sample at most
+    entries, ordinary = weigh_slips(first.entries, {r["entry"]: r["a"] for r in found if not r["edits"]},
+                                    [tuple(r) for r in found if r["edits"]], toxic, clean)
+    model = Model(entries, PRIOR, ordinary)
+    # words of one clean document stand for those that the sample has not seen
+    trained = Model(entries, PRIOR, frozenset(r["word"] for r in found if r["b"] > 1 and r["word"] in ordinary))
+
+    @F.pandas_udf("array<array<double>>")
     def measure(text: pd.Series) -> pd.Series:
-        return pd.Series([model.features(t) for t in text], dtype=object)
+        return pd.Series([[trained.features(t), trained.features(t, True)] for t in text], dtype=object)
 
     rows = sample.select("doc_id", "label", measure("text").alias("x")).toPandas().sort_values("doc_id")
     if len(rows):
-        x = np.array(rows["x"].tolist(), np.float64)
-        model.weights = logistic(x, rows["label"].to_numpy(np.float64), PRIOR)
+        x = np.array([[list(v) for v in r] for r in rows["x"]], np.float64)  # as written, and with slips
+        y = rows["label"].to_numpy(np.float64)
+        more = (y == 0) | x[:, 1].any(axis=1)
+        model.weights = logistic(np.r_[x[:, 0], x[more, 1]], np.r_[y, y[more]], PRIOR)
     return model
 
 
