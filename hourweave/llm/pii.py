@@ -1,8 +1,10 @@
 """Personal data: fixed patterns seed a bootstrapped search by context.
 
-1. Each text's base spans (email, ip, card, phone) and its other identifier-like tokens (five digits or more, or
-   an @) are found in one pass, each with its contexts: the two words before it, and the word before with the
-   word after.  Base spans are the seeds.
+1. Each text's base spans (email, ip, card, phone) and its other candidates are found in one pass, each with its
+   contexts: the two words before it, and the word before with the word after.  Base spans are the seeds.
+   Candidates are the longest runs of tokens with a digit or an @ (a group of up to four capitals or of marks may
+   stand between two of them) within a line and between punctuation that ends a clause; the same run with the one
+   or two capitals, or the +, beside it; and, within a run, tokens with five digits or more, or an @.
 2. A context that surrounds MIN_INSTANCES or more different identifiers, seeds among them, is a pattern.  A
    second pass counts, per batch, how often patterns surround anything else; a bit table of fixed size keeps
    other contexts in the scan.
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -39,6 +42,10 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _EDGE = ".,;:!?()[]{}\"'*#$%&|<>"
+_PAIRS = (("(", ")"), ("[", "]"), ("{", "}"))
+_BREAKS = np.frombuffer(b".,;:!?", np.uint8)
+_CLOSING = np.frombuffer(b")]}\"'", np.uint8)
+_MARKS = np.frombuffer(b"+-/()#_:=.", np.uint8)
 
 #: white space ends a token; A-Z are lower-cased and digits become 0, so that contexts generalise
 _TOKEN = np.arange(256, dtype=np.uint8)
@@ -90,12 +97,73 @@ def _join(a: np.ndarray, b: np.ndarray, form: int) -> np.ndarray:
     return mix64(mix64(a + np.uint64(form)) * STEP + b) | np.uint64(1)
 
 
-def _identifiers(w: Words) -> np.ndarray:
-    """Which tokens look like identifiers."""
-    if not len(w.start):
-        return np.zeros(0, bool)
-    odd = np.cumsum(np.r_[0, (w.bytes == 48) + 5 * (w.bytes == 64).astype(np.int64)])
-    return odd[w.stop] - odd[w.start] >= 5
+@dataclass
+class Candidates:
+    """Token ranges first..last; ``start``: whether no other candidate that counts starts at the same token;
+    ``plain``: tokens that neither belong to a candidate nor touch a base span."""
+
+    first: np.ndarray
+    last: np.ndarray
+    start: np.ndarray
+    plain: np.ndarray
+
+
+def _candidates(w: Words, texts_: list[str], touched: np.ndarray) -> Candidates:
+    n = len(w.start)
+    if not n:
+        none = np.zeros(0, np.int64)
+        return Candidates(none, none, none.astype(bool), none.astype(bool))
+    raw = np.frombuffer("\n".join(texts_).encode() + b"\n", np.uint8)
+
+    def upto(mask: np.ndarray) -> np.ndarray:
+        return np.cumsum(np.r_[0, mask])
+
+    def count(mask: np.ndarray) -> np.ndarray:
+        c = upto(mask)
+        return c[w.stop] - c[w.start]
+
+    length, digits, ats = w.stop - w.start, count((raw >= 48) & (raw <= 57)), count(raw == 64)
+    capital = count((raw >= 65) & (raw <= 90)) == length
+    mark = count(np.isin(raw, _MARKS)) == length
+    core = (digits + ats > 0) & ~touched
+    joins = ~core & ~touched & ((capital & (length <= 4)) | mark)
+    edge = joins & ((capital & (length <= 2)) | ((raw[w.start] == 43) & (length == 1)))
+    stops = np.isin(raw[w.stop - 1], _BREAKS) | (np.isin(raw[w.stop - 1], _CLOSING) & np.isin(raw[w.stop - 2], _BREAKS))
+    line = upto((raw == 10) | (raw == 13))
+    link = np.r_[False, (w.text[1:] == w.text[:-1]) & (line[w.start[1:]] == line[w.stop[:-1]]) & (mark | ~stops)[:-1], False]
+    before, after = link[:-1], link[1:]  # to the token before, to the one after
+
+    def shifted(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return before & np.r_[False, mask[:-1]], after & np.r_[mask[1:], False]
+
+    left, right = shifted(core)
+    member = core | (joins & left & right)
+    left, right = shifted(member)
+    first, last = np.flatnonzero(member & ~left), np.flatnonzero(member & ~right)
+    more_left, more_right = shifted(edge)
+    more_left, more_right = more_left[first], more_right[last]
+    wide = more_left | more_right
+    plain = ~member & ~touched
+    plain[first[more_left] - 1] = False
+    plain[last[more_right] + 1] = False
+    run = np.cumsum(member & ~left) - 1
+    part = np.flatnonzero(core & (digits + 5 * ats >= 5))
+    part = part[first[run[part]] < last[run[part]]]
+    return Candidates(np.r_[first, (first - more_left)[wide], part], np.r_[last, (last + more_right)[wide], part],
+                      np.r_[np.ones(len(first), bool), more_left[wide], first[run[part]] < part], plain)
+
+
+def _trimmed(text: str, a: int, b: int) -> tuple[int, int]:
+    """Without the marks around, except brackets whose partner is inside."""
+    token = text[a:b]
+    start, end = a + len(token) - len(token.lstrip(_EDGE)), b - (len(token) - len(token.rstrip(_EDGE)))
+    for left, right in _PAIRS if start < end else ():
+        inside = text[start:end].count(left) - text[start:end].count(right)
+        if inside < 0 and start > a and text[start - 1] == left:
+            start -= 1
+        elif inside > 0 and end < b and text[end] == right:
+            end += 1
+    return start, end
 
 
 def _contexts(w: Words, first: np.ndarray, last: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,16 +184,16 @@ def _offsets(text: str) -> np.ndarray:
     return np.r_[0, np.cumsum(1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF))]
 
 
-def _plain(w: Words, texts_: list[str]) -> np.ndarray:
-    """Tokens that neither look like identifiers nor touch a base span."""
-    plain, byte = ~_identifiers(w), 0
-    for text, first, n in zip(texts_, w.first, w.count, strict=True):
-        if n and re.search(r"[0-9@]", text):
+def _touched(w: Words, texts_: list[str], bases: list[list[tuple[int, int, int]]]) -> np.ndarray:
+    """Tokens that touch a base span."""
+    out, byte = np.zeros(len(w.start), bool), 0
+    for text, spans, first, n in zip(texts_, bases, w.first, w.count, strict=True):
+        if n and spans:
             at, own = _offsets(text), slice(first, first + n)
-            for a, _, b in base_spans(text):
-                plain[own] &= (w.stop[own] <= at[a] + byte) | (w.start[own] >= at[b] + byte)
+            for a, _, b in spans:
+                out[own] |= (w.stop[own] > at[a] + byte) & (w.start[own] < at[b] + byte)
         byte += len(text.encode()) + 1
-    return np.flatnonzero(plain)
+    return out
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -138,53 +206,55 @@ def find(docs: DataFrame) -> DataFrame:
         for frame in rows_below(frames, "text", TEXT_AT_ONCE):
             base, found = [[] for _ in range(len(frame))], [[] for _ in range(len(frame))]
             some = [i for i, t in enumerate(frame["text"]) if re.search(r"[0-9@]", t)]
-            w = Words([frame["text"].iloc[i] for i in some], _TOKEN)
-            likely = _identifiers(w)
+            own_texts = [frame["text"].iloc[i] for i in some]
+            bases = [base_spans(t) for t in own_texts]
+            w = Words(own_texts, _TOKEN)
+            c = _candidates(w, own_texts, _touched(w, own_texts, bases))
+            order = np.argsort(w.text[c.first], kind="stable")
+            cuts = np.searchsorted(w.text[c.first][order], np.arange(len(some) + 1))
             ends = np.cumsum(w.count)
             byte = 0
-            for k, i in enumerate(some):
-                text = frame["text"].iloc[i]
-                spans = base_spans(text)
+            for k, (i, text, spans) in enumerate(zip(some, own_texts, bases, strict=True)):
                 base[i] = [{"start": a, "kind": kind, "end": b} for a, kind, b in spans]
                 own = np.arange(w.first[k], ends[k])
                 at = _offsets(text)
-                targets = [(a, b, KINDS[kind]) for a, kind, b in spans]
-                covered = np.zeros(len(text) + 1, bool)
-                for a, _, b in spans:
-                    covered[a:b] = True
-                for j in own[likely[own]].tolist():
-                    a, b = (int(np.searchsorted(at, x - byte)) for x in (w.start[j], w.stop[j]))
-                    token = text[a:b]
-                    a, b = a + len(token) - len(token.lstrip(_EDGE)), b - (len(token) - len(token.rstrip(_EDGE)))
-                    if a < b and not covered[a:b].any():
-                        targets.append((a, b, None))
+                targets = [(a, b, KINDS[kind], True) for a, kind, b in spans]
+                start = np.array([at[a] for a, _, _ in spans], np.int64) + byte
+                stop = np.array([at[b] for _, _, b in spans], np.int64) + byte
+                one = own[:1].sum() + np.searchsorted(w.stop[own], start, "right")
+                two = own[:1].sum() + np.searchsorted(w.start[own], stop, "left") - 1
+                mine = order[cuts[k]:cuts[k + 1]]
+                bounds = [_trimmed(text, a, b) for a, b in zip(np.searchsorted(at, w.start[c.first[mine]] - byte).tolist(),
+                                                              np.searchsorted(at, w.stop[c.last[mine]] - byte).tolist(), strict=True)]
+                kept = np.array([a < b for a, b in bounds], bool)
+                targets += [(a, b, None, bool(x)) for (a, b), x in zip(bounds, c.start[mine], strict=True) if a < b]
                 if targets and len(own):
-                    start = np.array([at[a] for a, _, _ in targets]) + byte
-                    stop = np.array([at[b] for _, b, _ in targets]) + byte
-                    one = own[0] + np.searchsorted(w.stop[own], start, "right")
-                    two = own[0] + np.searchsorted(w.start[own], stop, "left") - 1
-                    c1, c2 = _contexts(w, one, two, np.full(len(targets), k))
+                    c1, c2 = _contexts(w, np.r_[one, c.first[mine][kept]], np.r_[two, c.last[mine][kept]], np.full(len(targets), k))
                     found[i] = [{"start": a, "end": b, "kind": kind,
                                  "instance": xxhash.xxh64_intdigest(text[a:b].encode()) - (1 << 63),
-                                 "contexts": signed(np.array([x for x in (p, q) if x], np.uint64)).tolist()}
-                                for (a, b, kind), p, q in zip(targets, c1, c2, strict=True)]
+                                 "contexts": [{"pattern": h, "counts": x} for h, x in
+                                              zip(signed(np.array([p, q], np.uint64)).tolist(), (new, True), strict=True) if h]}
+                                for (a, b, kind, new), p, q in zip(targets, c1, c2, strict=True)]
                 byte += len(text.encode()) + 1
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "base": base, "found": found,
                                 "key": [xxhash.xxh64_intdigest(t.encode()) - (1 << 63) for t in frame["text"]]})
 
     return store(texts(docs).mapInPandas(
         run, "doc_id long, key long, base array<struct<start: int, kind: int, end: int>>, "
-             "found array<struct<start: int, end: int, kind: string, instance: long, contexts: array<long>>>"), "pii-found")
+             "found array<struct<start: int, end: int, kind: string, instance: long, "
+             "contexts: array<struct<pattern: long, counts: boolean>>>>"), "pii-found")
 
 
 def _surroundings(docs: DataFrame, patterns: DataFrame) -> DataFrame:
-    """(pattern, others): how often a pattern surrounds a token that is no identifier."""
+    """(pattern, others): how often a pattern surrounds a token that belongs to no candidate."""
     bits = docs.sparkSession.sparkContext.broadcast(bit_table(patterns.select(F.col("pattern").alias("shingle"))))
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in rows_below(frames, "text", TEXT_AT_ONCE):
-            w = Words(frame["text"].tolist(), _TOKEN)
-            plain = _plain(w, frame["text"].tolist())
+            own = frame["text"].tolist()
+            w = Words(own, _TOKEN)
+            touched = _touched(w, own, [base_spans(t) if re.search(r"[0-9@]", t) else [] for t in own])
+            plain = np.flatnonzero(_candidates(w, own, touched).plain)
             for c in _contexts(w, plain, plain, w.text[plain]) if len(plain) else ():
                 hit, n = np.unique(c[in_bits(bits.value, c)], return_counts=True)
                 yield pd.DataFrame({"pattern": signed(hit), "others": n})
@@ -195,12 +265,12 @@ def _surroundings(docs: DataFrame, patterns: DataFrame) -> DataFrame:
 
 def bootstrap(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS, accept: float = ACCEPT) -> tuple[DataFrame, DataFrame]:
     """(instance, kind, score) of the identifiers accepted beside the seeds, and (pattern, kind, score)."""
-    edges = (found.select(F.explode("found").alias("f")).select("f.kind", "f.instance", F.explode("f.contexts").alias("pattern"))
-             .groupBy("pattern", "instance").agg(F.min("kind").alias("kind")))
+    edges = (found.select(F.explode("found").alias("f")).select("f.kind", "f.instance", F.explode("f.contexts").alias("c"))
+             .groupBy("c.pattern", "instance").agg(F.min("kind").alias("kind"), F.max("c.counts").alias("counts")))
     edges = store(edges, "pii-edges")
     kinds = edges.filter("kind IS NOT NULL").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("n"))
     said = kinds.groupBy("pattern").agg(F.max_by("kind", F.struct("n", "kind")).alias("says"))
-    patterns = (edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances")).filter(F.col("instances") >= MIN_INSTANCES)
+    patterns = (edges.filter("counts").groupBy("pattern").agg(F.count(F.lit(1)).alias("instances")).filter(F.col("instances") >= MIN_INSTANCES)
                 .join(said, "pattern"))
     patterns = store(patterns, "pii-patterns")
     patterns = store(patterns.join(_surroundings(docs, patterns), "pattern", "left").fillna(0, ["others"]), "pii-patterns")
@@ -208,7 +278,7 @@ def bootstrap(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS, accept: f
     scores = graph.groupBy("instance").agg(F.max(F.col("kind").isNotNull()).alias("seed"))
     scores = scores.select("instance", "seed", F.col("seed").cast("double").alias("score"))
     for _ in range(rounds):
-        worth = (graph.join(scores, "instance").groupBy("pattern").agg(F.sum("score").alias("sum"))
+        worth = (graph.filter("counts").join(scores, "instance").groupBy("pattern").agg(F.sum("score").alias("sum"))
                  .join(patterns, "pattern")
                  .select("pattern", "says", (F.col("sum") / (F.col("instances") + F.col("others"))).alias("worth")))
         worth = store(worth, "pii-worth")
@@ -234,14 +304,22 @@ def personal_data(docs: DataFrame) -> DataFrame:
     found = find(docs)
     taken, _ = bootstrap(docs, found)
     order = F.array([F.lit(k) for k in KINDS])
+    span = F.struct((F.col("start") - F.col("end")).alias("length"), (-F.col("score")).alias("score"), "start",
+                    (F.array_position(order, F.col("kind")) - 1).cast("int").alias("kind"), "end")
+    spans = "array<struct<start: int, kind: int, end: int>>"
+
+    def longest(kept, x):  # of candidates that overlap, the longest, then the one of the best score
+        free = ~F.exists(kept, lambda k: (k["start"] < x["end"]) & (x["start"] < k["end"]))
+        own = F.array(F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"))).cast(spans)
+        return F.when(free, F.concat(kept, own)).otherwise(kept)
+
     hits = (found.select("doc_id", "key", F.explode("found").alias("f")).filter("f.kind IS NULL")
             .select("doc_id", "key", "f.start", "f.end", "f.instance").join(taken, "instance")
-            .select("doc_id", "key", F.struct("start", (F.array_position(order, F.col("kind")) - 1).cast("int").alias("kind"),
-                                              "end").alias("s"))
-            .groupBy(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).agg(F.collect_set("s").alias("added")))
+            .groupBy(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).agg(F.array_sort(F.collect_set(span)).alias("all"))
+            .select("__id", "__key", F.aggregate("all", F.array().cast(spans), longest).alias("added")))
     joined = found.join(hits, same_id(found["doc_id"], F.col("__id")) & (F.col("key") == F.col("__key")), "left")
     return joined.select("doc_id", "base", F.array_sort(F.concat("base", F.coalesce(
-        "added", F.array().cast("array<struct<start: int, kind: int, end: int>>")))).alias("spans"))
+        "added", F.array().cast(spans)))).alias("spans"))
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,3 +85,15 @@ def test_awkward_documents(spark):
     got = Counter((r["doc_id"], joined((s["start"], s["kind"], s["end"]) for s in r["base"])) for r in personal_data(docs).collect())
     assert got == Counter((i, joined(plain(t or ""))) for i, t in rows)
     assert personal_data(nothing(spark)).count() == 0
+
+
+def test_identifiers_in_groups_are_found(spark):
+    rows = [(i, f"Please call the office at +1 (20{i % 10}) 555-10{i:02d} today. It is fine. Chapter {i} here.") for i in range(30)]
+    own = ["(030) 123 4567", "0301 234 567", "4111 1111 1111 1112", "DE89 3704 0044 0532 0130 01", "GB29 NWBK 6016 1331 9268 1",
+           "AB 12 34 56 C", "0301 - 234 567", "x9-kfjd", "55512345 77712345"]
+    rows += [(100 + i, f"Hello. Please call the office at {x} today, thanks. AB 12 is on 3 lines\n4 5") for i, x in enumerate(own)]
+    got = {r["doc_id"]: r["spans"] for r in personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, x in enumerate(own):
+        text = rows[30 + i][1]
+        assert [text[s["start"]:s["end"]] for s in got[100 + i]] == [x]
+    assert all(len(got[i]) == 1 for i in range(30))
