@@ -5,12 +5,13 @@
    Candidates are the longest runs of tokens with a digit or an @ (a group of up to four capitals or of marks may
    stand between two of them) within a line and between punctuation that ends a clause; the same run with the one
    or two capitals, or the +, beside it; and, within a run, tokens with five digits or more, or an @.
-2. A context that surrounds MIN_INSTANCES or more different identifiers, seeds among them, is a pattern.  A
+2. A context that surrounds MIN_INSTANCES or more different identifiers, known ones among them, is a pattern.  A
    second pass counts, per batch, how often patterns surround anything else; a bit table of fixed size keeps
    other contexts in the scan.
 3. Patterns and instances form a graph that Spark scores in ROUNDS rounds: a pattern is worth the mean score of
    what it surrounds, an instance the chance that one of its patterns is right; seeds stay at 1.
-4. Identifiers that end at ACCEPT or more are added, with the kind their patterns say.
+4. Identifiers that end at ACCEPT or more are added, with the kind their patterns say.  They are known from then
+   on, at their score, and 2 to 4 are repeated until nothing is added; a pattern's surroundings are counted once.
 """
 
 from __future__ import annotations
@@ -264,34 +265,49 @@ def _surroundings(docs: DataFrame, patterns: DataFrame) -> DataFrame:
 
 
 def bootstrap(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS, accept: float = ACCEPT) -> tuple[DataFrame, DataFrame]:
-    """(instance, kind, score) of the identifiers accepted beside the seeds, and (pattern, kind, score)."""
+    """(instance, kind, score) of the identifiers accepted beside the seeds, and (pattern, kind, score).
+
+    Each generation derives patterns from the seeds and all identifiers accepted so far and scores the graph in
+    ``rounds`` rounds; the search ends when a generation accepts nothing new.
+    """
     edges = (found.select(F.explode("found").alias("f")).select("f.kind", "f.instance", F.explode("f.contexts").alias("c"))
              .groupBy("c.pattern", "instance").agg(F.min("kind").alias("kind"), F.max("c.counts").alias("counts")))
     edges = store(edges, "pii-edges")
-    kinds = edges.filter("kind IS NOT NULL").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("n"))
-    said = kinds.groupBy("pattern").agg(F.max_by("kind", F.struct("n", "kind")).alias("says"))
-    patterns = (edges.filter("counts").groupBy("pattern").agg(F.count(F.lit(1)).alias("instances")).filter(F.col("instances") >= MIN_INSTANCES)
-                .join(said, "pattern"))
-    patterns = store(patterns, "pii-patterns")
-    patterns = store(patterns.join(_surroundings(docs, patterns), "pattern", "left").fillna(0, ["others"]), "pii-patterns")
-    graph = store(edges.join(patterns.select("pattern", "says"), "pattern"), "pii-graph")
-    scores = graph.groupBy("instance").agg(F.max(F.col("kind").isNotNull()).alias("seed"))
-    scores = scores.select("instance", "seed", F.col("seed").cast("double").alias("score"))
-    for _ in range(rounds):
-        worth = (graph.filter("counts").join(scores, "instance").groupBy("pattern").agg(F.sum("score").alias("sum"))
-                 .join(patterns, "pattern")
-                 .select("pattern", "says", (F.col("sum") / (F.col("instances") + F.col("others"))).alias("worth")))
-        worth = store(worth, "pii-worth")
-        miss = F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("worth"))))
-        fresh = (graph.join(worth.filter(F.col("worth") >= PATTERN).select("pattern", "worth"), "pattern")
-                 .groupBy("instance").agg((1 - F.exp(miss)).alias("found")))
-        scores = store(scores.join(fresh, "instance", "left").select(
-            "instance", "seed", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("found", F.lit(0.0))).alias("score")), "pii-scores")
-    taken = scores.filter(~F.col("seed") & (F.col("score") >= accept)).select("instance", "score")
-    kind = (graph.join(taken, "instance").join(worth.select("pattern", "worth"), "pattern")
-            .groupBy("instance", "says", "score").agg(F.sum("worth").alias("w"))
-            .groupBy("instance", "score").agg(F.max_by("says", F.struct("w", "says")).alias("kind")))
-    return kind, worth.withColumnRenamed("says", "kind")
+    size = edges.filter("counts").groupBy("pattern").agg(F.count(F.lit(1)).alias("instances")).filter(F.col("instances") >= MIN_INSTANCES)
+    seeds = edges.filter("kind IS NOT NULL").groupBy("instance").agg(F.min("kind").alias("named")).withColumn("known", F.lit(1.0))
+    seen = taken = None
+    while True:
+        known = seeds if taken is None else seeds.unionByName(taken.select("instance", F.col("kind").alias("named"), F.col("score").alias("known")))
+        own = edges.join(known, "instance").groupBy("pattern", "named").agg(F.count(F.lit(1)).alias("n"))
+        said = own.groupBy("pattern").agg(F.max_by("named", F.struct("n", "named")).alias("says"))
+        patterns = store(size.join(said, "pattern"), "pii-patterns")
+        fresh = patterns if seen is None else patterns.join(seen, "pattern", "left_anti")
+        others = fresh.select("pattern").join(_surroundings(docs, fresh), "pattern", "left").fillna(0, ["others"])
+        seen = store(others if seen is None else seen.unionByName(others), "pii-others")
+        patterns = store(patterns.join(seen, "pattern"), "pii-patterns")
+        graph = store(edges.join(patterns.select("pattern", "says"), "pattern").join(known, "instance", "left"), "pii-graph")
+        scores = graph.groupBy("instance").agg(F.max("known").alias("known"))
+        scores = scores.select("instance", "known", F.coalesce("known", F.lit(0.0)).alias("score"))
+        for _ in range(rounds):
+            worth = (graph.filter("counts").select("instance", "pattern").join(scores, "instance")
+                     .groupBy("pattern").agg(F.sum("score").alias("sum")).join(patterns, "pattern")
+                     .select("pattern", "says", (F.col("sum") / (F.col("instances") + F.col("others"))).alias("worth")))
+            worth = store(worth, "pii-worth")
+            miss = F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("worth"))))
+            right = (graph.join(worth.filter(F.col("worth") >= PATTERN).select("pattern", "worth"), "pattern")
+                     .groupBy("instance").agg((1 - F.exp(miss)).alias("found")))
+            scores = store(scores.join(right, "instance", "left").select(
+                "instance", "known", F.coalesce("known", "found", F.lit(0.0)).alias("score")), "pii-scores")
+        more = scores.filter(F.col("known").isNull() & (F.col("score") >= accept)).select("instance", "score")
+        more = (graph.select("instance", "pattern", "says").join(more, "instance").join(worth.select("pattern", "worth"), "pattern")
+                .groupBy("instance", "says", "score").agg(F.sum("worth").alias("w"))
+                .groupBy("instance", "score").agg(F.max_by("says", F.struct("w", "says")).alias("kind")))
+        more = store(more, "pii-accepted")
+        done = more.isEmpty()
+        if taken is None or not done:
+            taken = more if taken is None else store(taken.unionByName(more), "pii-accepted")
+        if done:
+            return taken, worth.withColumnRenamed("says", "kind")
 
 
 def personal_data(docs: DataFrame) -> DataFrame:

@@ -97,3 +97,20 @@ def test_identifiers_in_groups_are_found(spark):
         text = rows[30 + i][1]
         assert [text[s["start"]:s["end"]] for s in got[100 + i]] == [x]
     assert all(len(got[i]) == 1 for i in range(30))
+
+
+def test_accepted_identifiers_induce_patterns(spark):
+    rows = [(i, f"Please call the office at +1 (20{i % 10}) 555-10{i:02d} today. It is fine.") for i in range(60)]
+    step = [f"555-77{i:02d}-x9" for i in range(5)]  # beside seeds' contexts, then in a context of their own, then another
+    rows += [(100 + i, f"Please call the office at {x} today. My extension number: {x} forever.") for i, x in enumerate(step)]
+    rows += [(200 + i, f"My extension number: 88-{i}-q forever. Badge shown was 88-{i}-q yesterday evening.") for i in range(2)]
+    rows += [(300, "Badge shown was 99-7-z yesterday evening.")]
+    rows += [(400 + i, f"Nothing but {i}{i} apples.") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["base"], r["spans"]) for r in personal_data(docs).collect()}
+    text = dict(rows)
+    found = {i: [text[i][s["start"]:s["end"]] for s in spans] for i, (_, spans) in got.items()}
+    assert all(found[100 + i] == [x, x] for i, x in enumerate(step))
+    assert all(found[200 + i] == [f"88-{i}-q"] * 2 for i in range(2))
+    assert found[300] == ["99-7-z"]
+    assert not any(found[400 + i] for i in range(5))
