@@ -549,12 +549,16 @@ def q_panel_b_tabular_features(spark, sf):
     "FROM (SELECT DISTINCT station FROM prep WHERE split = 'train') t", ints=["hot", "size", "ones"], **_B))
 def q_panel_b_station_vector(spark, sf):
     """The sparse one-hot vector of every train series: where its one is."""
-    from pyspark.ml.functions import vector_to_array
-
     c = ctx(spark, sf, "B")
-    x = P.station_vector(c.params().station_table(spark).select("station"), S, c.params()).withColumn("a", vector_to_array("station_vector"))
-    return rounded(x.select("station", (F.array_position("a", 1.0) - 1).alias("hot"), F.size("a").alias("size"),
-                            F.size(F.filter("a", lambda v: v != 0)).alias("ones")))
+    x = P.station_vector(c.params().station_table(spark).select("station"), S, c.params())
+    return rounded(x.select("station", *hot_positions("station_vector")))
+
+
+def hot_positions(vector: str):
+    """Where a sparse vector's first nonzero value is, its size and the number of nonzero values, never made dense."""
+    v = F.unwrap_udt(F.col(vector))
+    ones = F.filter(F.arrays_zip(v["indices"].alias("i"), v["values"].alias("v")), lambda e: e["v"] != 0)
+    return F.get(ones, F.lit(0))["i"].cast("long").alias("hot"), v["size"].alias("size"), F.size(ones).alias("ones")
 
 
 @register("panel_b_metrics", O.wrap("SELECT * FROM movr", floats=_MF, ints=_MI, **_B))

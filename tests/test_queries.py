@@ -30,3 +30,14 @@ def test_query_against_oracle(spark, key):
     dp = con.execute(entry.oracle_sql()[key]).df()
     assert sorted(sp.columns) == sorted(dp.columns)
     assert norm(sp) == norm(dp)
+
+
+def test_hot_positions_never_dense(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from hourweave.plans.registry import hot_positions
+
+    size = 2_000_000_000
+    df = spark.createDataFrame([(1, Vectors.sparse(size, [7], [1.0])), (2, Vectors.sparse(size, [], []))], ["id", "v"])
+    got = {r["id"]: (r["hot"], r["size"], r["ones"]) for r in df.select("id", *hot_positions("v")).collect()}
+    assert got == {1: (7, size, 1), 2: (None, size, 0)}
