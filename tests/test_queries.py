@@ -41,3 +41,33 @@ def test_hot_positions_never_dense(spark):
     df = spark.createDataFrame([(1, Vectors.sparse(size, [7], [1.0])), (2, Vectors.sparse(size, [], []))], ["id", "v"])
     got = {r["id"]: (r["hot"], r["size"], r["ones"]) for r in df.select("id", *hot_positions("v")).collect()}
     assert got == {1: (7, size, 1), 2: (None, size, 0)}
+
+
+def test_the_grid_fits_both_models_on_every_configuration(spark, monkeypatch):
+    from hourweave.operators import forecast as FC
+    from hourweave.plans import q_ablation as A
+
+    fits = []
+
+    def planned(processed, spec, names, windows, feature_sets=FC.FEATURE_SETS, seeds=(42,), model="ridge", gbt_iter=150):
+        rows = [(f"{model}_w{w}_{f}_s{s}", model, w, f, 1, s, 1, 1.0, *[1.0] * 6) for w in windows for f in feature_sets for s in seeds]
+        fits.extend(rows)
+        return spark.createDataFrame(rows, FC.RESULT_SCHEMA), spark.createDataFrame([], FC.HISTORY_SCHEMA)
+
+    class Shared:
+        def processed(self):
+            return None
+
+        feature_names = processed
+
+        def _memo(self, key, build):
+            return build()
+
+    monkeypatch.setattr(A, "context", lambda *_: Shared())
+    monkeypatch.setattr(A.FC, "ablation_grid", planned)
+    runs = {(r["model"], r["window_size"], r["feature_set"]) for r in A.grid(spark, SF_SMALL)[0].filter("seed = 42").collect()}
+    assert runs == {(m, w, f) for m in ("ridge", "gbt") for w in (6, 12, 24) for f in FC.FEATURE_SETS}
+    assert len({f[0] for f in fits}) == len(fits) == 13
+    for query in (A.q_ablation_improvement, A.q_ablation_tradeoff):
+        got = sorted((r["model"], r["window_size"]) for r in query(spark, SF_SMALL).collect())
+        assert got == [(m, w) for m in ("gbt", "ridge") for w in (6, 12, 24)]
