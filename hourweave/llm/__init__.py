@@ -10,8 +10,11 @@ from functools import wraps
 
 from . import (
     decontaminate,
+    infill,
     line_dedup,
+    minhash,
     packing,
+    phrases,
     pii,
     quality_classifier,
     quality_rules,
@@ -43,10 +46,16 @@ QUERIES = {f.__name__: _shipped(f) for f in (
     pii.op8_pii,
     decontaminate.op9_decontaminate,
     quality_rules.op10_quality_rules,
+    phrases.op11_phrases,
+    minhash.op12_minhash,
+    infill.op13_fill_in_middle,
 )}
 
 ORACLES = {
     "op2_line_dedup": line_dedup.ORACLE,
     "op9_decontaminate": decontaminate.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
+    "op11_phrases": phrases.ORACLE,
+    "op12_minhash": minhash.ORACLE,
+    "op13_fill_in_middle": infill.ORACLE,
 }
