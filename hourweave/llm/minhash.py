@@ -8,9 +8,11 @@ stays below (but for a chance of MISS, computed from the exact distribution) and
 threshold; what goes on is confirmed on the full sets.
 
 Links only have to be found where they join what is not yet joined.  First every set of a bucket is held
-against the bucket's least one; then only buckets with sets of several components are looked into, in cells of
-at most CELL sets: a bucket's largest component is dealt out over its cells, the other sets visit every cell.
-A large group of near copies therefore costs a pair for each copy, not for each two.
+against the bucket's head, the set that meets most others.  Then only buckets with sets of several components are
+looked into, in cells of about CELL sets: a bucket's largest component is dealt out over its cells, the other sets
+visit every cell, where a pair is compared in the first band it shares and only while its components differ.
+Rows that leave a cell are links between components, so a large group of near copies makes a row for each copy
+at most, not for each two.
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ SKETCH_BITS = 512
 #: chance that a pair at the threshold is taken for a lesser one by its sketches
 MISS = 1e-9
 CELL = 4096
+#: pairs of a visitor that are confirmed at once
+PAIRS = 64
 BATCH_CHARS = 1 << 19
 SLICE = 1 << 17
 
@@ -177,48 +181,80 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").filter(alike("x", "y")).select("a", "b")
 
 
-def _across(limit: int, percent: int):
-    """Pairs of a cell whose sets are of different components and pass sizes and sketches.
+class _Cell:
+    """The residents of a cell and the links found in it: a visitor is held against residents of other components."""
+
+    def __init__(self, bucket: int, rows: pd.DataFrame, percent: int):
+        rows = rows.iloc[np.argsort(rows["n"].to_numpy(), kind="stable")]
+        self.bucket, self.percent = bucket, percent
+        self.node, self.n, self.root = (rows[c].to_numpy(np.int64) for c in ("node", "n", "root"))
+        self.sketch, self.keys = (np.stack(rows[c].to_numpy()).view(np.uint64) for c in ("sketch", "keys"))
+        self.sets = [np.frombuffer(x, np.uint64) for x in rows["set"]]
+        self.over: dict[int, int] = {}
+
+    def _find(self, root: int) -> int:
+        while (up := self.over.get(root, root)) != root:
+            root = up
+        return root
+
+    def links(self, visitor) -> Iterator[int]:
+        """Residents that join the visitor's component to another one, the likeliest tried first."""
+        a = np.searchsorted(100 * self.n, self.percent * visitor.n, "left")
+        b = np.searchsorted(self.percent * self.n, 100 * visitor.n, "right")
+        ones = np.bitwise_count(self.sketch[a:b] ^ visitor.sketch.view(np.uint64)).sum(axis=1, dtype=np.int64)
+        near = a + np.flatnonzero((ones <= most_ones(self.percent)) & (self.root[a:b] != visitor.root))
+        if not len(near):
+            return
+        # a pair counts in the first band that it shares only
+        shared = self.keys[near] == visitor.keys.view(np.uint64)
+        first = shared.argmax(axis=1)
+        near = near[self.keys[near, first].view(np.int64) == self.bucket]
+        near = near[np.argsort(ones[near - a], kind="stable")]
+        own = np.frombuffer(visitor.set, np.uint64)
+        for k in range(0, len(near), PAIRS):
+            part = [i for i in near[k:k + PAIRS].tolist() if self._find(self.root[i]) != self._find(visitor.root)]
+            if not part:
+                continue
+            size = np.array([len(self.sets[i]) for i in part])
+            every = np.concatenate([self.sets[i] for i in part])
+            hit = own[np.minimum(np.searchsorted(own, every), len(own) - 1)] == every
+            both = np.add.reduceat(hit, np.cumsum(size) - size, dtype=np.int64)
+            for i in np.flatnonzero(100 * both >= self.percent * (size + len(own) - both)).tolist():
+                x, y = self._find(self.root[part[i]]), self._find(visitor.root)
+                if x != y:
+                    self.over[max(x, y)] = min(x, y)
+                    yield int(self.node[part[i]])
+
+
+def _across(percent: int):
+    """Links of a cell that join components.
 
     Rows come sorted by (bucket, cell, visitor): a cell's residents first, CELL at most or so, then its visitors.
     """
-    def pairs(r: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
-        rs, vs = (np.stack(f["sketch"].to_numpy()).view(np.uint64) for f in (r, v))
-        rn, vn, rr, vr = (f[c].to_numpy(np.int64) for c in ("n", "root") for f in (r, v))
-        rid, vid = r["node"].to_numpy(np.int64), v["node"].to_numpy(np.int64)
-        order = np.argsort(rn, kind="stable")
-        rs, rn, rr, rid = rs[order], rn[order], rr[order], rid[order]
-        lo, hi = np.searchsorted(100 * rn, percent * vn, "left"), np.searchsorted(percent * rn, 100 * vn, "right")
-        found = []
-        for i in range(len(v)):
-            part = slice(lo[i], hi[i])
-            ones = np.bitwise_count(rs[part] ^ vs[i]).sum(axis=1, dtype=np.int64)
-            near = np.flatnonzero((ones <= limit) & (rr[part] != vr[i])) + lo[i]
-            found.append((np.minimum(rid[near], vid[i]), np.maximum(rid[near], vid[i])))
-        a, b = (np.concatenate(x) if found else np.empty(0, np.int64) for x in (zip(*found, strict=True) if found else ((), ())))
-        return pd.DataFrame({"a": a, "b": b})
-
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        here, residents = None, []
+        here, residents, cell = None, [], None
         for frame in frames:
-            key = frame["bucket"].to_numpy(np.int64), frame["cell"].to_numpy(np.int64)
-            new = np.flatnonzero(np.r_[True, (key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1])])
+            bucket, number = frame["bucket"].to_numpy(np.int64), frame["cell"].to_numpy(np.int64)
+            new = np.flatnonzero(np.r_[True, (bucket[1:] != bucket[:-1]) | (number[1:] != number[:-1])])
+            found = []
             for a, b in zip(new, [*new[1:], len(frame)], strict=True):
                 part = frame.iloc[a:b]
-                if (now := (key[0][a], key[1][a])) != here:
-                    here, residents = now, []
+                if (now := (bucket[a], number[a])) != here:
+                    here, residents, cell = now, [], None
                 stay = part[part["visitor"] == 0]
                 if len(stay):
                     residents.append(stay)
-                if len(guests := part[part["visitor"] == 1]) and residents:
-                    residents = [pd.concat(residents)]
-                    yield pairs(residents[0], guests)
+                for v in part[part["visitor"] == 1].itertuples():
+                    cell = cell or _Cell(here[0], pd.concat(residents), percent) if residents else None
+                    found += [(v.node, i) for i in cell.links(v)] if cell else []
+            if found:
+                yield pd.DataFrame(found, columns=["a", "b"])
 
     return run
 
 
-def _open_pairs(shared: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, cell: int) -> DataFrame:
-    """(a, b): pairs of shared buckets that may be links between different components."""
+def _open_links(shared: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, cell: int) -> DataFrame:
+    """(a, b): links within shared buckets that join different components."""
     rows = shared.join(roots, "node")
     per_root = rows.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("c"))
     split = per_root.groupBy("bucket").agg(F.max_by("root", F.struct("c", "root")).alias("major"), F.sum("c").alias("c"),
@@ -227,11 +263,11 @@ def _open_pairs(shared: DataFrame, roots: DataFrame, sets: DataFrame, percent: i
     rows = store(rows.select("bucket", "node", "root", (F.col("root") != F.col("major")).alias("minor"), "cells"), "minhash-open")
     home = F.pmod(F.xxhash64("node"), F.col("cells").cast("long"))
     stay = rows.select("bucket", home.alias("cell"), F.lit(0).alias("visitor"), "node", "root")
-    visit = rows.filter("minor").select("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - F.lit(1).cast("long"))).alias("cell"),
-                                        F.lit(1).alias("visitor"), "node", "root")
-    dealt = stay.unionByName(visit).join(sets.select("node", "n", "sketch"), "node")
+    every = F.sequence(F.lit(0).cast("long"), F.col("cells") - F.lit(1).cast("long"))
+    visit = rows.filter("minor").select("bucket", F.explode(every).alias("cell"), F.lit(1).alias("visitor"), "node", "root")
+    dealt = stay.unionByName(visit).join(sets, "node")
     return dealt.repartition("bucket", "cell").sortWithinPartitions("bucket", "cell", "visitor").mapInPandas(
-        _across(most_ones(percent), percent), "a long, b long").distinct()
+        _across(percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, cell: int = CELL) -> DataFrame:
@@ -253,26 +289,29 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         F.min("row").alias("node"), F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys"),
         F.first("sketch").alias("sketch")), "minhash-classes")
     buckets = classes.select("node", F.explode("keys").alias("bucket"))
-    least = buckets.groupBy("bucket").agg(F.min("node").alias("lo"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket", "lo")
-    shared = store(buckets.join(least, "bucket"), "minhash-shared")
-    # sketches and full sets of the sets that share a bucket with another
-    wanted = shared.select("node").distinct()
-    own = classes.join(wanted, "node").select("node", "n", "sketch")
+    size = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    shared = store(buckets.join(size, "bucket"), "minhash-shared")
+    # a bucket's head is the set that meets most others: of a group of copies, the one they were made from
+    weight = shared.groupBy("node").agg(F.sum("c").alias("w"))
+    heads = shared.join(weight, "node").groupBy("bucket").agg(F.max_by("node", F.struct("w", "node")).alias("head"))
+    # sketches, keys and full sets of the sets that share a bucket with another
+    own = classes.join(weight.select("node"), "node").select("node", "n", "sketch", "keys")
     sets = store(own.join(prints.select(F.col("row").alias("node"), "text"), "node").select(
-        "node", "n", "sketch", _set_column(F.col("text"), shingle).alias("set")), "minhash-sets")
+        "node", "n", "sketch", "keys", _set_column(F.col("text"), shingle).alias("set")), "minhash-sets")
     facts = sets.select("node", "n", "sketch")
-    to_least = shared.filter("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()
+    to_head = shared.join(heads, "bucket").filter("node <> head").select(
+        F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
     x, y = (facts.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}")) for c in "ab")
-    to_least = to_least.join(x, "a").join(y, "b").filter(
+    to_head = to_head.join(x, "a").join(y, "b").filter(
         _sizes_allow("n_a", "n_b", percent) & (_ones("s_a", "s_b") <= most_ones(percent))).select("a", "b")
-    links = store(_confirmed(to_least, sets, percent), "minhash-links")
+    links = store(_confirmed(to_head, sets, percent), "minhash-links")
 
     def rooted(links: DataFrame) -> DataFrame:
         found = components(links)
         return facts.select("node").join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
     roots = store(rooted(links), "minhash-roots")
-    more = store(_confirmed(_open_pairs(shared.select("bucket", "node"), roots, facts, percent, cell), sets, percent), "minhash-more")
+    more = store(_open_links(shared.select("bucket", "node"), roots, sets, percent, cell), "minhash-more")
     if not more.isEmpty():
         roots = rooted(links.union(more))
     named = classes.join(roots, "node", "left").select("s1", "s2", "first", F.coalesce("root", "node").alias("root"))
