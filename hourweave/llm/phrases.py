@@ -6,14 +6,18 @@ merge-joins the relation with itself at adjacent places: the occurrence at p and
 k - 1 words and make one of k + 1 words, named by the pair of both phrases.  Pairs are counted per block,
 summed by Spark, and a semi-join with the frequent pairs keeps the occurrences that the next round extends.
 
-The relations are written in blocks of at most BLOCK places.  A block also holds the next words after its end,
-which it joins but doesn't count, so phrases across two blocks are found and counted once.  Only each block's
-distinct pairs are shuffled; a phrase that is frequent everywhere has one row per block at most.
+The relations are written in blocks of at most BLOCK places, as arrays, in tables bucketed by block, so a round
+doesn't shuffle them.  A block also holds the next words after its end, which it joins but doesn't count, so
+phrases across two blocks are found and counted once.  A block's distinct pairs go to the hash shards they
+belong to, as one row of arrays a shard; a shard sums what all blocks send and replies to each block which pairs
+are frequent.  A pair comes once from a block at most, however often it stands there.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import numpy as np
 import pandas as pd
@@ -21,13 +25,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import store, table
+from .common import mix64, store, store_bucketed, table
 
 LEAST = 100
 LONGEST = 5
 TOP = 2000
-#: places of a block
+#: places of a block, and about the most entries of a shard
 BLOCK = 1 << 19
+#: bytes of text of one bucket of blocks
+BUCKET_BYTES = 1 << 24
 #: bytes of text that are cut into words at once
 SLICE = 1 << 22
 #: words that a task remembers before it starts a new list
@@ -47,122 +53,221 @@ def word_slices(text: str, size: int = SLICE) -> Iterator[list[bytes]]:
     while a < len(data):
         b = data.find(b" ", a + size)  # a cut at a blank splits no word
         b = len(data) if b < 0 else b
-        yield data[a:b].replace(b".", b" . ").split(b" ")
+        yield data[a:b].replace(b".", b" . ").split()  # blanks are the only white space left
         a = b
 
 
 class _Names(dict):
-    """Numbers of names in the order they come."""
+    """Numbers of one lang's words; ``order`` lists the words of all langs."""
 
-    def __missing__(self, name):
-        self[name] = number = len(self)
+    def __init__(self, lang: str, order: list):
+        super().__init__({b".": -1})
+        self.lang, self.order = lang, order
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self.order)
+        self.order.append((self.lang, word))
         return number
 
 
 def _blocks(frames: Iterator[pd.DataFrame], size: int, tail: int) -> Iterator[tuple[np.ndarray, int, list]]:
     """(numbers of the words at each place, -1 at a piece's end; places owned; names by number) of each block."""
-    names, parts, held = _Names(), [], 0
+    names, order, parts, held = {}, [], [], 0
 
-    def cut(owned: int) -> tuple[np.ndarray, int, list]:
-        nonlocal names, parts, held
+    def cut() -> tuple[np.ndarray, int, list]:
+        nonlocal names, order, parts, held
         codes = np.concatenate(parts)
-        out = codes[:owned + tail], min(owned, len(codes)), list(names)
-        rest = codes[owned:]
-        if len(names) > WORDS:  # the rest gets a list of its own
-            kept, codes = np.unique(rest[rest >= 0], return_inverse=True)
-            names, rest = _Names(zip([out[2][i] for i in kept.tolist()], range(len(kept)), strict=True)), rest.copy()
-            rest[rest >= 0] = codes
+        out = codes[:size + tail], min(size, len(codes)), order
+        rest = codes[size:].copy()
+        if len(order) > WORDS:  # the rest gets a list of its own
+            kept, new = np.unique(rest[rest >= 0], return_inverse=True)
+            names, order = {}, []
+            for i in kept.tolist():
+                lang, word = out[2][i]
+                names.setdefault(lang, _Names(lang, order))[word]
+            rest[rest >= 0] = new
         parts, held = [rest], len(rest)
         return out
 
     for frame in frames:
         for lang, text in zip(frame["lang"], frame["text"], strict=True):
             for words in word_slices(text):
-                parts.append(np.fromiter((-1 if w == b"." else names[lang, w] for w in words if w), np.int32))
-                held += len(parts[-1])
+                own = names.setdefault(lang, _Names(lang, order))
+                parts.append(np.fromiter(map(own.__getitem__, words), np.int32, len(words)))
+                held += len(words)
                 while held >= size + tail:
-                    yield cut(size)
+                    yield cut()
             parts.append(np.array([-1], np.int32))
             held += 1
     while held:
-        yield cut(size)
+        yield cut()
 
 
-def _occurrences(docs: DataFrame, size: int, longest: int) -> DataFrame:
-    """Blocks of the relation of single words (``place``, ``code``: int arrays; ``owned``) and, as other rows, the
-    words of each block: (lang, word, code, n), n counting the places the block owns."""
-    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first = TaskContext.get().partitionId() << 32
-        for i, (codes, owned, names) in enumerate(_blocks(frames, size, longest - 1)):
-            place = np.flatnonzero(codes >= 0).astype(np.int32)
-            kept, code = np.unique(codes[place], return_inverse=True)
-            n = np.bincount(code[place < owned], minlength=len(kept))
-            words = [names[k] for k in kept.tolist()]
-            yield pd.DataFrame({"block": [first + i], "owned": [owned], "place": [place.tobytes()],
-                                "code": [code.astype(np.int32).tobytes()], "kind": ["relation"]})
-            yield pd.DataFrame({"block": first + i, "code_no": np.arange(len(kept)), "n": n,
-                                "lang": [x[0] for x in words], "word": [x[1].decode() for x in words], "kind": "word"})
+def _packed(x: np.ndarray) -> bytes:
+    """The bytes of whole numbers, first all lowest bytes, and so on: most of the others are alike."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
 
-    rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    schema = "block long, owned long, place binary, code binary, code_no long, n long, lang string, word string, kind string"
-    return store(rows.mapInPandas(_filled(read, schema), schema), "phrase-words")
 
+def _unpacked(data: bytes, kind) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
 
-def _filled(read, schema: str):
-    """Frames with all columns of the schema: what a frame leaves out is null."""
-    kinds = dict(x.split() for x in schema.split(", "))
-    types = {c: {"long": "Int64", "binary": "object", "string": "object"}[k] for c, k in kinds.items()}
 
-    def full(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({c: frame[c].astype(t) if c in frame else pd.Series([None] * len(frame), dtype=t)
-                             for c, t in types.items()})
+def _relation(block: int, owned: int, place: np.ndarray, code: np.ndarray) -> dict:
+    steps = np.diff(place, prepend=0).astype(np.int32)
+    return {"block": block, "owned": owned, "places": int((place < owned).sum()), "place": _packed(steps),
+            "code": _packed(code.astype(np.int32))}
+
 
-    def run(frames):
-        for frame in read(frames):
-            yield full(frame)
+#: rows of a block: its relation (place, code), or what it sends to a shard: the entries' numbers from ``first`` on,
+#: how often the block owns each, and the words, or both parts of the pairs
+_SENT = ("block long, owned long, places long, place binary, code binary, shard long, first long, n binary, words binary, "
+         "l binary, r binary")
+#: rows of a shard: a frequent phrase (id, a), a lang's words (lang, a), or its reply to a block (codes, ids)
+_SHARD = "kind string, id long, lang string, phrase string, l long, r long, a long, block long, codes binary, ids binary"
 
-    run.full = full
-    return run
+
+def _filled(rows: list[dict], schema: str) -> pd.DataFrame:
+    """A frame with all columns of the schema: what a row leaves out is null."""
+    kinds = dict(x.split() for x in schema.split(", "))
+    out = pd.DataFrame(rows, columns=list(kinds), dtype=object)
+    return out.astype({c: "Int64" for c, k in kinds.items() if k == "long"})
 
 
-_PAIRS = "block long, owned long, place binary, code binary, code_no long, n long, l long, r long, kind string"
+def _shares(shard: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Runs of equal numbers in a sorted array."""
+    if not len(shard):
+        return
+    start = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
+    for a, b in zip(start, [*start[1:], len(shard)], strict=True):
+        yield int(shard[a]), slice(int(a), int(b))
 
 
-def _extended(relation: DataFrame, frequent: DataFrame, k: int) -> DataFrame:
-    """One round: semi-join of the relation of length k with the frequent phrases (block, code_no, id), then the
-    merge-join at adjacent places.  Gives the relation of length k + 1 and its pairs (l, r) per block."""
-    fill = _filled(None, _PAIRS).full
+def _occurrences(docs: DataFrame, size: int, longest: int, shards: int, buckets: int) -> DataFrame:
+    """The blocks of the relation of single words, and their distinct words for the shards."""
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        start = TaskContext.get().partitionId() << 32
+        for i, (codes, owned, names) in enumerate(_blocks(frames, size, longest - 1)):
+            place = np.flatnonzero(codes >= 0)
+            codes = codes[place]
+            kept = np.flatnonzero(np.bincount(codes, minlength=1))
+            words = [names[k][1] + b"." + quote(names[k][0]).encode() for k in kept.tolist()]  # a word has no full stop
+            shard = np.array([zlib.crc32(w) for w in words], np.int64) % shards
+            by_shard = np.argsort(shard, kind="stable")
+            number = np.zeros(len(names) + 1, np.int64)
+            number[kept[by_shard]] = np.arange(len(kept))
+            codes = number[codes]
+            n = np.bincount(codes[place < owned], minlength=len(kept)).astype(np.int32)
+            rows = [_relation(start + i, owned, place, codes)]
+            for k, own in _shares(shard[by_shard]):
+                rows.append({"block": start + i, "shard": k, "first": own.start, "n": _packed(n[own]),
+                             "words": b"\n".join(words[j] for j in by_shard[own].tolist())})
+            yield _filled(rows, _SENT)
 
-    def join(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"),
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return store_bucketed(rows.mapInPandas(read, _SENT), "phrase_words", "block", buckets)
+
+
+def _replies(frame: pd.DataFrame, entry: np.ndarray, ids: np.ndarray, size: np.ndarray) -> Iterator[dict]:
+    """To each block its frequent entries: ``entry`` numbers the shard's phrases, ids has -1 for those that are not."""
+    found = ids[entry]
+    for block, first, a, n in zip(frame["block"], frame["first"], np.cumsum(size) - size, size, strict=True):
+        own = np.flatnonzero(found[a:a + n] >= 0)
+        if len(own):
+            yield {"kind": "reply", "block": block, "codes": _packed((own + int(first)).astype(np.int32)),
+                   "ids": _packed(found[a:a + n][own])}
+
+
+def _frequent(entry: np.ndarray, n: np.ndarray, shard: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sums, ids) of a shard's phrases; the id of a phrase that is not frequent is -1."""
+    sums = np.zeros(int(entry.max(initial=-1)) + 1, np.int64)
+    np.add.at(sums, entry, n)
+    ids = np.full(len(sums), -1, np.int64)
+    ids[sums >= least] = (shard << 32) + np.arange((sums >= least).sum())
+    return sums, ids
+
+
+def _words_of(least: int):
+    """A shard of words: sums, the langs' totals, and replies."""
+    def summed(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        n = [_unpacked(x, np.int32) for x in frame["n"]]
+        size = np.array([len(x) for x in n])
+        entry, names = pd.factorize(np.array([w for x in frame["words"] for w in x.split(b"\n")], object))
+        sums, ids = _frequent(entry, np.concatenate(n), int(key[0]), least)
+        rows, totals = [], {}
+        for i, name in enumerate(names):
+            word, _, lang = name.decode().partition(".")
+            lang = unquote(lang)
+            totals[lang] = totals.get(lang, 0) + int(sums[i])
+            if ids[i] >= 0:
+                rows.append({"kind": "phrase", "id": ids[i], "lang": lang, "phrase": word, "a": sums[i]})
+        rows += [{"kind": "total", "lang": lang, "a": a} for lang, a in totals.items()]
+        return _filled([*rows, *_replies(frame, entry, ids, size)], _SHARD)
+
+    return summed
+
+
+def _pairs_of(least: int):
+    """A shard of pairs: sums and replies."""
+    def summed(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        n = [_unpacked(x, np.int32) for x in frame["n"]]
+        size = np.array([len(x) for x in n])
+        l, r = (np.concatenate([_unpacked(x, np.int64) for x in frame[c]]) for c in "lr")
+        order = np.lexsort((r, l))
+        new = np.r_[True, (l[order][1:] != l[order][:-1]) | (r[order][1:] != r[order][:-1])]
+        entry = np.empty(len(l), np.int64)
+        entry[order] = np.cumsum(new) - 1
+        sums, ids = _frequent(entry, np.concatenate(n), int(key[0]), least)
+        kept = np.flatnonzero(ids >= 0)
+        where = order[new][kept]
+        rows = [{"kind": "phrase", "id": i, "l": x, "r": y, "a": a}
+                for i, x, y, a in zip(ids[kept], l[where], r[where], sums[kept], strict=True)]
+        return _filled([*rows, *_replies(frame, entry, ids, size)], _SHARD)
+
+    return summed
+
+
+def _extended(relation: DataFrame, replies: DataFrame, shards: int, k: int, buckets: int) -> DataFrame:
+    """One round: semi-join of the relation of length k with its frequent phrases, then the merge-join at adjacent
+    places.  Gives the relation of length k + 1 and its pairs for the shards."""
+    def join(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return fill(pd.DataFrame({"block": []}))
-        place = np.frombuffer(left["place"][0], np.int32)
-        code = np.frombuffer(left["code"][0], np.int32)
+            return _filled([], _SENT)
+        place = np.cumsum(_unpacked(left["place"][0], np.int32), dtype=np.int64)
+        code = _unpacked(left["code"][0], np.int32)
         owned = int(left["owned"][0])
-        ids, number = right["id"].to_numpy(np.int64), np.full(int(code.max(initial=0)) + 1, -1, np.int64)
-        number[right["code_no"].to_numpy(np.int64)] = np.arange(len(ids))
+        codes = np.concatenate([_unpacked(x, np.int32) for x in right["codes"]])
+        ids = np.concatenate([_unpacked(x, np.int64) for x in right["ids"]])
+        number = np.full(max(int(code.max(initial=0)), int(codes.max(initial=0))) + 1, -1, np.int64)
+        number[codes] = np.arange(len(ids))
         phrase = number[code]
         place, phrase = place[phrase >= 0], phrase[phrase >= 0]
         next_to = np.flatnonzero(place[1:] == place[:-1] + 1)
         pair, code = np.unique(phrase[next_to] * len(ids) + phrase[next_to + 1], return_inverse=True)
         place = place[next_to]
-        n = np.bincount(code[place < owned], minlength=len(pair))
-        return pd.concat([
-            fill(pd.DataFrame({"block": [key[0]], "owned": [owned], "place": [place.tobytes()],
-                               "code": [code.astype(np.int32).tobytes()], "kind": ["relation"]})),
-            fill(pd.DataFrame({"block": key[0], "code_no": np.arange(len(pair)), "n": n, "l": ids[pair // len(ids)],
-                               "r": ids[pair % len(ids)], "kind": "pair"}))], ignore_index=True)
-
-    other = frequent.select(F.col("block").alias("home"), "code_no", "id")
-    joined = relation.groupBy("block").cogroup(other.groupBy("home")).applyInPandas(join, _PAIRS)
-    return store(joined, f"phrase-pairs-{k + 1}")
+        l, r = ids[pair // len(ids)], ids[pair % len(ids)]
+        shard = (mix64(mix64(l.view(np.uint64)) + r.view(np.uint64)) % np.uint64(shards)).astype(np.int64)
+        by_shard = np.lexsort((r, l, shard))
+        rank = np.empty(len(pair), np.int64)
+        rank[by_shard] = np.arange(len(pair))
+        code, l, r = rank[code], l[by_shard], r[by_shard]
+        n = np.bincount(code[place < owned], minlength=len(pair)).astype(np.int32)
+        rows = [_relation(key[0], owned, place, code)]
+        for s, own in _shares(shard[by_shard]):
+            rows.append({"block": key[0], "shard": s, "first": own.start, "n": _packed(n[own]), "l": _packed(l[own]),
+                         "r": _packed(r[own])})
+        return _filled(rows, _SENT)
+
+    other = replies.select(F.col("block").alias("home"), "codes", "ids")
+    joined = relation.groupBy("block").cogroup(other.groupBy("home")).applyInPandas(join, _SENT)
+    return store_bucketed(joined, f"phrase_pairs_{k + 1}", "block", buckets)
 
 
 def _lowest_cut(pre: str, suf: str) -> Column:
     """(score, k, l, r) of the cut with the lowest score, then the least k.
 
-    Numbers are decimals of 38 digits: exact up to a * n of 10**35 and counts of 10**18.
+    Numbers are decimals of 38 digits: exact for counts below 10**17.
     """
     def big(x):
         return x.cast("decimal(38,0)")
@@ -202,30 +307,30 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     """
     if not 1 <= percent <= 100:
         raise ValueError("percent is from 1 to 100")
-    read = _occurrences(docs, block, longest)
-    words = read.filter("kind = 'word'").select("block", "code_no", "n", "lang", "word")
-    total = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    phrases = store(words.groupBy("lang", "word").agg(F.sum("n").alias("a")).filter(F.col("a") >= least).select(
-        F.monotonically_increasing_id().alias("id"), "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "a",
-        F.array().cast("array<long>").alias("pre"), F.array().cast("array<long>").alias("suf")), "phrases-1")
-    frequent = words.join(phrases.select("id", "lang", F.col("phrase").alias("word")), ["lang", "word"]).select(
-        "block", "code_no", "id")
-    relation = read.filter("kind = 'relation'").select("block", "owned", "place", "code")
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    buckets = 1 + size // BUCKET_BYTES
+    sent = _occurrences(docs, block, longest, 1 + size // (6 * block), buckets)
+    shards = sent.filter("words IS NOT NULL").select("block", "shard", "first", "n", "words")
+    counted = store(shards.groupBy("shard").applyInPandas(_words_of(least), _SHARD), "phrase-shards-1")
+    total = counted.filter("kind = 'total'").groupBy("lang").agg(F.sum("a").alias("n"))
+    none = F.array().cast("array<long>")
+    phrases = store(counted.filter("kind = 'phrase'").select(
+        "id", "lang", "phrase", F.col("phrase").alias("last"), "a", none.alias("pre"), none.alias("suf")), "phrases-1")
     found = []
     for k in range(1, longest):
-        pairs = _extended(relation, frequent, k)
-        counted = pairs.filter("kind = 'pair'").select("block", "code_no", "n", "l", "r")
-        kept = counted.groupBy("l", "r").agg(F.sum("n").alias("c")).filter(F.col("c") >= least)
+        relation = sent.filter("place IS NOT NULL").select("block", "owned", "places", "place", "code")
+        places = relation.agg(F.sum("places")).first()[0] or 0
+        sent = _extended(relation, counted.filter("kind = 'reply'"), 1 + places // block, k, buckets)
+        shards = sent.filter("l IS NOT NULL").select("block", "shard", "first", "n", "l", "r")
+        counted = store(shards.groupBy("shard").applyInPandas(_pairs_of(least), _SHARD), f"phrase-shards-{k + 1}")
+        kept = counted.filter("kind = 'phrase'").select("id", "l", "r", "a")
         left, right = phrases.select("id", "lang", "phrase", "a", "pre").alias("x"), phrases.select("id", "last", "a", "suf").alias("y")
-        longer = store(kept.join(left, F.col("l") == F.col("x.id")).join(right, F.col("r") == F.col("y.id")).select(
-            F.monotonically_increasing_id().alias("id"), "l", "r", "x.lang",
-            F.concat_ws(" ", "x.phrase", "y.last").alias("phrase"), F.col("y.last").alias("last"), F.col("c").alias("a"),
+        longer = store(kept.alias("z").join(left, F.col("z.l") == F.col("x.id")).join(right, F.col("z.r") == F.col("y.id")).select(
+            "z.id", "z.l", "z.r", "x.lang", F.concat_ws(" ", "x.phrase", "y.last").alias("phrase"), "y.last", "z.a",
             F.concat("x.pre", F.array("x.a")).alias("pre"), F.concat("y.suf", F.array("y.a")).alias("suf")), f"phrases-{k + 1}")
         if k > 1:
             found.append(_maximal(phrases, longer, percent))
         phrases = longer
-        frequent = counted.join(longer.select("id", "l", "r"), ["l", "r"]).select("block", "code_no", "id")
-        relation = pairs.filter("kind = 'relation'").select("block", "owned", "place", "code")
     if longest > 1:
         found.append(phrases.select(*_KEPT))
     everything = found[0] if found else phrases.limit(0).select(*_KEPT)
