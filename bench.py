@@ -78,8 +78,7 @@ def main() -> None:
                                                            .filter(F.col("split") == "validation"), 0.01))
     names = [c for c in tab.columns if c not in ("station", "split", "target_datetime", "target")]
     run("panel_b_ridge_fit", lambda: FC.fit_ridge(tab.filter(F.col("split") == "train"), names) and None)
-    # boosted trees as published: 150 iterations, 256 bins, all rows (Spark's GBT runs several jobs per tree
-    # level and iteration, so on small data it is bound by job overhead)
+    # boosted trees as published: 150 iterations, 31 leaves, penalty 1, all rows
     run("panel_b_gbt_fit_150iter", lambda: FC.fit_gbt(tab.filter(F.col("split") == "train"), names) and None)
     run("panel_a_flagship_metrics", lambda: QUERIES["metrics_overall"](spark, sf_dir))
     run("panel_a_tabular_features", lambda: QUERIES["tabular_features"](spark, sf_dir))

@@ -147,6 +147,7 @@ class _Grower:
         self.growth, self.scale, self.tree = growth, scale, Tree()
         self.hist: dict[int, np.ndarray] = {}
         self.best: dict[int, tuple] = {}
+        self.path = {0: ""}  # equal gains go by the place in the tree, however its nodes are numbered
         #: splits whose children are counted: node -> children; they may exceed what the tree takes in the end
         self.tried: dict[int, int] = {}
         self.asked: dict[int, int] = {}  # child to count -> its parent, -1 for the root
@@ -162,7 +163,8 @@ class _Grower:
         top = int(np.argmax(gain))
         f, cut = divmod(top, BINS - 1)
         if gain[f, cut] > 0:
-            self.best[node] = (-float(gain[f, cut]), node, int(self.place[f]), cut, int(nl[f, cut]) <= int(nr[f, cut]))
+            self.best[node] = (-float(gain[f, cut]), self.path[node], node, int(self.place[f]), cut,
+                               int(nl[f, cut]) <= int(nr[f, cut]))
 
     def wanted(self, ahead: bool) -> list[int]:
         """Nodes to count now; with ``ahead`` the children of all leaves that may still be split."""
@@ -173,20 +175,21 @@ class _Grower:
         heap, taken = [self.best[0]] if 0 in self.best else [], []
         while heap and spare:
             top = heapq.heappop(heap)
-            if top[1] not in self.tried:
+            if top[2] not in self.tried:
                 taken.append(top)
                 if not ahead:
                     break
             else:
-                child = self.tried[top[1]]
+                child = self.tried[top[2]]
                 for c in (child, child + 1):
                     if c in self.best:
                         heapq.heappush(heap, self.best[c])
             spare -= 1
         self.asked = {}
-        for gain, node, feature, cut, small_left in taken:
+        for _, path, node, feature, cut, small_left in taken:
             child = self.tree.split(node, feature, cut)
             self.tried[node] = child
+            self.path[child], self.path[child + 1] = path + "0", path + "1"
             self.asked[child if small_left else child + 1] = node
         return list(self.asked)
 
@@ -204,7 +207,7 @@ class _Grower:
         out, spare, name = Tree(), self.growth.leaves - 1, {0: 0}
         heap = [self.best[0]] if 0 in self.best else []
         while heap and spare:
-            _, node, feature, cut, _ = heapq.heappop(heap)
+            _, _, node, feature, cut, _ = heapq.heappop(heap)
             child = out.split(name[node], feature, cut)
             for k in (0, 1):
                 name[self.tried[node] + k] = child + k

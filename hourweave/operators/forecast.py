@@ -1,4 +1,4 @@
-"""Forecast operators: persistence, window mean, ridge, gradient-boosted trees.
+"""Forecast operators: persistence, window mean, ridge, histogram gradient boosting.
 
 Predictions are one long table ``model, station, split, target_datetime, y_true,
 y_pred`` (plus ``sequence_id`` where an index is attached).
@@ -10,15 +10,17 @@ import time
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.regression import LinearRegression
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FEATURE_SETS, PanelSpec
 from ..functions.exprs import regression_metric_columns
+from .boosting import BoostedModel, Growth, Run, fit_many, histories
 from .lookback import HALO, lookback_window, with_lookback_parts
 from .preprocess import FittedParams, inverse_scale, select_feature_set
-from .windows import _valid_target, tabular_features_multi
+from .windows import _valid_target, tabular_features_multi, tabular_features_union
 
 PRED_COLUMNS = ("model", "station", "split", "target_datetime", "y_true", "y_pred")
 
@@ -82,32 +84,19 @@ def fit_ridge(train: DataFrame, feature_cols: list[str], label: str = "target",
     return Pipeline(stages=[VectorAssembler(inputCols=feature_cols, outputCol="_features"), lr]).fit(train)
 
 
-#: bytes of features that a task of a tree fit takes at least
-FIT_BYTES = 8 << 20
-
-
-def _by_bytes(train: DataFrame, features: int) -> DataFrame:
-    """Fewer, fuller partitions where the rows are few: tree learning runs several jobs per level and iteration,
-    and a task of a handful of rows costs more to schedule than to run.  Large inputs keep their partitions."""
-    wanted = max(1, -(-train.count() * features * 8 // FIT_BYTES))
-    return train.coalesce(wanted) if train.rdd.getNumPartitions() > wanted else train
-
-
 def fit_gbt(train: DataFrame, feature_cols: list[str], label: str = "target", max_iter: int = 150,
-            step_size: float = 0.05, max_depth: int = 5, min_instances: int = 30, seed: int = 42) -> PipelineModel:
-    """gradient-boosted trees (comparable to, not equal to, a histogram GBM).
+            step_size: float = 0.05, max_leaves: int = 31, min_instances: int = 30, l2: float = 1.0, seed: int = 42,
+            row_rate: float = 1.0, column_rate: float = 1.0) -> BoostedModel:
+    """histogram gradient boosting with best-first leaves (``boosting``), over every row."""
+    growth = Growth(max_iter, step_size, max_leaves, min_instances, l2)
+    return fit_many(train, [Run(tuple(feature_cols), seed, row_rate, column_rate)], label, _row_key(train), growth)[0]
 
-    Tree learning makes several passes per level and iteration over binned rows that it keeps itself
-    (memory, then disk); every row is used in every iteration.
-    """
-    train = _by_bytes(train, len(feature_cols))
-    gbt = GBTRegressor(featuresCol="_features", labelCol=label, predictionCol="y_pred", maxIter=max_iter,
-                       stepSize=step_size, maxDepth=max_depth, minInstancesPerNode=min_instances, maxBins=256,
-                       seed=seed)
-    return Pipeline(stages=[VectorAssembler(inputCols=feature_cols, outputCol="_features"), gbt]).fit(train)
+
+def _row_key(train: DataFrame) -> list[str] | None:
+    return [c for c in ("station", "target_datetime") if c in train.columns] or None
 
 
-def score(model: PipelineModel, df: DataFrame, name: str, keys: list[str] | None = None) -> DataFrame:
+def score(model: PipelineModel | BoostedModel, df: DataFrame, name: str, keys: list[str] | None = None) -> DataFrame:
     """batch scoring with a fitted (or loaded) model, clipped, long format."""
     keys = keys or [c for c in ("station", "split", "target_datetime", "target", "sequence_id", "id") if c in df.columns]
     out = model.transform(df)
@@ -117,14 +106,20 @@ def score(model: PipelineModel, df: DataFrame, name: str, keys: list[str] | None
     return out.select(*cols, clip_predictions("y_pred").alias("y_pred"))
 
 
-def save_model(model: PipelineModel, path: str) -> str:
+def save_model(model: PipelineModel | BoostedModel, path: str) -> str:
     """write a fitted model to any storage Spark reaches (a new folder)."""
-    model.write().save(path)
+    if isinstance(model, BoostedModel):
+        model.save(SparkSession.getActiveSession(), f"{path}/boosted")
+    else:
+        model.write().save(path)
     return path
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> PipelineModel | BoostedModel:
+    try:
+        return BoostedModel.load(SparkSession.getActiveSession(), f"{path}/boosted")
+    except AnalysisException:  # no such folder: another kind of model
+        return PipelineModel.load(path)
 
 
 def select_answer(predictions: DataFrame, mode: str) -> DataFrame:
@@ -150,11 +145,9 @@ def tabular_feature_subset(names: list[str], spec: PanelSpec, feature_cols_all:
     return out
 
 
-def gbt_history(model: PipelineModel, valid: DataFrame, label: str = "target") -> list[float]:
+def gbt_history(model: BoostedModel, valid: DataFrame, label: str = "target") -> list[float]:
     """Validation RMSE after each boosting iteration (the trainer's 'epochs')."""
-    assembled = model.stages[0].transform(valid)
-    losses = model.stages[-1].evaluateEachIteration(assembled.withColumnRenamed(label, label), "squared")
-    return [float(x) ** 0.5 for x in losses]
+    return [r["val_rmse"] for r in histories({"": model}, valid, label).orderBy("epoch").collect()]
 
 
 RESULT_SCHEMA = ("run_id string, model string, window_size long, feature_set string, feature_count long, seed long, "
@@ -165,18 +158,19 @@ HISTORY_SCHEMA = "run_id string, epoch long, val_rmse double"
 
 def ablation_grid(processed: DataFrame, spec: PanelSpec, feature_cols: list[str], windows=(6, 12, 24),
                   feature_sets=FEATURE_SETS, seeds=(42,), model: str = "ridge", existing: DataFrame | None = None,
-                  gbt_iter: int = 150, gbt_subsample: float = 1.0,
+                  gbt_iter: int = 150, gbt_rows: float = 0.8, gbt_columns: float = 0.8,
                   results_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """one fit per (window, feature set, seed); finished run ids are skipped.
 
-    With ``results_path`` every run is written there as it finishes (``runs`` and ``history``), and runs found
+    With ``results_path`` runs are written there as they finish (``runs`` and ``history``), and runs found
     there count as finished, so a stopped grid goes on where it was.  Results are sorted by model, window,
     feature set and seed.
 
-    All window sizes come from one windowed pass (the largest window), so every run
-    is evaluated on the same targets.  Returns (results, history): one row per run,
-    and for boosted runs the validation RMSE of every iteration.  Fits are
-    distributed Spark ML jobs; only metrics (a few numbers per run) reach the driver.
+    All window sizes come from one windowed pass (the largest window), so every run is evaluated on the same
+    targets.  Boosted runs grow in lockstep over one table of all windows' features; each iteration sees the
+    ``gbt_rows`` share of the rows and the ``gbt_columns`` share of the features that its seed draws.  Returns
+    (results, history): one row per run, and for boosted runs the validation RMSE of every iteration.  Only
+    metrics (a few numbers per run) reach the driver.
     """
     spark = processed.sparkSession
     done = set()
@@ -185,47 +179,22 @@ def ablation_grid(processed: DataFrame, spec: PanelSpec, feature_cols: list[str]
         existing = saved if existing is None else existing.unionByName(saved)
     if existing is not None:
         done = {r[0] for r in existing.select("run_id").distinct().collect()}
-    from ..session import materialize
-
-    # every fit makes several passes over its table: write each table once
-    tables = {w: materialize(t, f"tabular_w{w}")
-              for w, t in tabular_features_multi(processed, spec, feature_cols, list(windows)).items()}
+    runs = [(f"{model}_w{w}_{fs}_s{seed}", w, fs, seed) for w in windows for fs in feature_sets for seed in seeds]
+    runs = [r for r in runs if r[0] not in done]
     rows, hist = [], []
-    for w in windows:
-        tab = tables[w]
-        names = [c for c in tab.columns if c not in ("station", "split", "target_datetime", "target")]
-        for fs in feature_sets:
-            cols = tabular_feature_subset(names, spec, feature_cols, fs)
-            for seed in seeds:
-                run_id = f"{model}_w{w}_{fs}_s{seed}"
-                if run_id in done:
-                    continue
-                train = tab.filter(F.col("split") == "train")
-                t0 = time.time()
-                if model == "ridge":
-                    fitted = fit_ridge(train, cols)
-                else:
-                    gbt = GBTRegressor(featuresCol="_features", labelCol="target", predictionCol="y_pred",
-                                       maxIter=gbt_iter, stepSize=0.05, maxDepth=5, minInstancesPerNode=30, maxBins=256,
-                                       subsamplingRate=gbt_subsample, seed=seed)
-                    fitted = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="_features"), gbt]).fit(_by_bytes(train, len(cols)))
-                secs = time.time() - t0
-                best = None
-                if model != "ridge":
-                    curve = gbt_history(fitted, tab.filter(F.col("split") == "validation"))
-                    hist += [(run_id, i + 1, v) for i, v in enumerate(curve)]
-                    best = 1 + min(range(len(curve)), key=lambda i: (curve[i], i))
-                pred = score(fitted, tab.filter(F.col("split") != "train"), model)
-                m = {r["split"]: r for r in pred.groupBy("split").agg(*regression_metric_columns("y_true", "y_pred")).collect()}
-                rec = (run_id, model, w, fs, len(cols), seed, best, float(secs))
-                for s in ("validation", "local_test"):
-                    r = m.get(s)
-                    rec += ((r["rmse"], r["mae"], r["r2"]) if r else (None, None, None))
-                rows.append(rec)
-                if results_path:
-                    own = [h for h in hist if h[0] == run_id]
-                    spark.createDataFrame(own, HISTORY_SCHEMA).write.mode("append").parquet(f"{results_path}/history")
-                    spark.createDataFrame([rec], RESULT_SCHEMA).write.mode("append").parquet(f"{results_path}/runs")
+
+    def keep(new_rows, new_hist):
+        rows.extend(new_rows)
+        hist.extend(new_hist)
+        if results_path:
+            spark.createDataFrame(new_hist, HISTORY_SCHEMA).write.mode("append").parquet(f"{results_path}/history")
+            spark.createDataFrame(new_rows, RESULT_SCHEMA).write.mode("append").parquet(f"{results_path}/runs")
+
+    if model == "ridge":
+        _ridge_runs(processed, spec, feature_cols, runs, list(windows), keep)
+    elif runs:
+        _boosted_runs(processed, spec, feature_cols, runs, list(windows), model, Growth(iterations=gbt_iter),
+                      gbt_rows, gbt_columns, keep)
     new = spark.createDataFrame(rows, RESULT_SCHEMA)
     history = spark.createDataFrame(hist, HISTORY_SCHEMA)
     if saved_history is not None:
@@ -237,10 +206,64 @@ def ablation_grid(processed: DataFrame, spec: PanelSpec, feature_cols: list[str]
     return new.orderBy("model", "window_size", "feature_set", "seed"), history
 
 
+def _record(run, model: str, features: int, best: int | None, secs: float, metrics: dict) -> tuple:
+    rec = (run[0], model, run[1], run[2], features, run[3], best, float(secs))
+    for s in ("validation", "local_test"):
+        m = metrics.get(s)
+        rec += (m["rmse"], m["mae"], m["r2"]) if m else (None, None, None)
+    return rec
+
+
+def _ridge_runs(processed, spec, feature_cols, runs, windows, keep) -> None:
+    from ..session import materialize
+
+    # every fit makes several passes over its table: write each table once
+    wanted = {r[1] for r in runs}
+    tables = {w: materialize(t, f"tabular_w{w}")
+              for w, t in tabular_features_multi(processed, spec, feature_cols, windows).items() if w in wanted}
+    for run in runs:
+        tab = tables[run[1]]
+        names = [c for c in tab.columns if c not in ("station", "split", "target_datetime", "target")]
+        cols = tabular_feature_subset(names, spec, feature_cols, run[2])
+        t0 = time.time()
+        fitted = fit_ridge(tab.filter(F.col("split") == "train"), cols)
+        secs = time.time() - t0
+        pred = score(fitted, tab.filter(F.col("split") != "train"), "ridge")
+        m = {r["split"]: r for r in pred.groupBy("split").agg(*regression_metric_columns("y_true", "y_pred")).collect()}
+        keep([_record(run, "ridge", len(cols), None, secs, m)], [])
+
+
+def _boosted_runs(processed, spec, feature_cols, runs, windows, model, growth, row_rate, column_rate, keep) -> None:
+    """All boosted runs at once: one table, one fit in lockstep, one scoring pass, one pass for the histories."""
+    from ..session import materialize
+    from .windows import tabular_feature_names
+
+    tab = materialize(tabular_features_union(processed, spec, feature_cols, windows), "tabular_union")
+    columns = {r[0]: tuple(tabular_feature_subset(tabular_feature_names(spec, feature_cols, r[1]), spec, feature_cols, r[2]))
+               for r in runs}
+    t0 = time.time()
+    fitted = fit_many(tab.filter(F.col("split") == "train"), [Run(columns[r[0]], r[3], row_rate, column_rate) for r in runs],
+                      key=["station", "target_datetime"], growth=growth)
+    secs = (time.time() - t0) / len(runs)
+    models = dict(zip([r[0] for r in runs], fitted, strict=True))
+    scored = tab.filter(F.col("split") != "train")
+    for name, m in models.items():
+        scored = m.transform(scored, name)
+    long = scored.select("split", F.col("target").alias("y_true"), *[clip_predictions(n).alias(n) for n in models]).unpivot(
+        ["split", "y_true"], list(models), "run_id", "y_pred")
+    found = {(r["run_id"], r["split"]): r
+             for r in long.groupBy("run_id", "split").agg(*regression_metric_columns("y_true", "y_pred")).collect()}
+    curves = histories(models, tab.filter(F.col("split") == "validation")).collect()
+    best = {}
+    for r in curves:
+        best[r["run_id"]] = min(best.get(r["run_id"], (float("inf"), 0)), (r["val_rmse"], r["epoch"]))
+    keep([_record(r, model, len(columns[r[0]]), best[r[0]][1] if r[0] in best else None, secs,
+                  {s: found.get((r[0], s)) for s in ("validation", "local_test")}) for r in runs],
+         [(r["run_id"], r["epoch"], r["val_rmse"]) for r in curves])
+
+
 def _saved_runs(spark, path: str) -> tuple[DataFrame | None, DataFrame | None]:
     """Runs and history already written under ``path``: lists of a few rows, read now so that later appends don't matter."""
-    from pyspark.errors import AnalysisException
-
     try:
         runs, history = (spark.read.parquet(f"{path}/{k}").collect() for k in ("runs", "history"))
     except AnalysisException:  # nothing written yet

@@ -252,6 +252,25 @@ def tabular_features_multi(processed: DataFrame, spec: PanelSpec, feature_cols:
     return {w: history_features(h, keys, spec, feature_cols, w, full) for w in windows}
 
 
+def tabular_features_union(processed: DataFrame, spec: PanelSpec, feature_cols: list[str], windows: list[int]) -> DataFrame:
+    """One table with the features of several window sizes, from one pass with the largest window.
+
+    Latest values, lags and changes of a smaller window are those of the largest one; each smaller window adds
+    its statistics.  The targets are those valid for the largest window."""
+    full = max(windows)
+    x = window_history(processed, spec, feature_cols, full)
+    keys = [F.col(spec.station).alias("station"), "split", F.col(spec.time).alias("target_datetime"),
+            F.col(spec.observed_target).cast("double").alias("target"), "_hist", "_latest"]
+    x = history_features(x, keys, spec, feature_cols, full)
+    for w in sorted(set(windows) - {full}, reverse=True):
+        own = x.columns
+        stats = [f"{c}_{stat}_{w}" for stat in ROLLING_STATS for c in spec.numeric]
+        held = [F.col(c).alias(c if c in ("_hist", "_latest") else f"_k_{c}") for c in own]
+        y = history_features(x.select(*held), [c if c in ("_hist", "_latest") else f"_k_{c}" for c in own], spec, [], w, full)
+        x = y.select(*[F.col(c) if c in ("_hist", "_latest") else F.col(f"_k_{c}").alias(c) for c in own], *stats)
+    return x.drop("_hist", "_latest")
+
+
 def lag_features(processed: DataFrame, spec: PanelSpec, window: int | None = None) -> DataFrame:
     """W8 on its own: target lags ``<target>_lag_w .. _lag_1`` (lag 1 newest)."""
     w = window or spec.window

@@ -22,7 +22,7 @@ MODELS = ("gbt", "ridge")
 
 def grid(spark, sf):
     """Ridge and boosted trees over windows 6/12/24 x both feature sets, the trees (w=24, all features)
-    also with a second seed; written once per session."""
+    also with a second seed; the trees of a call grow in lockstep.  Written once per session."""
     c = context(spark, sf)
 
     def build():

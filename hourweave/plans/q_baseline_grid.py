@@ -1,8 +1,9 @@
 """Ablation analysis (E8-E12, E16) over a results table that SQL can compute.
 
-The runs are baseline forecasts: for windows of 6, 12 and 24 hours, ``pollution_only`` is the window mean and
-``all_features`` the mean of persistence and window mean; seed k evaluates the targets whose hour modulo 3 is k.
-The "epochs" of a run are blends of both forecasts with weights 0.1 ... 1.0.
+The runs are baseline forecasts over all targets: for windows of 6, 12 and 24 hours, ``pollution_only`` is the
+window mean and ``all_features`` blends in persistence.  Seed k = 0, 1, 2 is a repeat with other constants: the
+window mean is damped by k per cent, and persistence weighs (k + 1) / 4.  The "epochs" of a run are blends with
+weights 0.1 ... 1.0 of persistence and the damped window mean.
 """
 
 from __future__ import annotations
@@ -22,17 +23,20 @@ from .registry import register
 
 S = EVENTS_SPEC
 WINDOWS = (6, 12, 24)
+SEEDS = (0, 1, 2)
 BEST = 0  # the seed of the single-seed analyses
 
 
 def forecasts(spark, sf):
-    """(window_size, seed, split, y_true, persistence, window_mean) of every valid target and window."""
+    """(window_size, split, y_true, persistence, window_mean) of every valid target and window."""
     c = context(spark, sf)
     frames = [FC.baseline_forecasts(c.processed(), S, c.params(), w).withColumn("window_size", F.lit(w).cast("long"))
               for w in WINDOWS]
-    x = reduce(lambda a, b: a.unionByName(b), frames)
-    return c._memo("baseline_grid_forecasts", lambda: materialize(
-        x.withColumn("seed", (F.hour("target_datetime") % 3).cast("long")), "baseline_grid"))
+    return c._memo("baseline_grid_forecasts", lambda: materialize(reduce(lambda a, b: a.unionByName(b), frames), "baseline_grid"))
+
+
+def _damped(seed: int):
+    return F.lit(1 - seed / 100) * F.col("window_mean")
 
 
 def _run_id(*cols):
@@ -41,9 +45,11 @@ def _run_id(*cols):
 
 def results(spark, sf):
     x = forecasts(spark, sf)
-    runs = x.select("window_size", "seed", "split", "y_true", F.inline(F.array(
-        F.struct(F.lit("pollution_only").alias("feature_set"), F.col("window_mean").alias("p")),
-        F.struct(F.lit("all_features").alias("feature_set"), ((F.col("persistence") + F.col("window_mean")) / 2).alias("p")))))
+    runs = x.select("window_size", "split", "y_true", F.inline(F.array(*[
+        F.struct(F.lit(name).alias("feature_set"), F.lit(k).cast("long").alias("seed"), p.alias("p"))
+        for k in SEEDS for name, p in (
+            ("pollution_only", _damped(k)),
+            ("all_features", F.lit((k + 1) / 4) * F.col("persistence") + F.lit(1 - (k + 1) / 4) * _damped(k)))])))
     err = F.col("y_true") - F.col("p")
 
     def on(split, value):
@@ -57,10 +63,13 @@ def results(spark, sf):
 
 def history(spark, sf):
     x = forecasts(spark, sf).filter("split = 'validation'").withColumn("feature_set", F.lit("all_features"))
-    errs = [F.pow(F.col("y_true") - F.lit(i / 10) * F.col("persistence") - F.lit(1 - i / 10) * F.col("window_mean"), 2) for i in range(1, 11)]
-    one = x.groupBy("window_size", "feature_set", "seed").agg(*[F.sqrt(F.avg(e)).alias(f"e{i}") for i, e in enumerate(errs, 1)])
-    return one.select(_run_id().alias("run_id"), F.inline(F.array(*[
-        F.struct(F.lit(i).cast("long").alias("epoch"), F.col(f"e{i}").alias("val_rmse")) for i in range(1, 11)])))
+    errs = {(k, i): F.pow(F.col("y_true") - F.lit(i / 10) * F.col("persistence") - F.lit(1 - i / 10) * _damped(k), 2)
+            for k in SEEDS for i in range(1, 11)}
+    one = x.groupBy("window_size", "feature_set").agg(*[F.sqrt(F.avg(e)).alias(f"e{k}_{i}") for (k, i), e in errs.items()])
+    long = one.select("window_size", "feature_set", F.inline(F.array(*[
+        F.struct(F.lit(k).cast("long").alias("seed"), F.lit(i).cast("long").alias("epoch"), F.col(f"e{k}_{i}").alias("val_rmse"))
+        for k, i in errs])))
+    return long.select(_run_id().alias("run_id"), "epoch", "val_rmse")
 
 
 def _sql(select: str, **kw) -> str:
@@ -70,17 +79,18 @@ def _sql(select: str, **kw) -> str:
         f"avg(y) OVER ({part} ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING) AS window_mean, lag(datetime, {w}) OVER ({part}) AS st "
         "FROM filled" for w in WINDOWS)
     ctes = O.panel_ctes() + f""",
-bf AS (SELECT window_size, hour(datetime) % 3 AS seed, split, y_true, persistence, window_mean FROM ({per_window}) t
+bf AS (SELECT window_size, split, y_true, persistence, window_mean FROM ({per_window}) t
        WHERE st = datetime - window_size * INTERVAL 1 HOUR AND y_true IS NOT NULL),
-br AS (SELECT window_size, seed, split, y_true - window_mean AS e, 'pollution_only' AS feature_set FROM bf UNION ALL
-       SELECT window_size, seed, split, y_true - (persistence + window_mean) / 2, 'all_features' FROM bf),
+bs AS (SELECT bf.*, seed, (1 - seed / 100.0) * window_mean AS damped FROM bf, (VALUES (0), (1), (2)) AS v(seed)),
+br AS (SELECT window_size, seed, split, y_true - damped AS e, 'pollution_only' AS feature_set FROM bs UNION ALL
+       SELECT window_size, seed, split, y_true - (seed + 1) / 4.0 * persistence - (1 - (seed + 1) / 4.0) * damped, 'all_features' FROM bs),
 res AS (SELECT 'window_mean_w' || window_size || '_' || feature_set || '_s' || seed AS run_id, 'window_mean' AS model, window_size,
                feature_set, seed, sqrt(avg(e * e) FILTER (WHERE split = 'validation')) AS validation_rmse,
                avg(abs(e)) FILTER (WHERE split = 'validation') AS validation_mae,
                sqrt(avg(e * e) FILTER (WHERE split = 'local_test')) AS local_test_rmse FROM br GROUP BY window_size, feature_set, seed),
 hist_runs AS (SELECT 'window_mean_w' || window_size || '_all_features_s' || seed AS run_id, i AS epoch,
-                     sqrt(avg(power(y_true - i / 10.0 * persistence - (1 - i / 10.0) * window_mean, 2))) AS val_rmse
-              FROM bf, range(1, 11) AS g(i) WHERE split = 'validation' GROUP BY window_size, seed, i)"""
+                     sqrt(avg(power(y_true - i / 10.0 * persistence - (1 - i / 10.0) * damped, 2))) AS val_rmse
+              FROM bs, range(1, 11) AS g(i) WHERE split = 'validation' GROUP BY window_size, seed, i)"""
     return O.wrap(select, ctes=ctes, **kw)
 
 

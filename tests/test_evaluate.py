@@ -71,6 +71,31 @@ def test_alignment_reports_unmatched(spark):
     assert counts["missing_in_second"] == 1 and counts["missing_in_first"] == 0 and aligned.count() == 2
 
 
+def test_alignment_reports_repeated_keys_and_differences(spark):
+    a, b = preds(spark, [1, 2, 3, 4], [1, 2, 3, 4]), preds(spark, [1, 2, 3, 4], [2, 2, 2, 2])
+    first = a.orderBy("target_datetime").limit(1)
+    aligned, v = EN.align_predictions(a.unionByName(first), b.unionByName(first).withColumn("y_true", F.col("y_true") + 1))
+    counts = {r["rule"]: r["violations"] for r in v.collect()}
+    assert counts == {"missing_in_first": 0, "missing_in_second": 0, "repeated_in_first": 1, "repeated_in_second": 1,
+                      "split_mismatch": 0, "y_true_mismatch": 3}
+    assert aligned.count() == 3
+
+
+@pytest.mark.parametrize("rows", [
+    [(1.0, 1.0, 1.0)], [(0.0, 1.0, -1.0), (2.0, 2.0, 5.0), (3.0, 3.0, 3.0), (1.0, 0.5, 1.5), (4.0, 5.0, 4.0)],
+    [(float(i % 7), float(i % 5) + 0.25, float(i % 11) - 0.125) for i in range(300)]])
+@pytest.mark.parametrize("step", [0.01, 0.25, 1.0])
+def test_weight_search_equals_every_weight_by_itself(spark, rows, step):
+    import numpy as np
+
+    df = spark.createDataFrame(rows, "y_true double, pred_first double, pred_second double")
+    y, p, q = map(np.array, zip(*rows))
+    for r in EN.weight_search(df, step).collect():
+        e = y - r["first_weight"] * p - (1 - r["first_weight"]) * q
+        assert r["mae"] == pytest.approx(np.abs(e).mean(), abs=1e-9)
+        assert r["rmse"] == pytest.approx(np.sqrt((e * e).mean()), abs=1e-7)
+
+
 # Published ablation results (GRU runs): run_id, window, feature_set, seed, validation rmse/mae, local-test rmse.
 ABLATION = [
     ("gru_w6_all_features_s42", 6, "all_features", 42, 16.354541021074287, 8.600785216398087, None, 121.89552878399992),
