@@ -42,6 +42,8 @@ MISS = 1e-9
 CELL = 4096
 #: pairs of a visitor that are confirmed at once
 PAIRS = 64
+#: names of sets up to this number (16 bytes each) are broadcast, so that the texts need not be shuffled
+FEW = 1 << 21
 BATCH_CHARS = 1 << 19
 SLICE = 1 << 17
 
@@ -295,15 +297,21 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     weight = shared.groupBy("node").agg(F.sum("c").alias("w"))
     heads = shared.join(weight, "node").groupBy("bucket").agg(F.max_by("node", F.struct("w", "node")).alias("head"))
     # sketches, keys and full sets of the sets that share a bucket with another
-    own = classes.join(weight.select("node"), "node").select("node", "n", "sketch", "keys")
-    sets = store(own.join(prints.select(F.col("row").alias("node"), "text"), "node").select(
-        "node", "n", "sketch", "keys", _set_column(F.col("text"), shingle).alias("set")), "minhash-sets")
+    own = store(classes.join(weight.select("node"), "node").select("node", "n", "sketch", "keys"), "minhash-own")
+    named = own.select("node")
+    named = F.broadcast(named) if named.count() <= FEW else named
+    full = prints.select(F.col("row").alias("node"), "text").join(named, "node").select(
+        "node", _set_column(F.col("text"), shingle).alias("set"))
+    sets = store(own.join(full, "node"), "minhash-sets")
     facts = sets.select("node", "n", "sketch")
     to_head = shared.join(heads, "bucket").filter("node <> head").select(
-        F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+        F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"), "head").distinct()
     x, y = (facts.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}")) for c in "ab")
-    to_head = to_head.join(x, "a").join(y, "b").filter(
-        _sizes_allow("n_a", "n_b", percent) & (_ones("s_a", "s_b") <= most_ones(percent))).select("a", "b")
+    near = to_head.join(x, "a").join(y, "b").withColumn("ones", _ones("s_a", "s_b")).filter(
+        _sizes_allow("n_a", "n_b", percent) & (F.col("ones") <= most_ones(percent)))
+    # the likeliest head of each set: what other heads would add is left to the open buckets
+    to_head = near.withColumn("set", F.when(F.col("b") == F.col("head"), F.col("a")).otherwise(F.col("b"))).groupBy("set").agg(
+        F.min_by(F.struct("a", "b"), F.struct("ones", "a", "b")).alias("pair")).select("pair.a", "pair.b").distinct()
     links = store(_confirmed(to_head, sets, percent), "minhash-links")
 
     def rooted(links: DataFrame) -> DataFrame:
