@@ -31,7 +31,7 @@ LEAST = 100
 LONGEST = 5
 TOP = 2000
 #: places of a block, and about the most entries of a shard
-BLOCK = 1 << 19
+BLOCK = 1 << 20
 #: bytes of text of one bucket of blocks
 BUCKET_BYTES = 1 << 24
 #: bytes of text that are cut into words at once
@@ -113,6 +113,20 @@ def _unpacked(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
+def _packed_pairs(l: np.ndarray, r: np.ndarray) -> dict:
+    """Pairs sorted by l, then r, as steps: of l, and of r from one pair with the same l to the next."""
+    same = np.r_[False, l[1:] == l[:-1]]
+    return {"l": _packed(np.diff(l, prepend=0)), "r": _packed(np.where(same, np.diff(r, prepend=0), r))}
+
+
+def _unpacked_pairs(l: bytes, r: bytes) -> tuple[np.ndarray, np.ndarray]:
+    l, r = _unpacked(l, np.int64), _unpacked(r, np.int64)
+    start = np.flatnonzero(np.r_[True, l[1:] != 0])
+    total = np.cumsum(r)
+    before = total[start] - r[start]  # what came before each run of equal l
+    return np.cumsum(l), total - np.repeat(before, np.diff(np.r_[start, len(l)]))
+
+
 def _relation(block: int, owned: int, place: np.ndarray, code: np.ndarray) -> dict:
     steps = np.diff(place, prepend=0).astype(np.int32)
     return {"block": block, "owned": owned, "places": int((place < owned).sum()), "place": _packed(steps),
@@ -179,22 +193,24 @@ def _replies(frame: pd.DataFrame, entry: np.ndarray, ids: np.ndarray, size: np.n
                    "ids": _packed(found[a:a + n][own])}
 
 
-def _frequent(entry: np.ndarray, n: np.ndarray, shard: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sums, ids) of a shard's phrases; the id of a phrase that is not frequent is -1."""
+def _frequent(entry: np.ndarray, n: np.ndarray, shard: int, shards: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sums, ids) of a shard's phrases; the id of a phrase that is not frequent is -1.
+
+    Ids of all shards interleave, so they are about as small as there are frequent phrases."""
     sums = np.zeros(int(entry.max(initial=-1)) + 1, np.int64)
     np.add.at(sums, entry, n)
     ids = np.full(len(sums), -1, np.int64)
-    ids[sums >= least] = (shard << 32) + np.arange((sums >= least).sum())
+    ids[sums >= least] = shard + shards * np.arange((sums >= least).sum())
     return sums, ids
 
 
-def _words_of(least: int):
+def _words_of(least: int, shards: int):
     """A shard of words: sums, the langs' totals, and replies."""
     def summed(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         n = [_unpacked(x, np.int32) for x in frame["n"]]
         size = np.array([len(x) for x in n])
         entry, names = pd.factorize(np.array([w for x in frame["words"] for w in x.split(b"\n")], object))
-        sums, ids = _frequent(entry, np.concatenate(n), int(key[0]), least)
+        sums, ids = _frequent(entry, np.concatenate(n), int(key[0]), shards, least)
         rows, totals = [], {}
         for i, name in enumerate(names):
             word, _, lang = name.decode().partition(".")
@@ -208,17 +224,17 @@ def _words_of(least: int):
     return summed
 
 
-def _pairs_of(least: int):
+def _pairs_of(least: int, shards: int):
     """A shard of pairs: sums and replies."""
     def summed(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         n = [_unpacked(x, np.int32) for x in frame["n"]]
         size = np.array([len(x) for x in n])
-        l, r = (np.concatenate([_unpacked(x, np.int64) for x in frame[c]]) for c in "lr")
+        l, r = map(np.concatenate, zip(*map(_unpacked_pairs, frame["l"], frame["r"]), strict=True))
         order = np.lexsort((r, l))
         new = np.r_[True, (l[order][1:] != l[order][:-1]) | (r[order][1:] != r[order][:-1])]
         entry = np.empty(len(l), np.int64)
         entry[order] = np.cumsum(new) - 1
-        sums, ids = _frequent(entry, np.concatenate(n), int(key[0]), least)
+        sums, ids = _frequent(entry, np.concatenate(n), int(key[0]), shards, least)
         kept = np.flatnonzero(ids >= 0)
         where = order[new][kept]
         rows = [{"kind": "phrase", "id": i, "l": x, "r": y, "a": a}
@@ -255,8 +271,8 @@ def _extended(relation: DataFrame, replies: DataFrame, shards: int, k: int, buck
         n = np.bincount(code[place < owned], minlength=len(pair)).astype(np.int32)
         rows = [_relation(key[0], owned, place, code)]
         for s, own in _shares(shard[by_shard]):
-            rows.append({"block": key[0], "shard": s, "first": own.start, "n": _packed(n[own]), "l": _packed(l[own]),
-                         "r": _packed(r[own])})
+            rows.append({"block": key[0], "shard": s, "first": own.start, "n": _packed(n[own]),
+                         **_packed_pairs(l[own], r[own])})
         return _filled(rows, _SENT)
 
     other = replies.select(F.col("block").alias("home"), "codes", "ids")
@@ -309,9 +325,10 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
         raise ValueError("percent is from 1 to 100")
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     buckets = 1 + size // BUCKET_BYTES
-    sent = _occurrences(docs, block, longest, 1 + size // (6 * block), buckets)
+    number = 1 + size // (6 * block)
+    sent = _occurrences(docs, block, longest, number, buckets)
     shards = sent.filter("words IS NOT NULL").select("block", "shard", "first", "n", "words")
-    counted = store(shards.groupBy("shard").applyInPandas(_words_of(least), _SHARD), "phrase-shards-1")
+    counted = store(shards.groupBy("shard").applyInPandas(_words_of(least, number), _SHARD), "phrase-shards-1")
     total = counted.filter("kind = 'total'").groupBy("lang").agg(F.sum("a").alias("n"))
     none = F.array().cast("array<long>")
     phrases = store(counted.filter("kind = 'phrase'").select(
@@ -320,9 +337,10 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     for k in range(1, longest):
         relation = sent.filter("place IS NOT NULL").select("block", "owned", "places", "place", "code")
         places = relation.agg(F.sum("places")).first()[0] or 0
-        sent = _extended(relation, counted.filter("kind = 'reply'"), 1 + places // block, k, buckets)
+        number = 1 + places // block
+        sent = _extended(relation, counted.filter("kind = 'reply'"), number, k, buckets)
         shards = sent.filter("l IS NOT NULL").select("block", "shard", "first", "n", "l", "r")
-        counted = store(shards.groupBy("shard").applyInPandas(_pairs_of(least), _SHARD), f"phrase-shards-{k + 1}")
+        counted = store(shards.groupBy("shard").applyInPandas(_pairs_of(least, number), _SHARD), f"phrase-shards-{k + 1}")
         kept = counted.filter("kind = 'phrase'").select("id", "l", "r", "a")
         left, right = phrases.select("id", "lang", "phrase", "a", "pre").alias("x"), phrases.select("id", "last", "a", "suf").alias("y")
         longer = store(kept.alias("z").join(left, F.col("z.l") == F.col("x.id")).join(right, F.col("z.r") == F.col("y.id")).select(
