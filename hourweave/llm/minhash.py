@@ -180,6 +180,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return pd.Series(out, dtype=bool)
 
     x, y = sets.select(F.col("node").alias("a"), F.col("set").alias("x")), sets.select(F.col("node").alias("b"), F.col("set").alias("y"))
+    pairs = store(pairs, "minhash-pairs")
+    if pairs.count() <= FEW:  # 16 bytes each: the sets need not be shuffled to meet their pairs
+        pairs = F.broadcast(pairs)
     return pairs.join(x, "a").join(y, "b").filter(alike("x", "y")).select("a", "b")
 
 
