@@ -105,6 +105,13 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def one_text(rows: DataFrame, *keep: str) -> DataFrame:
+    """One row per doc_id with a text of its own, chosen by hash among rows that repeat the id, and the columns
+    named, which must be the same in all of them."""
+    return rows.groupBy("doc_id").agg(*[F.first(c).alias(c) for c in keep], F.min_by(
+        "text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text"))
+
+
 def held_out(doc_id):
     """crc32 of the id's decimal text is divisible by 5: such labels are never learnt from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, table, texts
+from .common import held_out, one_text, table, texts
 from .words import Words
 
 ACCEPT = 0.3
@@ -149,9 +149,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranker:
     def measure(text: pd.Series) -> pd.Series:
         return pd.Series(list(np.concatenate(_in_pieces(text))) if len(text) else [], dtype=object)
 
-    # at most ``sample`` rows are broadcast and come back as numbers
-    found = texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "label", measure("text").alias("x"))
-    rows = found.toPandas().sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
+    # at most ``sample`` rows are broadcast and come back as numbers, however often an id repeats
+    found = one_text(texts(docs).join(F.broadcast(chosen), "doc_id"), "label").select("doc_id", "label", measure("text").alias("x"))
+    rows = found.toPandas().sort_values("doc_id", kind="stable")
     x = np.array(rows["x"].tolist(), np.float64).reshape(-1, len(FEATURES))
     return bradley_terry(x, rows["label"].to_numpy(np.int64))
 

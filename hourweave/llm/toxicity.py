@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, mix64, signed, store, table, texts
+from .common import held_out, mix64, one_text, signed, store, table, texts
 from .words import STEP
 
 TOXIC = 0.5
@@ -341,7 +341,8 @@ def fit(docs: DataFrame, labels: DataFrame, each: int = SAMPLE_EACH) -> Model:
                 bands=[_bands(h) for h in hashes], keys=[sorted(_keys(set(w))) for w in found])
 
     # at most 2 * each rows are broadcast, written by key and, as numbers, come back
-    sample = texts(docs).join(F.broadcast(first[0].union(first[1])), "doc_id").mapInPandas(
+    sample = one_text(texts(docs).join(F.broadcast(first[0].union(first[1])), "doc_id"), "label").select(
+        "doc_id", "label", "text").mapInPandas(
         keys, "doc_id long, label int, text string, copy long, words array<long>, bands array<long>, keys array<string>")
     sample = store(without_copies(sample).select("doc_id", "label", "text", "keys"), "toxicity-sample")
     size = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -178,3 +178,26 @@ def test_a_misspelt_text_scores_as_toxic(spark):
     model = T.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
     score = [model.scores(np.array([model.features(t)]))[0] for t in ("scvm you scvm and scvm", "you and")]
     assert score[0] >= T.TOXIC > score[1]
+
+
+def test_repeated_ids_leave_the_sample_bounded(spark, monkeypatch):
+    """100,000 rows of one labelled id are one row of either sample."""
+    from pyspark.sql import functions as F
+
+    from hourweave.llm.common import held_out
+
+    many = spark.range(100_000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("text no "), "id").alias("text"))
+    rest = spark.range(2, 40).select(F.col("id").alias("doc_id"), F.concat(F.lit("words of document "), "id").alias("text"))
+    docs = many.union(rest)
+    labels = spark.range(1, 40).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"),
+                                       (F.col("id") % 2).cast("int").alias("toxic"))
+    seen, real = [], Q.bradley_terry
+    monkeypatch.setattr(Q, "bradley_terry", lambda x, y: seen.append(len(x)) or real(x, y))
+    Q.fit(docs, labels)
+    learnt = labels.filter(~held_out(F.col("doc_id"))).count()
+    assert seen == [learnt]
+    rows, fit_weights = [], T.logistic
+    monkeypatch.setattr(T, "logistic", lambda x, y, p: rows.append(len(y)) or fit_weights(x, y, p))
+    T.fit(docs, labels)
+    assert all(n <= 2 * learnt for n in rows)
+    assert learnt > 20
