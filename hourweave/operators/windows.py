@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import DELTA_HOURS, ROLLING_STATS, SPLITS, PanelSpec
 from ..functions.exprs import hours
+from ..functions.permutation import with_permuted
 from .lookback import CHUNK, GAP, HALO, PART, chunk_of, lookback_window, with_lookback_parts
 
 SEQUENCE_COLUMNS = ("sequence_id", "station", "split", "window_start_datetime", "window_end_datetime",
@@ -321,17 +322,36 @@ def target_history(processed: DataFrame, spec: PanelSpec, params, window: int |
 
 
 def window_batches(index: DataFrame, batch_size: int, seed: int | None = None, epoch: int = 0) -> DataFrame:
-    """Batch number per sequence; unshuffled by id, or in a seeded hash order, another one each epoch."""
+    """Batch number per sequence; unshuffled by id, or in a seeded order, another one each epoch.
+
+    The dense ids of ``sequence_index`` are shuffled by a keyed permutation, a projection without any exchange; it needs
+    the number of rows, one aggregate over the id column.  Ids with gaps, repeats or nulls (an index filtered by
+    split) are ranked by a hash instead, which sorts them.
+    """
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
     if seed is None:
         return index.withColumn("batch_id", F.floor(F.col("sequence_id") / F.lit(batch_size)).cast("long"))
+    n = _dense_size(index)
+    if n:
+        placed = with_permuted(index, "sequence_id", "_r", n, seed, epoch)
+        return placed.withColumn("batch_id", F.floor(F.col("_r") / F.lit(batch_size)).cast("long")).drop("_r")
     mixed = str(seed) if not epoch else f"{seed}/{epoch}"
     key = F.md5(F.concat_ws(":", F.lit(mixed), F.col("sequence_id").cast("string")))
     ranked = global_rank(index.withColumn("_k", key), ["_k", "sequence_id"], "_r")
     return ranked.withColumn("batch_id", F.floor(F.col("_r") / F.lit(batch_size)).cast("long")).drop("_k", "_r")
 
 
+def _dense_size(index: DataFrame) -> int:
+    """Number of rows if the ids are 0 .. n-1, each once (as the exclusive or of 64-bit hashes tells); else 0."""
+    x = F.col("sequence_id").cast("long")
+    n, known, low, high, own = index.agg(F.count(F.lit(1)), F.count(x), F.min(x), F.max(x), F.bit_xor(F.xxhash64(x))).first()
+    if not n or known < n or low != 0 or high != n - 1:
+        return 0
+    every = index.sparkSession.range(n).agg(F.bit_xor(F.xxhash64("id"))).first()[0]
+    return n if own == every else 0
+
+
 def global_rank(df: DataFrame, order_cols: list[str], name: str) -> DataFrame:
     """0-based position in a total order, without a single-partition window.
 

@@ -281,9 +281,28 @@ def q_window_batches(spark, sf):
     return rounded(W.window_batches(idx, 512).select("sequence_id", "batch_id"))
 
 
+def _permutation_ctes(seed: int, epoch: int = 0) -> str:
+    """``walk``: every sequence id with where a seeded permutation sends it, walking on until that is an id again."""
+    def key(j, name):
+        return f"(CAST('0x' || substr(md5('{seed}/{epoch}/{j}/{name}'), 1, 7) AS BIGINT) + 1)"
+
+    prime = 2147483647
+    inner = "SELECT sequence_id, n, a, b, pos % a AS l0, pos // a AS h0 FROM {source}"
+    for j in range(6):
+        given, moved, size = ("l", "h", "b") if j % 2 else ("h", "l", "a")
+        u = f"(({given}{j} * {key(j, 'factor')} + {key(j, 'offset')}) % {prime})"
+        inner = (f"SELECT sequence_id, n, a, b, {given}{j} AS {given}{j + 1}, "
+                 f"({moved}{j} + ((u * u) % {prime} * u + u) % {prime}) % {size} AS {moved}{j + 1} "
+                 f"FROM (SELECT *, {u} AS u FROM ({inner}) AS r{j}) AS u{j}")
+    once = f"SELECT sequence_id, n, a, b, l6 + a * h6 AS pos FROM ({inner}) AS r6"
+    return (", size AS (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS a FROM seq), "
+            "ids AS (SELECT s.sequence_id, z.n, z.a, (z.n + z.a - 1) // z.a AS b, s.sequence_id AS pos FROM seq s, size z), "
+            f"walk AS ({once.format(source='ids')} UNION ALL {once.format(source='(SELECT * FROM walk WHERE pos >= n) AS w')})")
+
+
 @register("window_batches_shuffled", O.wrap(
-    "SELECT sequence_id, (row_number() OVER (ORDER BY md5(concat_ws(':', '42', CAST(sequence_id AS VARCHAR))), "
-    "sequence_id) - 1) // 512 AS batch_id FROM seq", ints=["sequence_id", "batch_id"]))
+    "SELECT sequence_id, pos // 512 AS batch_id FROM walk WHERE pos < n", ints=["sequence_id", "batch_id"],
+    ctes="RECURSIVE " + O.panel_ctes() + _permutation_ctes(42)))
 def q_window_batches_shuffled(spark, sf):
     idx = W.sequence_index(ctx(spark, sf).processed(), S)
     return rounded(W.window_batches(idx, 512, seed=42).select("sequence_id", "batch_id"))
