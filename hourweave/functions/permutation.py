@@ -12,7 +12,7 @@ import hashlib
 from math import isqrt
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ROUNDS = 6
@@ -60,27 +60,31 @@ def longest_walk(n: int, keys: list[tuple[int, int]]) -> int:
     return walk
 
 
-def with_permuted(df: DataFrame, column: str, name: str, n: int, seed: int, epoch: int = 0) -> DataFrame:
-    """``df`` with ``name``: where the permutation of (seed, epoch) sends ``column``, 0 <= column < n; null stays null.
+def permuted(x: Column, n: int, seed: int, epoch: int = 0) -> Column:
+    """Where the permutation of (seed, epoch) sends ``x``, 0 <= x < n; null stays null.
 
-    Map-only.  Each round is two projections, since a number that is used several times is named once; they stay in one
-    code-generated stage.
+    One expression, a left fold over the rounds: it holds every step once, so filters on the result may be
+    pushed through projections without the expression growing with each round.
     """
     if not 0 < n <= PRIME**2:
         raise ValueError("n must be from 1 to the square of PRIME")
     keys = round_keys(seed, epoch)
-    own = df.columns
-    low, high, mixed = (f"_{name}_{part}" for part in ("low", "high", "mixed"))
     a, b = (F.lit(v).cast("long") for v in _halves(n))
-    place = F.col(name)
-    out = df.withColumn(name, F.col(column).cast("long"))
-    for again in range(longest_walk(n, keys)):
-        here = out.withColumns({low: place % a, high: F.call_function("div", place, a)})
-        for j, (factor, offset) in enumerate(keys):
-            given, moved, size = (low, high, b) if j % 2 else (high, low, a)
-            here = here.withColumn(mixed, (F.col(given) * F.lit(factor).cast("long") + offset) % PRIME)
-            u = F.col(mixed)
-            here = here.withColumn(moved, (F.col(moved) + (u * u % PRIME * u + u) % PRIME) % size)
-        there = F.col(low) + a * F.col(high)
-        out = here.withColumn(name, F.when(place < n, place).otherwise(there) if again else there).drop(low, high, mixed)
-    return out.select(*own, name)
+    sizes = (a, b)
+    rounds = F.array(*[F.struct(F.lit(f).cast("long").alias("f"), F.lit(o).cast("long").alias("o"), sizes[j % 2].alias("size"))
+                       for j, (f, o) in enumerate(keys)])
+
+    def turn(pair: Column, key: Column) -> Column:
+        """The half in turn moves by a function of the other one; then they change places."""
+        u = (pair["other"] * key["f"] + key["o"]) % PRIME
+        cubed = F.element_at(F.transform(F.array(u), lambda v: (v * v % PRIME * v + v) % PRIME), 1)
+        return F.struct(pair["other"].alias("turn"), ((pair["turn"] + cubed) % key["size"]).alias("other"))
+
+    def once(place: Column) -> Column:
+        start = F.struct((place % a).alias("turn"), F.call_function("div", place, a).alias("other"))
+        return F.aggregate(rounds, start, turn, lambda pair: pair["turn"] + a * pair["other"])
+
+    place = once(x.cast("long"))
+    for _ in range(longest_walk(n, keys) - 1):
+        place = F.element_at(F.transform(F.array(place), lambda p: F.when(p < n, p).otherwise(once(p))), 1)
+    return place

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import DELTA_HOURS, ROLLING_STATS, SPLITS, PanelSpec
 from ..functions.exprs import hours
-from ..functions.permutation import with_permuted
+from ..functions.permutation import permuted
 from .lookback import CHUNK, GAP, HALO, PART, chunk_of, lookback_window, with_lookback_parts
 
 SEQUENCE_COLUMNS = ("sequence_id", "station", "split", "window_start_datetime", "window_end_datetime",
@@ -334,8 +334,8 @@ def window_batches(index: DataFrame, batch_size: int, seed: int | None = None, e
         return index.withColumn("batch_id", F.floor(F.col("sequence_id") / F.lit(batch_size)).cast("long"))
     n = _dense_size(index)
     if n:
-        placed = with_permuted(index, "sequence_id", "_r", n, seed, epoch)
-        return placed.withColumn("batch_id", F.floor(F.col("_r") / F.lit(batch_size)).cast("long")).drop("_r")
+        place = permuted(F.col("sequence_id"), n, seed, epoch)
+        return index.withColumn("batch_id", F.call_function("div", place, F.lit(batch_size).cast("long")))
     mixed = str(seed) if not epoch else f"{seed}/{epoch}"
     key = F.md5(F.concat_ws(":", F.lit(mixed), F.col("sequence_id").cast("string")))
     ranked = global_rank(index.withColumn("_k", key), ["_k", "sequence_id"], "_r")

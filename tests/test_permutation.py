@@ -25,7 +25,7 @@ def plain(x, n, seed, epoch=0):
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 10, 97, 1000, 4097])
 @pytest.mark.parametrize("seed", [0, 42])
 def test_it_is_the_plain_walk_and_a_bijection(spark, n, seed):
-    got = P.with_permuted(spark.range(n), "id", "p", n, seed).orderBy("id").toPandas()["p"].tolist()
+    got = spark.range(n).withColumn("p", P.permuted(F.col("id"), n, seed)).orderBy("id").toPandas()["p"].tolist()
     assert got == [plain(x, n, seed) for x in range(n)]
     assert sorted(got) == list(range(n))
 
@@ -44,7 +44,7 @@ def test_large_ids_keep_all_their_bits(spark):
     keep, P.longest_walk = P.longest_walk, lambda n, keys: 3
     try:
         frame = spark.createDataFrame([(i,) for i in ids], "id long")
-        got = [r["p"] for r in P.with_permuted(frame, "id", "p", n, 42).collect()]
+        got = [r["p"] for r in frame.withColumn("p", P.permuted(F.col("id"), n, 42)).collect()]
     finally:
         P.longest_walk = keep
     assert got == [plain(i, n, 42) for i in ids]
@@ -52,16 +52,16 @@ def test_large_ids_keep_all_their_bits(spark):
 
 def test_nulls_stay_and_bad_sizes_are_refused(spark):
     frame = spark.createDataFrame([(None,), (1,)], "id long")
-    assert [r["p"] is None for r in P.with_permuted(frame, "id", "p", 2, 1).collect()] == [True, False]
+    assert [r["p"] is None for r in frame.withColumn("p", P.permuted(F.col("id"), 2, 1)).collect()] == [True, False]
     with pytest.raises(ValueError):
-        P.with_permuted(frame, "id", "p", 0, 1)
+        frame.withColumn("p", P.permuted(F.col("id"), 0, 1))
 
 
 def test_neighbours_and_epochs_are_spread(spark):
     n = 100_000
     x = spark.range(n)
     for e in range(3):
-        x = P.with_permuted(x, "id", f"e{e}", n, 42, e)
+        x = x.withColumn(f"e{e}", P.permuted(F.col("id"), n, 42, e))
     x = x.orderBy("id").drop("id").toPandas().to_numpy()
     for e in range(3):
         assert abs(np.corrcoef(np.arange(n), x[:, e])[0, 1]) < 0.02
