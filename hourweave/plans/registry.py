@@ -19,6 +19,7 @@ from ..operators import evaluate as E
 from ..operators import forecast as FC
 from ..operators import preprocess as P
 from ..operators import windows as W
+from ..operators.lsqr import fit_ridge_lsqr
 from . import oracle as O
 from .context import context
 
@@ -593,6 +594,27 @@ def q_panel_b_station_vector(spark, sf):
     return rounded(x.select("station", *hot_positions("station_vector")))
 
 
+_EFFECTS_SQL = """
+SELECT t.station, coalesce(g.n, 0) AS rows, coalesce(g.n * (g.m - b.intercept) / (g.n + 10.0), 0.0) AS effect, b.intercept
+FROM (SELECT DISTINCT station FROM prep WHERE split = 'train') t
+LEFT JOIN (SELECT station, count(*) AS n, avg(y) AS m FROM prep WHERE split = 'train' AND y IS NOT NULL GROUP BY station) g
+  ON g.station = t.station,
+(SELECT sum(n * 10.0 / (n + 10.0) * m) / sum(n * 10.0 / (n + 10.0)) AS intercept FROM (
+   SELECT station, count(*) AS n, avg(y) AS m FROM prep WHERE split = 'train' AND y IS NOT NULL GROUP BY station) x) b"""
+
+
+@register("panel_b_series_effects", O.wrap(_EFFECTS_SQL, floats=["effect", "intercept"], ints=["rows"], **_B))
+def q_panel_b_series_effects(spark, sf):
+    """ridge of the observed target on the series indicator by LSQR; SQL has the closed form of that case."""
+    c = ctx(spark, sf, "B")
+    train = c.imputed().filter("split = 'train'").filter(F.col(S.observed_target).isNotNull())
+    model = fit_ridge_lsqr(train, [], S.observed_target, 10.0, series=S.station, known=c.params().station_table(spark))
+    seen = train.groupBy(F.col(S.station).alias("series")).agg(F.count(F.lit(1)).alias("rows"))
+    out = model.effects.join(seen, "series", "left").select(
+        F.col("series").alias("station"), F.coalesce("rows", F.lit(0)).alias("rows"), "effect", F.lit(model.intercept).alias("intercept"))
+    return rounded(out)
+
+
 def hot_positions(vector: str):
     """Where a sparse vector's first nonzero value is, its size and the number of nonzero values, never made dense."""
     v = F.unwrap_udt(F.col(vector))
