@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..config import FEATURE_SETS, PanelSpec
 from ..functions.exprs import regression_metric_columns
+from ..sources.files import read_partitions, upsert, upsert_partitions
 from .boosting import BoostedModel, Growth, Run, fit_many, histories
 from .lookback import HALO, lookback_window, with_lookback_parts
 from .preprocess import FittedParams, inverse_scale, select_feature_set
@@ -187,8 +188,9 @@ def ablation_grid(processed: DataFrame, spec: PanelSpec, feature_cols: list[str]
         rows.extend(new_rows)
         hist.extend(new_hist)
         if results_path:
-            spark.createDataFrame(new_hist, HISTORY_SCHEMA).write.mode("append").parquet(f"{results_path}/history")
-            spark.createDataFrame(new_rows, RESULT_SCHEMA).write.mode("append").parquet(f"{results_path}/runs")
+            # a run that was stopped between the two writes replaces its history when it is repeated
+            upsert_partitions(spark.createDataFrame(new_hist, HISTORY_SCHEMA), f"{results_path}/history", ["run_id"])
+            upsert_partitions(spark.createDataFrame(new_rows, RESULT_SCHEMA), f"{results_path}/runs", ["run_id"])
 
     if model == "ridge":
         _ridge_runs(processed, spec, feature_cols, runs, list(windows), keep)
@@ -200,8 +202,6 @@ def ablation_grid(processed: DataFrame, spec: PanelSpec, feature_cols: list[str]
     if saved_history is not None:
         history = saved_history.unionByName(history)
     if existing is not None:
-        from ..sources.files import upsert
-
         new = upsert(existing, new, ["run_id"])
     return new.orderBy("model", "window_size", "feature_set", "seed"), history
 
@@ -263,9 +263,10 @@ def _boosted_runs(processed, spec, feature_cols, runs, windows, model, growth, r
 
 
 def _saved_runs(spark, path: str) -> tuple[DataFrame | None, DataFrame | None]:
-    """Runs and history already written under ``path``: lists of a few rows, read now so that later appends don't matter."""
+    """Runs and history already written under ``path``: lists of a few rows, read now so that later writes don't matter."""
     try:
-        runs, history = (spark.read.parquet(f"{path}/{k}").collect() for k in ("runs", "history"))
+        runs, history = (read_partitions(spark, f"{path}/{k}", schema).collect()
+                         for k, schema in (("runs", RESULT_SCHEMA), ("history", HISTORY_SCHEMA)))
     except AnalysisException:  # nothing written yet
         return None, None
     finished = {r["run_id"] for r in runs}

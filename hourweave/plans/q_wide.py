@@ -267,18 +267,36 @@ def q_read_panel_csv(spark, sf):
     return rounded(IO.read_panel_csv(spark, path, columns=cols))
 
 
-@register("result_upsert", O.wrap("SELECT model, split, samples, rmse, mae, r2 FROM movr WHERE model <> 'window_mean' UNION ALL "
-                                  "SELECT model, split, samples + 1, rmse * 2, mae / 2, NULL FROM movr WHERE model = 'window_mean' AND split <> 'train' "
-                                  "UNION ALL SELECT 'new', split, samples, rmse, mae, r2 FROM movr WHERE model = 'persistence'",
-                                  floats=["rmse", "mae", "r2"], ints=["samples"]))
-def q_result_upsert(spark, sf):
-    """Changed metrics of one model, without one of its rows, and a new model's, upserted into the table."""
+_UPSERTED = O.wrap("SELECT model, split, samples, rmse, mae, r2 FROM movr WHERE model <> 'window_mean' UNION ALL "
+                   "SELECT model, split, samples + 1, rmse * 2, mae / 2, NULL FROM movr WHERE model = 'window_mean' AND split <> 'train' "
+                   "UNION ALL SELECT 'new', split, samples, rmse, mae, r2 FROM movr WHERE model = 'persistence'",
+                   floats=["rmse", "mae", "r2"], ints=["samples"])
+
+
+def _upsert_case(spark, sf):
+    """(metrics, changed metrics of one model without one of its rows and a new model's)."""
     existing = E.metrics_overall(_preds(spark, sf))
     rerun = existing.filter("model = 'window_mean' AND split <> 'train'").select(
         "model", "split", (F.col("samples") + 1).alias("samples"), (F.col("rmse") * 2).alias("rmse"),
         (F.col("mae") / 2).alias("mae"), F.lit(None).cast("double").alias("r2"))
-    new = existing.filter("model = 'persistence'").withColumn("model", F.lit("new"))
-    return rounded(IO.upsert(existing, rerun.unionByName(new), ["model"]))
+    return existing, rerun.unionByName(existing.filter("model = 'persistence'").withColumn("model", F.lit("new")))
+
+
+@register("result_upsert", _UPSERTED)
+def q_result_upsert(spark, sf):
+    """The changed rows upserted into the table."""
+    existing, new = _upsert_case(spark, sf)
+    return rounded(IO.upsert(existing, new, ["model"]))
+
+
+@register("result_upsert_partitions", _UPSERTED)
+def q_result_upsert_partitions(spark, sf):
+    """S10/S11 in place: a table by model whose changed partitions are replaced, twice as after a retry."""
+    existing, new = _upsert_case(spark, sf)
+    path = os.path.join(checkpoint_root(spark), f"results-{uuid.uuid4().hex}")
+    for rows in (existing, new, new):
+        IO.upsert_partitions(rows, path, ["model"])
+    return rounded(IO.read_partitions(spark, path, "model string, split string, samples long, rmse double, mae double, r2 double"))
 
 
 @register("stream_score_windows", AW(

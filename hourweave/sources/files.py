@@ -122,6 +122,22 @@ def upsert_to_path(existing_path: str | None, new: DataFrame, keys: list[str], r
     return out
 
 
+def upsert_partitions(new: DataFrame, path: str, keys: list[str]) -> None:
+    """S10/S11 in place: the partitions of the keys in ``new`` are replaced, files of all others stay untouched.
+
+    A key's old rows go as a whole and repeating a write (a retried run) gives the same table; no row is read or
+    rewritten beyond ``new``.  A new path starts a table; an empty ``new`` changes nothing.  ``new`` must not
+    read from ``path``.  ``keys`` are the partition columns, the same in every write.
+    """
+    by_key = new.hint("rebalance", *keys)  # few files a key; adaptive execution splits the tasks of a large one
+    by_key.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+
+
+def read_partitions(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table of ``upsert_partitions``, with the columns and types of ``schema`` (partition values aren't guessed)."""
+    return spark.read.schema(schema).parquet(path).select(*T.StructType.fromDDL(schema).names)
+
+
 def write_submissions(df: DataFrame, path: str) -> None:
     """One answer table per component model (and the blend)."""
     df.write.mode("overwrite").partitionBy("model").parquet(path)

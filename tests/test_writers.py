@@ -62,3 +62,24 @@ def test_upsert_writes_a_new_path(spark, path):
     second = IO.upsert_to_path(first, spark.createDataFrame([("b", 3), ("c", 4)], "model string, v int"), ["model"], path)
     assert first != second and rows(spark.read.parquet(first), "model", "v") == [("a", 1), ("b", 2)]
     assert rows(spark.read.parquet(second), "model", "v") == [("a", 1), ("b", 3), ("c", 4)]
+
+
+def test_upsert_replaces_partitions_in_place(spark, path):
+    schema = "model string, v int"
+    files = lambda model: sorted(f"{p.getPath()}" for p in _listed(spark, f"{path}/model={model}"))
+    IO.upsert_partitions(spark.createDataFrame([("007", 1), ("b", 2), ("b", 5)], schema), path, ["model"])
+    kept = files("007")
+    for _ in range(2):  # a retry changes nothing
+        IO.upsert_partitions(spark.createDataFrame([("b", 3), (None, 4), ("c", 6)], schema), path, ["model"])
+        got = IO.read_partitions(spark, path, schema)
+        assert sorted(map(tuple, got.collect()), key=str) == [("007", 1), ("b", 3), ("c", 6), (None, 4)]
+    assert files("007") == kept and len(files("b")) == 1
+    IO.upsert_partitions(spark.createDataFrame([], schema), path, ["model"])
+    assert IO.read_partitions(spark, path, schema).count() == 4
+
+
+def _listed(spark, folder):
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+    return [f.getPath().toUri() for f in found if f.getPath().getName().endswith(".parquet")]
