@@ -37,11 +37,10 @@ def with_chunk(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return df.withColumn(CHUNK, chunk_of(spec))
 
 
-def with_lookback_parts(df: DataFrame, spec: PanelSpec, halo: int) -> DataFrame:
-    """Add ``_part`` (window partition chunk), ``_halo`` (copy from the previous chunk) and ``_gap`` (1 unless the
-    row before it in the partition is exactly one hour earlier)."""
+def lookback_parts(df: DataFrame, spec: PanelSpec, halo: int) -> DataFrame:
+    """Add ``_part`` (window partition chunk) and ``_halo`` (copy from the previous chunk)."""
     if spec.chunk_hours is None:
-        return _with_gaps(df.withColumn(PART, F.lit(0).cast("long")).withColumn(HALO, F.lit(False)), spec)
+        return df.withColumn(PART, F.lit(0).cast("long")).withColumn(HALO, F.lit(False))
     if halo > spec.chunk_hours:
         raise ValueError(f"look-back of {halo} hours exceeds chunk_hours={spec.chunk_hours}")
     eh = epoch_hours(spec.time)
@@ -49,11 +48,16 @@ def with_lookback_parts(df: DataFrame, spec: PanelSpec, halo: int) -> DataFrame:
     pos = eh - chunk * F.lit(spec.chunk_hours)
     parts = F.when(pos >= F.lit(spec.chunk_hours - halo), F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
     out = df.withColumn(CHUNK, chunk).withColumn(PART, F.explode(parts))
-    return _with_gaps(out.withColumn(HALO, F.col(PART) != F.col(CHUNK)).drop(CHUNK), spec)
+    return out.withColumn(HALO, F.col(PART) != F.col(CHUNK)).drop(CHUNK)
+
+
+def with_lookback_parts(df: DataFrame, spec: PanelSpec, halo: int) -> DataFrame:
+    """``lookback_parts`` and ``_gap`` (1 unless the row before it in the partition is exactly one hour earlier)."""
+    return with_gaps(lookback_parts(df, spec, halo), spec, lookback_window(spec))
 
 
-def _with_gaps(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    before = F.lag(spec.time, 1).over(lookback_window(spec))
+def with_gaps(df: DataFrame, spec: PanelSpec, win: WindowSpec) -> DataFrame:
+    before = F.lag(spec.time, 1).over(win)
     return df.withColumn(GAP, F.when(before == F.col(spec.time) - hours(1), 0).otherwise(1))
 
 

@@ -1,5 +1,6 @@
 """Sequence index and window features: FX3 (two stations, 30 hours), FX6 lags, chunk laws."""
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +66,70 @@ def test_chunked_equals_unchunked_and_partition_invariant(spark):
     assert one == W.sequence_index(df, SPEC).orderBy("sequence_id").collect()
 
 
+def noisy(spark, hours=420, series=2, null_at=None, drop=()):
+    """Hourly rows with values that no float sum holds exactly."""
+    rows = []
+    for s in range(series):
+        for h in range(hours):
+            if (s, h) in drop:
+                continue
+            t = dt.datetime(2015, 8, 31, 5) + dt.timedelta(hours=h)
+            a, b = (h * 7919 + s * 31) % 1009 / 7.0, -((h * 104729 + s) % 911) / 3.0
+            rows.append((t, f"S{s}", a, None if (s, h) == null_at else a, b, "train"))
+    return spark.createDataFrame(rows, "datetime timestamp_ntz, station string, target_a double, a double, b double, split string")
+
+
+@pytest.mark.parametrize("w", [97, 168])
+def test_long_windows_from_block_sides_equal_plain_windows(spark, w):
+    spec, df = SPEC.with_(chunk_hours=200), noisy(spark, drop={(0, 30)})
+    tab = W.tabular_features(df, spec, ["a", "b"], w).orderBy("station", "target_datetime").collect()
+    assert len(tab) == (420 - 31 - w) + (420 - w)
+    values = {(r["station"], r["datetime"]): (r["a"], r["b"]) for r in df.collect()}
+    for r in tab:
+        seen = [values[r["station"], r["target_datetime"] - dt.timedelta(hours=k)] for k in range(w, 0, -1)]
+        for i, c in enumerate("ab"):
+            v = [x[i] for x in seen]
+            mean = math.fsum(v) / w
+            assert r[f"{c}_mean_{w}"] == pytest.approx(mean, rel=1e-12)
+            assert r[f"{c}_std_{w}"] == pytest.approx(math.sqrt(math.fsum((x - mean) ** 2 for x in v) / w), rel=1e-12)
+            assert (r[f"{c}_min_{w}"], r[f"{c}_max_{w}"]) == (min(v), max(v))
+            assert r[f"latest_{c}"] == v[-1]
+        assert [r[f"a_lag_{k}"] for k in range(w, 0, -1)] == [x[0] for x in seen]
+        assert r["a_change_12h"] == seen[-1][0] - seen[-13][0]
+
+
+def test_block_sides_chunks_sizes_nulls(spark, monkeypatch):
+    df, order = noisy(spark, 120, null_at=(1, 60)), ("station", "target_datetime")
+    arrays = W.tabular_features_union(df, SPEC, ["a", "b"], [6, 12, 24]).orderBy(*order).collect()
+    monkeypatch.setattr(W, "LONG_WINDOW", 0)
+    sides = W.tabular_features_union(df, SPEC, ["a", "b"], [6, 12, 24]).orderBy(*order).collect()
+    assert len(sides) == len(arrays) == 2 * (120 - 24) and sides[0].asDict().keys() == arrays[0].asDict().keys()
+    for x, y in zip(arrays, sides, strict=True):
+        for c in x.asDict():
+            # a null value: no mean and no deviation, the extremes of the others; lags keep their places
+            assert y[c] == (pytest.approx(x[c], rel=1e-12, abs=1e-12) if isinstance(x[c], float) else x[c]), c
+    multi = W.tabular_features_multi(df, SPEC, ["a", "b"], [6, 24])
+    assert multi[6].columns == ["station", "split", "target_datetime", "target", *W.tabular_feature_names(SPEC, ["a", "b"], 6)]
+    assert multi[6].count() == multi[24].count() == len(sides)
+    for chunk in (None, 24, 40):
+        got = W.tabular_features_union(df, SPEC.with_(chunk_hours=chunk), ["a", "b"], [6, 12, 24]).orderBy(*order).collect()
+        assert got == sides
+    assert W.tabular_features(df.limit(0), SPEC, ["a", "b"]).count() == 0
+    constant = df.withColumn("b", F.lit(0.1))
+    assert {r["b_std_24"] for r in W.tabular_features(constant, SPEC, ["a", "b"]).collect()} == {0.0}
+
+
+def test_long_windows_shuffle_once(spark):
+    df, spec = noisy(spark, 200), SPEC.with_(chunk_hours=200)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = W.tabular_features(df, spec, ["a", "b"], 168)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Sort [") == 2
+
+
 def test_resize_and_batches(spark):
     idx = W.sequence_index(fx3(spark), SPEC)
     r = W.resize_windows(idx, 6, 24).orderBy("sequence_id").first()
