@@ -584,6 +584,19 @@ def q_panel_b_tabular_features(spark, sf):
     return rounded(W.tabular_features(c.processed(), S, c.feature_names()))
 
 
+_WEEK = 168
+_WEEK_SQL, _WEEK_NAMES = O.tabular_select(features=(), window=_WEEK)
+_WEEK_ROLL = [n for n in _WEEK_NAMES if n.endswith(f"_{_WEEK}") and not n.startswith("y_lag")]
+
+
+@register("panel_b_weekly_statistics", O.wrap(
+    f"SELECT station, split, target_datetime, {O._list(_WEEK_ROLL)} FROM ({_WEEK_SQL}) t", floats=_WEEK_ROLL, **_B))
+def q_panel_b_weekly_statistics(spark, sf):
+    """W9 over a week: statistics from block sides, whose cost doesn't grow with the window."""
+    x = W.tabular_features(ctx(spark, sf, "B").processed(), S, [], _WEEK)
+    return rounded(x.select("station", "split", "target_datetime", *_WEEK_ROLL))
+
+
 @register("panel_b_station_vector", O.wrap(
     "SELECT station, row_number() OVER (ORDER BY station) - 1 AS hot, count(*) OVER () AS size, 1 AS ones "
     "FROM (SELECT DISTINCT station FROM prep WHERE split = 'train') t", ints=["hot", "size", "ones"], **_B))
