@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..config import FEATURE_SETS, TIME_FEATURES, WIND_FEATURES, PanelSpec
 from ..functions.exprs import nan_to_null, time_feature_columns, ts_literal, wind_feature_columns
+from ..session import dealt, task_count
 from .lookback import CHUNK, series_window, with_chunk
 
 
@@ -177,6 +178,9 @@ def median_table(train: DataFrame, spec: PanelSpec, approx: bool = False) -> Dat
             F.struct(F.lit(c).alias("column"), F.col(c).alias("median")) for c in spec.numeric])))
     from ..functions.quantiles import quantile_columns
 
+    # hours with a value only, dealt so that no task counts the distinct values of many million rows
+    train = train.filter(F.coalesce(*[F.col(c).cast("double") for c in spec.numeric]).isNotNull())
+    train = dealt(train, task_count(train), spec.station, spec.time)
     return quantile_columns(train, list(spec.numeric), [0.5], ["median"])
 
 

@@ -170,19 +170,33 @@ def target_preserved(raw: DataFrame, processed: DataFrame, spec: PanelSpec) -> D
 def panel_rules(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """P14 / V3 / V5 as one table and one job: rows without a station or a time, repeated rows of a key, and hours
     that a series lacks between its first and its last (``non_hourly``)."""
-    known = F.col(spec.station).isNotNull() & F.col(spec.time).isNotNull()
-    cells = df.groupBy(spec.station, spec.time).agg(F.count(F.lit(1)).alias("_n"))
-    hour = F.when(known, epoch_hours(spec.time))
-    series = cells.groupBy(spec.station).agg(
+    series = _hour_blocks(df, spec).groupBy(spec.station).agg(
         F.sum(F.when(F.col(spec.station).isNull(), F.col("_n"))).alias("null_station"),
-        F.sum(F.when(F.col(spec.time).isNull(), F.col("_n"))).alias("null_time"),
-        F.sum(F.when(known, F.col("_n") - 1)).alias("duplicate_key"),
-        (F.max(hour) - F.min(hour) + 1 - F.count(hour)).alias("non_hourly"))
+        F.sum(F.when(F.col("_timeless"), F.col("_n"))).alias("null_time"),
+        F.sum(F.when(F.col("_block").isNotNull(), F.col("_n") - F.col("_seen"))).alias("duplicate_key"),
+        (F.max("_high") - F.min("_low") + 1 - F.sum("_seen")).alias("non_hourly"))
     names = ("null_station", "null_time", "duplicate_key", "non_hourly")
     one = series.agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in names])
     return one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("rule"), F.col(n).alias("violations")) for n in names])))
 
 
+def _hour_blocks(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Rows, different times and first and last hour per 64 hours of a series.
+
+    The hours seen are bits of one number (one per minute and second, for times off the hour), so a task holds and
+    shuffles a 64th of its rows.
+    """
+    t = F.col(spec.time)
+    known = F.col(spec.station).isNotNull() & t.isNotNull()
+    hour = F.when(known, epoch_hours(t))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(hour, F.lit(64)).cast("int"))
+    rows = df.select(spec.station, t.isNull().alias("_timeless"), F.shiftright(hour, 6).alias("_block"), F.minute(t).alias("_minute"),
+                     F.date_part(F.lit("SECOND"), t).alias("_second"), hour.alias("_hour"), bit.alias("_bit"))
+    return rows.groupBy(spec.station, "_timeless", "_block", "_minute", "_second").agg(
+        F.count(F.lit(1)).alias("_n"), F.bit_count(F.bit_or("_bit")).cast("long").alias("_seen"),
+        F.min("_hour").alias("_low"), F.max("_hour").alias("_high"))
+
+
 def assert_panel(df: DataFrame, spec: PanelSpec) -> DataFrame:
     """The panel itself, or an error that names the broken rules: windows need whole hourly series."""
     assert_clean(panel_rules(df, spec))

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of one task of a sort or window.  Missing and filled values compress so well that a partition of the usual bytes
+#: holds millions of panel rows, whose sort then takes gigabytes.
+TASK_ROWS = 1 << 18
+
 
 def build_session(master: str | None = None, partitions: int = 8, app: str = "hourweave") -> SparkSession:
     """Session for tests and the bench.  On a cluster, use the cluster's own session."""
@@ -55,6 +60,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def task_count(df: DataFrame, copies: float = 1.0) -> int:
+    """Tasks for the rows of ``df`` times ``copies``, TASK_ROWS each; 0 if one task will do.
+
+    The rows are counted, which for a written table reads the footers of its files.
+    """
+    rows = df.count() * copies
+    return max(math.ceil(rows / TASK_ROWS), df.sparkSession.sparkContext.defaultParallelism) if rows > TASK_ROWS else 0
+
+
+def dealt(df: DataFrame, tasks: int, *keys: str) -> DataFrame:
+    """``df`` hashed by ``keys`` over so many tasks; with 0 it is left to Spark, which goes by bytes."""
+    return df.repartition(tasks, *keys) if tasks else df
+
+
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 

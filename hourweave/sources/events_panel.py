@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..config import EVENT_WIND_CODES, EVENTS_SPEC, PanelSpec
 from ..functions.exprs import epoch_hours
+from ..session import dealt, task_count
 
 PANEL_KEYS = {"A": ("event_type", "user_id"), "B": ("user_id", "event_type")}
 
@@ -46,9 +47,11 @@ VALUE_COLS = ("y", "vmax", "vmin", "vsum", "_n", "_u", "k", "_ksum")
 def hourly_aggregate(spark: SparkSession, sf_dir: str, panel: str = "A") -> DataFrame:
     """Sparse panel: one row per (series, hour) with events.
 
-    Map-side partial aggregates; the distinct count's expand touches event rows only.
+    Map-side partial aggregates; the distinct count's expand touches event rows only.  Many events are dealt by all
+    their columns first: cells are nearly as many as events, and a partial aggregate holds all cells of its task.
     """
     ev = hourly_events(spark, sf_dir, panel)
+    ev = dealt(ev, task_count(ev), *ev.columns)
     return ev.groupBy("station", "datetime").agg(
         # a decimal sum is exact, so the mean does not depend on the summation order
         (F.sum(F.col("value").cast("decimal(18,2)")).cast("double") / F.count("value")).alias("y"),
