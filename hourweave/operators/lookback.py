@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..config import PanelSpec
 from ..functions.exprs import epoch_hours, hours
+from ..session import task_count
 
 PART = "_part"
 HALO = "_halo"
@@ -56,6 +57,11 @@ def with_lookback_parts(df: DataFrame, spec: PanelSpec, halo: int) -> DataFrame:
     return with_gaps(lookback_parts(df, spec, halo), spec, lookback_window(spec))
 
 
+def lookback_tasks(df: DataFrame, spec: PanelSpec, halo: int) -> int:
+    """Tasks for the rows of ``df`` and their halo copies."""
+    return task_count(df, 1 + halo / spec.chunk_hours if spec.chunk_hours else 1)
+
+
 def with_gaps(df: DataFrame, spec: PanelSpec, win: WindowSpec) -> DataFrame:
     before = F.lag(spec.time, 1).over(win)
     return df.withColumn(GAP, F.when(before == F.col(spec.time) - hours(1), 0).otherwise(1))

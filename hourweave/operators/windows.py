@@ -14,11 +14,15 @@ from pyspark.sql import functions as F
 from ..config import DELTA_HOURS, ROLLING_STATS, SPLITS, PanelSpec
 from ..functions.exprs import epoch_hours, hours
 from ..functions.permutation import permuted
-from .lookback import CHUNK, GAP, HALO, PART, chunk_of, lookback_parts, lookback_window, with_gaps, with_lookback_parts
+from ..session import dealt
+from .lookback import (CHUNK, GAP, HALO, PART, chunk_of, lookback_parts, lookback_tasks, lookback_window, with_gaps,
+                       with_lookback_parts)
 
 #: Hours from which block sides are cheaper than an array of the window per row (1.1 million rows with 7 inputs on 8 cores:
 #: arrays 2.2 s for 24 hours and 6.6 s for 168, block sides 4.9 s and 4.7 s).
 LONG_WINDOW = 96
+#: Windows in a chunk of block sides: the halo copies one part in so many of the rows.
+SIDE_CHUNK = 4
 
 SEQUENCE_COLUMNS = ("sequence_id", "station", "split", "window_start_datetime", "window_end_datetime",
                     "target_datetime", "target")
@@ -251,11 +255,16 @@ def _window_sides(processed: DataFrame, spec: PanelSpec, feature_cols: list[str]
     the end of the block of *t-w* and the beginning of the block of *t-1*.  Running statistics from either end of a
     block are kept per row, so a row costs the same whatever ``w`` is, nothing is ever subtracted, and the numbers
     don't depend on the chunks.  Rows are shuffled once, by (series, chunk); both directions are sorts inside it.
+    Chunks are joined until they are SIDE_CHUNK windows long, so a long window copies a quarter of the rows at most.
     """
     full = max(windows)
     cols = list(dict.fromkeys([*feature_cols, *spec.numeric]))
-    x = lookback_parts(processed.select(spec.station, spec.time, spec.observed_target, "split", *cols), spec, full)
-    x = x.repartition(spec.station, PART)
+    if spec.chunk_hours and full <= spec.chunk_hours:
+        spec = spec.with_(chunk_hours=spec.chunk_hours * -(-SIDE_CHUNK * full // spec.chunk_hours))
+    rows = processed.select(spec.station, spec.time, spec.observed_target, "split", *cols)
+    x = lookback_parts(rows, spec, full)
+    tasks = lookback_tasks(rows, spec, full)
+    x = dealt(x, tasks, spec.station, PART) if tasks else x.repartition(spec.station, PART)
     part, win = [spec.station, PART], lookback_window(spec)
     for w in sorted(set(windows)):
         x = x.withColumn("_block", F.floor(epoch_hours(spec.time) / F.lit(w)))
