@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..config import PanelSpec
 from ..functions.exprs import epoch_hours, hours
-from ..session import task_count
+from ..session import dealt, task_count
 
 PART = "_part"
 HALO = "_halo"
@@ -53,8 +53,10 @@ def lookback_parts(df: DataFrame, spec: PanelSpec, halo: int) -> DataFrame:
 
 
 def with_lookback_parts(df: DataFrame, spec: PanelSpec, halo: int) -> DataFrame:
-    """``lookback_parts`` and ``_gap`` (1 unless the row before it in the partition is exactly one hour earlier)."""
-    return with_gaps(lookback_parts(df, spec, halo), spec, lookback_window(spec))
+    """``lookback_parts``, dealt over as many tasks as the rows need, and ``_gap`` (1 unless the row before it in the
+    partition is exactly one hour earlier)."""
+    x = dealt(lookback_parts(df, spec, halo), lookback_tasks(df, spec, halo), spec.station, PART)
+    return with_gaps(x, spec, lookback_window(spec))
 
 
 def lookback_tasks(df: DataFrame, spec: PanelSpec, halo: int) -> int:
