@@ -90,7 +90,7 @@ def forward_fill(df: DataFrame, spec: PanelSpec, cols: list[str] | tuple[str, ..
     value of any *earlier* chunk of the series (the carry); (3) per (series, chunk), a
     running ``last(ignorenulls)``, falling back to the carry.  The join with the carry
     and the running window share one exchange on (series, chunk), so no task ever
-    holds a whole series.
+    holds a whole series; its tasks are as many as the rows need (``session.task_count``).
 
     ``exclude_current`` gives the last non-NULL value strictly *before* each row (the
     previous observation); ``suffix`` keeps the input columns and adds the results
@@ -115,7 +115,8 @@ def forward_fill(df: DataFrame, spec: PanelSpec, cols: list[str] | tuple[str, ..
     cw = Window.partitionBy(st).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = last_obs.select(st, CHUNK, *[F.last(c, True).over(cw).alias(f"_carry_{i}") for i, c in enumerate(cols)])
     w = series_window(spec).rowsBetween(Window.unboundedPreceding, end)
-    y = x.join(carry, [st, CHUNK], "left")
+    tasks = task_count(df)
+    y = dealt(x, tasks, st, CHUNK).join(dealt(carry, tasks, st, CHUNK), [st, CHUNK], "left")
     return emit({c: F.coalesce(F.last(c, True).over(w), F.col(f"_carry_{i}")) for i, c in enumerate(cols)}, y)
 
 

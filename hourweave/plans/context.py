@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..config import EVENTS_SPEC, PanelSpec
 from ..operators import preprocess as P
 from ..operators.quality import assert_panel
-from ..session import materialize
+from ..session import FILE_ROWS, materialize
 from ..sources.events_panel import events_panel, hourly_aggregate
 
 _CACHE: dict[tuple, "PanelContext"] = {}
@@ -45,7 +45,7 @@ class PanelContext:
         # column so time predicates reach the parquet scan
         return self._memo("raw", lambda: assert_panel(materialize(
             events_panel(self.spark, self.sf_dir, self.panel, self.spec, with_datetime=True,
-                         sparse=self.sparse()), f"raw_{self.panel}"), self.spec))
+                         sparse=self.sparse()), f"raw_{self.panel}", file_rows=FILE_ROWS), self.spec))
 
     def sparse(self) -> DataFrame:
         """Per (series, hour) aggregate of the events (hours with events only), written once."""
@@ -61,7 +61,7 @@ class PanelContext:
         It needs the train medians only; the scaler is then fitted on its train rows."""
         # partitioned by split: train-only reads (the scaler fit) prune the other splits
         return self._memo("imputed", lambda: materialize(P.impute_with_flags(self.raw(), self.spec, self.medians()),
-                                                         f"imputed_{self.panel}", partition_by=["split"]))
+                                                         f"imputed_{self.panel}", partition_by=["split"], file_rows=FILE_ROWS))
 
     def params(self) -> P.FittedParams:
         return self._memo("params", lambda: P.fit_params(self.raw(), self.spec, imputed=self.imputed(),

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 #: Rows of one task of a sort or window.  Missing and filled values compress so well that a partition of the usual bytes
 #: holds millions of panel rows, whose sort then takes gigabytes.
 TASK_ROWS = 1 << 18
+#: Rows of one written file of panel rows; a reading task takes some 30 small files.
+FILE_ROWS = 1 << 16
 
 
 def build_session(master: str | None = None, partitions: int = 8, app: str = "hourweave") -> SparkSession:
@@ -74,7 +76,7 @@ def dealt(df: DataFrame, tasks: int, *keys: str) -> DataFrame:
     return df.repartition(tasks, *keys) if tasks else df
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None, file_rows: int | None = None) -> DataFrame:
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
     Cuts the lineage (a lost executor recomputes from the written table, not from
@@ -86,5 +88,7 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     writer = df.write.mode("error")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if file_rows:
+        writer = writer.option("maxRecordsPerFile", file_rows)
     writer.parquet(path)
     return spark.read.parquet(path)
