@@ -47,21 +47,25 @@ VALUE_COLS = ("y", "vmax", "vmin", "vsum", "_n", "_u", "k", "_ksum")
 def hourly_aggregate(spark: SparkSession, sf_dir: str, panel: str = "A") -> DataFrame:
     """Sparse panel: one row per (series, hour) with events.
 
-    Map-side partial aggregates; the distinct count's expand touches event rows only.  Many events are dealt by all
-    their columns first: cells are nearly as many as events, and a partial aggregate holds all cells of its task.
+    Events are counted per (series, hour, partner), then per (series, hour).  Cells are nearly as many as events and
+    an aggregate holds all cells of its task, so both steps of many events are dealt over as many tasks as the events need.
     """
     ev = hourly_events(spark, sf_dir, panel)
-    ev = dealt(ev, task_count(ev), *ev.columns)
-    return ev.groupBy("station", "datetime").agg(
+    tasks = task_count(ev)
+    value = F.col("value").cast("decimal(18,2)")
+    partners = dealt(ev, tasks, "station", "datetime", "_other").groupBy("station", "datetime", "_other").agg(
+        F.sum(value).alias("_v"), F.count("value").alias("_n"), F.max("value").alias("vmax"), F.min("value").alias("vmin"),
+        F.sum("_k").alias("_ksum"), F.sum(F.col("_k").cast("double")).alias("_kd"), F.count("_k").alias("_kn"))
+    return dealt(partners, tasks, "station", "datetime").groupBy("station", "datetime").agg(
         # a decimal sum is exact, so the mean does not depend on the summation order
-        (F.sum(F.col("value").cast("decimal(18,2)")).cast("double") / F.count("value")).alias("y"),
-        F.max("value").alias("vmax"),
-        F.min("value").alias("vmin"),
-        F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("vsum"),
-        F.count("value").alias("_n"),
-        F.count_distinct("_other").alias("_u"),
-        F.avg(F.col("_k").cast("double")).alias("k"),
-        F.sum("_k").alias("_ksum"),
+        (F.sum("_v").cast("double") / F.sum("_n")).alias("y"),
+        F.max("vmax").alias("vmax"),
+        F.min("vmin").alias("vmin"),
+        F.sum("_v").cast("double").alias("vsum"),
+        F.sum("_n").alias("_n"),
+        F.count("_other").alias("_u"),
+        (F.sum("_kd") / F.sum("_kn")).alias("k"),
+        F.sum("_ksum").alias("_ksum"),
     )
 
 
@@ -70,17 +74,19 @@ def densify_panel(sparse: DataFrame, spec: PanelSpec = EVENTS_SPEC) -> DataFrame
 
     Observed cells are gathered per (series, chunk), at most ``chunk_hours`` of them, and the chunk's hours are
     written out inside the task, so only observed cells are shuffled and no task holds a whole series.  Chunks
-    without a cell come from the series' range, a list of (series, chunk) that is spread over the tasks.
+    without a cell come from the series' range, a list of (series, chunk) that is spread over the tasks, as many as
+    the cells need.
     """
     size = spec.chunk_hours or 24 * 28
     zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    tasks = task_count(sparse)
     cells = sparse.withColumn("_c", F.floor(epoch_hours("datetime") / size).cast("long"))
-    cells = cells.groupBy("station", "_c").agg(F.map_from_entries(F.collect_list(
+    cells = dealt(cells, tasks, "station", "_c").groupBy("station", "_c").agg(F.map_from_entries(F.collect_list(
         F.struct("datetime", F.struct(*VALUE_COLS).alias("v")))).alias("_m"))
     ends = sparse.groupBy("station").agg(F.min(epoch_hours("datetime")).alias("_a"), F.max(epoch_hours("datetime")).alias("_b"))
     chunks = ends.select("station", "_a", "_b", F.explode(F.sequence(
         F.floor(F.col("_a") / size).cast("long"), F.floor(F.col("_b") / size).cast("long"))).alias("_c"))
-    whole = chunks.join(cells, ["station", "_c"], "left").select(
+    whole = dealt(chunks, tasks, "station", "_c").join(cells, ["station", "_c"], "left").select(
         "station", "_m", F.explode(F.sequence(F.greatest(F.col("_a"), F.col("_c") * size),
                                               F.least(F.col("_b"), F.col("_c") * size + size - 1))).alias("_h"))
     whole = whole.withColumn("datetime", F.timestamp_add("HOUR", F.col("_h"), zero))
